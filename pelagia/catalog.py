@@ -397,7 +397,7 @@ PARENT_SQL = ", ".join(f"""parent_{c}_t as (select taxonomic_level, taxonomic_gr
     for f in LEVELS[i + 1:]) + ") group by 1, 2, 3) where k = 1)" for i, c in enumerate(LEVELS[:-1]))
 NICHE_NAMES = ", ".join(f"{a} as {b}" for a, b in niche.NICHE_COLUMNS.items())
 KEYS_SQL = "taxonomic_level, taxonomic_group"
-NICHE_SQL = (f"with {SALES_SQL}, {profile_sql(LONG_SQL, KEYS_SQL, 4, 10)}, {PARENT_SQL}, "
+NICHE_SQL = (f"with {SALES_SQL}, {profile_sql(LONG_SQL, KEYS_SQL, 6, 10)}, {PARENT_SQL}, "
              f"niche as (select {KEYS_SQL}, {NICHE_NAMES}, parent_region, parent_nation from profile "
              f"left join parent_region_t using ({KEYS_SQL}) left join parent_nation_t using ({KEYS_SQL}))")
 
@@ -416,7 +416,7 @@ NICHE_DOUBLES = [niche.NICHE_COLUMNS[c] for c in PROFILE_DOUBLES]
 
 @query(NICHE_SQL + " select * from niche")
 def niche_multi_level(spark, folder):
-    return rounded(niche.multi_level_stats(sales(spark, folder), LEVELS, "sst"), NICHE_DOUBLES, 4)
+    return rounded(niche.multi_level_stats(sales(spark, folder), LEVELS, "sst"), NICHE_DOUBLES)
 
 
 @query(NICHE_SQL + f""" select {KEYS_SQL}, observation_count,
@@ -439,7 +439,7 @@ def niche_distributions(spark, folder):
     table = stage(niche.multi_level_stats(df, LEVELS, "sst"), "niche")
     lists = niche_plan.niche_distributions(df, table, LEVELS, "sst", "rid")
     total = F.aggregate("all_temperatures", F.lit(0.0), lambda a, v: a + v)
-    return rounded(lists, ["optimal_min", "optimal_max", "peak"], 4).select(
+    return rounded(lists, ["optimal_min", "optimal_max", "peak"]).select(
         *niche_plan.KEYS, "count", "optimal_min", "optimal_max", "peak",
         F.size("all_temperatures").cast("bigint").alias("values_shown"), r(total, 2).alias("total"))
 

@@ -24,29 +24,32 @@ from pelagia.runtime import attach, is_small, stage
 
 def _with_runs(rows: DataFrame, runs: list[tuple[int, float, int]]) -> DataFrame:
     """Each row once per setting ``(run, eps, min_samples)``."""
-    settings = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(float(e)).alias("eps"),
-                                  F.lit(int(m)).alias("min_samples")) for r, e, m in runs])
-    return rows.select(F.inline(settings), "*")
+    settings = ", ".join(f"struct({r} AS run, {float(e)!r}D AS eps, {int(m)} AS min_samples)" for r, e, m in runs)
+    return rows.selectExpr(f"inline(array({settings}))", "*")
 
 
-def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame]:
-    """Cells with core points ``(run, c0.., dense, cluster)`` and, outside dense cells, the labels of the
-    single points ``(run, x0.., cluster)``."""
+def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labels of the dense cells ``(run, c0.., cluster)``, their rows ``(run, c0.., n)``, and the labels of
+    the points elsewhere ``(run, x0.., cluster)``."""
     cs, xs = _axes(d, "c"), _axes(d, "x")
     cell_key = ["run", "eps", *cs]
     points = collapse(rows, d)
-    cells = stage(cell_summary(points, d, F.col("min_samples"))
+    cells = stage(cell_summary(points, d, "min_samples")
                   .withColumn("dense", F.col("w") >= F.col("min_samples")), "cells")
     dense_cells, sparse_cells = cells.where("dense"), cells.where("NOT dense")
 
     # core points: all of a dense cell; elsewhere those with enough weight in reach
-    sparse = stage(attach(points, sparse_cells.select(*cell_key), cell_key, "left_semi"), "sparse")
+    per_cell = cells.select(*cell_key, "n")
+    sparse = attach(points, sparse_cells.select(*cell_key), cell_key, "left_semi", left_counts=per_cell)
+    if not is_small(sparse_cells):
+        sparse = stage(sparse, "sparse")
     near = weight_within(sparse, points, sparse_cells, cells, d, pair_limit)
     flagged = stage(sparse.join(near, ["run", "rid"], "left")
                     .withColumn("core", F.coalesce(F.col("near") >= F.col("min_samples"), F.lit(False)))
                     .drop("near"), "flagged")
     single_cores = flagged.where("core").drop("core")
-    core = attach(points, dense_cells.select(*cell_key), cell_key, "left_semi").unionByName(single_cores)
+    core = attach(points, dense_cells.select(*cell_key), cell_key, "left_semi", left_counts=per_cell)
+    core = core.unionByName(single_cores)
     if not is_small(dense_cells):
         core = stage(core, "core")
     summary = cell_summary(single_cores, d).withColumn("dense", F.lit(False))
@@ -76,18 +79,21 @@ def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame
     core_labels = single_cores.join(labelled.select(*cell_key, "cluster"), cell_key).select("run", *xs, "cluster")
     loose_labels = loose.join(border, ["run", "rid"], "left").select(
         "run", *xs, F.coalesce("cluster", F.lit(NOISE)).alias("cluster"))
-    return labelled.where("dense").select("run", *cs, "cluster"), core_labels.unionByName(loose_labels)
+    weights = cells.where("dense").select("run", *cs, F.col("w").alias("n"))
+    return labelled.where("dense").select("run", *cs, "cluster"), weights, core_labels.unionByName(loose_labels)
 
 
-def _label(rows: DataFrame, d: int, dense_labels: DataFrame, point_labels: DataFrame) -> DataFrame:
+def _label(rows: DataFrame, d: int, dense_labels: DataFrame, dense_rows: DataFrame,
+           point_labels: DataFrame) -> DataFrame:
     """Rows with their cluster: by cell where the cell is dense, else by position.
 
     The second join cannot be skewed: fewer than ``min_samples`` rows share a position outside dense cells.
     """
     cs, xs = _axes(d, "c"), _axes(d, "x")
-    placed = rows.withColumns(cell_columns(xs, F.col("eps")))
-    dense = attach(placed, dense_labels, ["run", *cs])
-    loose = attach(placed, dense_labels.select("run", *cs), ["run", *cs], "left_anti").join(point_labels, ["run", *xs])
+    placed = rows.withColumns(cell_columns(d))
+    dense = attach(placed, dense_labels, ["run", *cs], left_counts=dense_rows)
+    loose = attach(placed, dense_labels.select("run", *cs), ["run", *cs], "left_anti", left_counts=dense_rows)
+    loose = loose.join(point_labels, ["run", *xs])
     return dense.unionByName(loose)
 
 
@@ -102,10 +108,10 @@ def dbscan(df: DataFrame, coords: list[str], eps: float, min_samples: int, row_i
     d = len(coords)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, min_samples)
     rows = _with_runs(positions(df, coords, row_id), [(0, eps, min_samples)])
-    dense_labels, point_labels = _fit(rows, d, limit)
+    labels = _fit(rows, d, limit)
     packed = df.select(F.struct("*").alias("row"), *position_columns(coords))
     placed = packed.where(has_position(d)).select("row", F.lit(0).alias("run"), F.lit(float(eps)).alias("eps"), *_axes(d, "x"))
-    labelled = _label(placed, d, dense_labels, point_labels).select("row", "cluster")
+    labelled = _label(placed, d, *labels).select("row", "cluster")
     gaps = packed.where(~has_position(d)).select("row", F.lit(None).cast("int").alias("cluster"))
     return labelled.unionByName(gaps).select("row.*", F.col("cluster").alias(out))
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pelagia.runtime import attach, spread_partitions, stage
+from pelagia.runtime import attach, is_small, spread_partitions, stage
 
 
 def rank_within(df: DataFrame, prefix: list[str], by: list[str], out: str) -> DataFrame:
     """Position 0..n-1 of each row by ``by`` within its ``prefix``; rows must be distinct.
 
     The rows are range-partitioned, numbered inside each partition, and shifted by the number of rows in
-    earlier partitions, so no task sees a whole prefix.
+    earlier partitions, so no task sees a whole prefix. Tables known to be small are numbered directly.
     """
+    if is_small(df):
+        position = F.row_number().over(Window.partitionBy(*prefix, F.lit(0)).orderBy(*by))
+        return df.withColumn(out, (position - 1).cast("int"))
     parts = spread_partitions(df)
     placed = stage(df.repartitionByRange(parts, *prefix, *by).withColumn("_part", F.spark_partition_id()), "placed")
     earlier = Window.partitionBy(*prefix, F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,7 +44,9 @@ def ordinal_encode(df: DataFrame, cols: list[str], suffix: str = "_encoded") ->
         codes = stage(encoding_table(df.select(*same), same), "codes")
         for c in same:
             table = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(c + suffix))
-            out = attach(out, table, [c], "left")
+            # hot values are counted on the input, not on the columns joined so far
+            counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+            out = attach(out, table, [c], "left", left_counts=counts)
     return out
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pelagia.functions.expressions import haversine_km
 from pelagia.operators.clean import dedupe
-from pelagia.runtime import attach, skew_join
+from pelagia.runtime import attach, hot_parts, skew_join
 
 
 def join_on_key(a: DataFrame, b: DataFrame, key: str, how: str = "inner", hot_rows: int | None = None) -> DataFrame:
@@ -28,17 +28,27 @@ def left_join_chain(base: DataFrame, tables: list[tuple[DataFrame, str]], key: s
     """``base`` left-joined with each ``(table, suffix)`` in turn on ``key``.
 
     Several matches multiply the row; a column already present gets the suffix; an empty table adds
-    nothing. Without hot keys all joins share one partitioning by ``key``.
+    nothing. Hot keys are counted once per input table, never on a joined result; without any, all joins
+    share one partitioning by ``key``.
     """
-    result = base
+    result, left_parts = base, hot_parts(base, [key], hot_rows)
     for table, suffix in tables:
         if table.isEmpty():
             continue
         clashes = {c: c + suffix for c in table.columns if c != key and c in result.columns}
-        result = skew_join(result, table.withColumnsRenamed(clashes), [key], "left", hot_rows)
+        right_parts = hot_parts(table, [key], hot_rows)
+        result = skew_join(result, table.withColumnsRenamed(clashes), [key], "left",
+                           left_parts=left_parts, right_parts=right_parts)
+        left_parts = _multiplied(left_parts, right_parts, key)
     return result
 
 
+def _multiplied(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Parts of the joined rows: a key that is hot in both tables has the product of its parts."""
+    both = a.join(b.withColumnRenamed("parts", "more"), key, "full")
+    return both.select(key, (F.coalesce("parts", F.lit(1)) * F.coalesce("more", F.lit(1))).alias("parts"))
+
+
 def attach_group_stats(stats: DataFrame, more: DataFrame, key: str = "cluster") -> DataFrame:
     """Left join of two tables that both have one row per group."""
     return stats.join(more, key, "left")

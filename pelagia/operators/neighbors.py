@@ -29,25 +29,28 @@ MAX_LEVEL = 12
 MAX_FEATURES = 3
 
 
-def cell_side(eps: Column, d: int) -> Column:
+def cell_side(d: int, eps: str = "eps") -> str:
     """A little under eps/√d, so that any two points of one cell are within eps."""
-    return eps * F.lit((1 - 1e-6) / math.sqrt(d))
+    return f"({eps} * {(1 - 1e-6) / math.sqrt(d)!r}D)"
 
 
-def cell_columns(xs: list[str], eps: Column) -> dict[str, Column]:
-    side = cell_side(eps, len(xs))
-    return {f"c{i}": F.floor(F.col(x) / side) for i, x in enumerate(xs)}
+def cell_columns(d: int) -> dict[str, Column]:
+    return {f"c{i}": F.expr(f"floor(x{i} / {cell_side(d)})") for i in range(d)}
 
 
 def _axes(d: int, prefix: str) -> list[str]:
     return [f"{prefix}{i}" for i in range(d)]
 
 
-def cell_summary(points: DataFrame, d: int, *extra: Column) -> DataFrame:
+def _renamed(prefix: str, cols: list[str]) -> list[str]:
+    return [f"{c} AS {prefix}{c}" for c in cols]
+
+
+def cell_summary(points: DataFrame, d: int, *extra: str) -> DataFrame:
     """One row per cell: number of points, weight, bounding box and the least row id."""
-    box = [f(f"x{i}").alias(f"{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    return points.groupBy("run", "eps", *_axes(d, "c"), *extra).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.min("rid").alias("id"), *box)
+    box = [f"{f}(x{i}) AS {n}{i}" for i in range(d) for f, n in (("min", "lo"), ("max", "hi"))]
+    aggs = ["count(*) AS n", "sum(w) AS w", "min(rid) AS id", *box]
+    return points.groupBy("run", "eps", *_axes(d, "c"), *extra).agg(*map(F.expr, aggs))
 
 
 def _box_columns(d: int) -> list[str]:
@@ -56,25 +59,19 @@ def _box_columns(d: int) -> list[str]:
 
 def _with_box(points: DataFrame, d: int, level: int) -> DataFrame:
     """Add the box of the level, ``g0..``; the box of the level above is ``floor(g / 4)``."""
-    side = cell_side(F.col("eps"), d)
-    return points.withColumns({
-        f"g{i}": F.floor(F.col(f"x{i}") / side * float(4 ** level)) for i in range(d)})
-
-
-def _prefixed(df: DataFrame, prefix: str, cols: list[str]) -> DataFrame:
-    return df.select("run", *[F.col(c).alias(prefix + c) for c in cols])
+    return points.selectExpr("*", *[f"floor(x{i} / {cell_side(d)} * {float(4 ** level)!r}D) AS g{i}" for i in range(d)])
 
 
 def _classify(pairs: DataFrame, d: int) -> DataFrame:
     """Drop pairs of boxes farther apart than eps; mark those entirely within it."""
-    least, most = F.lit(0.0), F.lit(0.0)
-    for i in range(d):
-        a_lo, a_hi, b_lo, b_hi = (F.col(f"{p}_{n}{i}") for p in "ab" for n in ("lo", "hi"))
-        gap = F.greatest(F.lit(0.0), b_lo - a_hi, a_lo - b_hi)
-        span = F.greatest(b_hi - a_lo, a_hi - b_lo)
-        least, most = least + gap * gap, most + span * span
-    return (pairs.where(F.sqrt(least) <= F.col("eps"))
-            .withColumn("inside", F.sqrt(most) <= F.col("eps")))
+    gaps = [f"greatest(0D, b_lo{i} - a_hi{i}, a_lo{i} - b_hi{i})" for i in range(d)]
+    spans = [f"greatest(b_hi{i} - a_lo{i}, a_hi{i} - b_lo{i})" for i in range(d)]
+    return (pairs.where(f"sqrt({_squares(gaps)}) <= eps")
+            .withColumn("inside", F.expr(f"sqrt({_squares(spans)}) <= eps")))
+
+
+def _squares(terms: list[str]) -> str:
+    return " + ".join(f"({t}) * ({t})" for t in terms)
 
 
 def _cell_pairs(a: DataFrame, b: DataFrame, d: int, once: bool) -> DataFrame:
@@ -84,26 +81,23 @@ def _cell_pairs(a: DataFrame, b: DataFrame, d: int, once: bool) -> DataFrame:
         steps = [s + (o,) for s in steps for o in range(-2, 3)]
     zero = (0,) * d
     steps = [s for s in steps if s > zero] if once else steps
-    shift = F.array(*[F.struct(*[F.lit(o).cast("long").alias(f"o{i}") for i, o in enumerate(s)]) for s in steps])
-    left = a.select("run", "eps", *[F.col(c).alias("a_" + c) for c in ("id", *_axes(d, "c"), *_box_columns(d))])
-    left = left.withColumn("shift", F.explode(shift))
-    left = left.withColumns({f"b_c{i}": F.col(f"a_c{i}") + F.col(f"shift.o{i}") for i in range(d)}).drop("shift")
-    right = _prefixed(b, "b_", ["id", *_axes(d, "c"), *_box_columns(d)])
-    pairs = left.join(right, ["run", *_axes(d, "b_c")])
-    boxes = {f"{p}_g{i}": F.col(f"{p}_c{i}") for p in "ab" for i in range(d)}
-    return _classify(pairs.withColumns(boxes), d)
+    structs = ", ".join("struct(" + ", ".join(f"{o}L AS b_c{i}" for i, o in enumerate(s)) + ")" for s in steps)
+    cols = ["id", *_axes(d, "c"), *_box_columns(d)]
+    left = a.selectExpr("run", "eps", *_renamed("a_", cols), f"inline(array({structs}))")
+    left = left.withColumns({f"b_c{i}": F.expr(f"a_c{i} + b_c{i}") for i in range(d)})
+    pairs = left.join(b.selectExpr("run", *_renamed("b_", cols)), ["run", *_axes(d, "b_c")])
+    boxes = [f"{p}_c{i} AS {p}_g{i}" for p in "ab" for i in range(d)]
+    return _classify(pairs.selectExpr("*", *boxes), d)
 
 
 def _children(points: DataFrame, big: DataFrame, prefix: str, d: int, level: int) -> DataFrame:
     """Boxes of ``level`` below the boxes of ``big``, with the box above as ``{prefix}g``."""
-    parents = big.select("run", *[F.col(f"{prefix}g{i}").alias(f"p{i}") for i in range(d)]).distinct()
-    fine = _with_box(points, d, level).withColumns({f"p{i}": F.floor(F.col(f"g{i}") / 4) for i in range(d)})
+    parents = big.selectExpr("run", *[f"{prefix}g{i} AS p{i}" for i in range(d)]).distinct()
+    fine = _with_box(points, d, level).selectExpr("*", *[f"floor(g{i} / 4) AS p{i}" for i in range(d)])
     inside = attach(fine, parents, ["run", *_axes(d, "p")], "left_semi")
-    boxes = cell_summary(inside, d, *[F.col(c) for c in (*_axes(d, "p"), *_axes(d, "g"))])
-    return boxes.select(
-        "run", *[F.col(f"p{i}").alias(f"{prefix}g{i}") for i in range(d)],
-        *[F.col(f"g{i}").alias(f"{prefix}new{i}") for i in range(d)],
-        *[F.col(c).alias(prefix + c) for c in _box_columns(d)])
+    boxes = cell_summary(inside, d, *_axes(d, "p"), *_axes(d, "g"))
+    return boxes.selectExpr("run", *[f"p{i} AS {prefix}g{i}" for i in range(d)],
+                            *[f"g{i} AS {prefix}new{i}" for i in range(d)], *_renamed(prefix, _box_columns(d)))
 
 
 def _split(big: DataFrame, a_points: DataFrame, b_points: DataFrame, d: int, level: int, split_a: bool) -> DataFrame:
@@ -121,18 +115,15 @@ def _split(big: DataFrame, a_points: DataFrame, b_points: DataFrame, d: int, lev
 def _compare(small: DataFrame, a_points: DataFrame, b_points: DataFrame, d: int, a_level: int, level: int) -> DataFrame:
     """Point pairs within eps of the listed pairs of boxes; consumers aggregate them in the same stage."""
     def members(points: DataFrame, prefix: str, at: int) -> DataFrame:
-        boxes = small.select("run", *[F.col(f"{prefix}g{i}").alias(f"g{i}") for i in range(d)]).distinct()
+        boxes = small.selectExpr("run", *[f"{prefix}g{i} AS g{i}" for i in range(d)]).distinct()
         near = attach(_with_box(points, d, at), boxes, ["run", *_axes(d, "g")], "left_semi")
-        return _prefixed(near, prefix, ["rid", "w", *_axes(d, "x"), *_axes(d, "g")])
+        return near.selectExpr("run", *_renamed(prefix, ["rid", "w", *_axes(d, "x"), *_axes(d, "g")]))
 
     listed = small.select("run", "eps", "a_id", "b_id", *_axes(d, "a_g"), *_axes(d, "b_g"))
     pairs = (listed.join(members(a_points, "a_", a_level), ["run", *_axes(d, "a_g")])
              .join(members(b_points, "b_", level), ["run", *_axes(d, "b_g")]))
-    square = F.lit(0.0)
-    for i in range(d):
-        gap = F.col(f"a_x{i}") - F.col(f"b_x{i}")
-        square = square + gap * gap
-    return pairs.where(F.sqrt(square) <= F.col("eps")).select("run", "a_id", "a_rid", "b_id", "b_w")
+    gaps = _squares([f"a_x{i} - b_x{i}" for i in range(d)])
+    return pairs.where(f"sqrt({gaps}) <= eps").select("run", "a_id", "a_rid", "b_id", "b_w")
 
 
 def resolve(a_points: DataFrame, b_points: DataFrame, a_cells: DataFrame, b_cells: DataFrame, d: int,
@@ -193,8 +184,7 @@ def collapse(rows: DataFrame, d: int) -> DataFrame:
 
     Copies of one position are combined inside each map task, however many there are.
     """
-    xs = _axes(d, "x")
-    cells = rows.withColumns(cell_columns(xs, F.col("eps")))
+    cells = rows.withColumns(cell_columns(d))
     keys = [c for c in cells.columns if c != "rid"]
     return stage(cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"), F.min("rid").alias("rid")), "points")
 

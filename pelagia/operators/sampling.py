@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pelagia.functions.expressions import count_label, is_noise, stable_order
+from pelagia.operators.features import rank_within
 from pelagia.runtime import attach
 
 
@@ -22,12 +23,27 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def cap_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    return df.orderBy(*order_by).limit(n)
+    """First ``n`` rows by ``order_by`` (which must be unique), ranked in place over all tasks."""
+    return rank_within(df, [], order_by, "_rank").where(F.col("_rank") < n).drop("_rank")
 
 
 def sample_n(df: DataFrame, row_id: str, n: int = 10_000, seed: int = 0) -> DataFrame:
-    """Uniform sample without replacement of min(n, rows) rows, the same for the same ids and seed."""
-    return df.orderBy(stable_order(row_id, seed), row_id).limit(n)
+    """Uniform sample without replacement of min(n, rows) rows, the same for the same ids and seed.
+
+    It is the ``n`` rows with the least hash. On large tables rows whose hash cannot be among them are
+    dropped while reading, so what is sorted stays near ``n`` rows; should fewer than ``n`` be left, the
+    bound is raised.
+    """
+    order = stable_order(row_id, seed)
+    rows = df.count()
+    share = 1.1 * (n + 1000) / max(rows, 1)
+    while share < 0.25:
+        below = stage(df.where(order < f"{int(share * 16 ** 12):012x}"), "sample")
+        if below.count() >= n:
+            df = below
+            break
+        share *= 4
+    return df.orderBy(order, row_id).limit(n)
 
 
 def preview_sample(df: DataFrame, row_id: str, points: int = 20_000, noise: int = 5_000, seed: int = 0,
@@ -51,8 +67,6 @@ def collect_values(df: DataFrame, keys: list[str], value: str, order_by: str, li
     The row number is limited before the arrays are built; Spark then also cuts each group to ``limit``
     rows inside every map task, so a hot group never reaches one task whole.
     """
-    from pyspark.sql import Window
-
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(order_by))
     first = (df.select(*keys, F.col(value).alias("_value"), F.col(order_by).alias(order_by))
              .where(F.col("_value").isNotNull())

@@ -10,7 +10,7 @@ from pelagia.functions.expressions import group_label
 from pelagia.operators.clean import require_columns, resolve_column
 from pelagia.operators.joins import match_groups
 from pelagia.operators.niche import TAXONOMIC_LEVELS, multi_level_stats
-from pelagia.operators.sampling import collect_values, top_groups
+from pelagia.operators.sampling import collect_values, sort_by_count, top_groups
 from pelagia.runtime import stage
 from pelagia.sources.delimited import with_row_id
 
@@ -45,4 +45,4 @@ def temperature_niche(df: DataFrame, levels: list[str] | None = None, row_id: st
     table = stage(multi_level_stats(df, present, value, min_obs), "niche")
     top = top_groups(table, "observation_count", KEYS).withColumn(
         "label", group_label("taxonomic_group", "observation_count"))
-    return TemperatureNiche(table, top, niche_distributions(df, table, present, value, row_id))
+    return TemperatureNiche(sort_by_count(table, "observation_count", KEYS), top, niche_distributions(df, table, present, value, row_id))

@@ -72,83 +72,105 @@ def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
 
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-           broadcast_rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
+           broadcast_rows: int | None = None, hot_rows: int | None = None,
+           left_counts: DataFrame | None = None) -> DataFrame:
     """Join a lookup table: broadcast when it is known to be small, otherwise a join that splits hot keys.
 
     The size is taken from the planner when ``right`` rests on small files. If that does not settle it,
-    ``right`` is written once and its rows are counted.
+    ``right`` is written once and its rows are counted. ``left_counts(keys…, n)``, when the caller has it,
+    saves counting the keys of ``left``.
     """
     if broadcast_rows is None and is_small(right):
         return left.join(F.broadcast(right), keys, how)
     right = stage(right, "lookup")
     if fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), keys, how)
-    return skew_join(left, right, keys, how, hot_rows)
+    left_parts = None if left_counts is None else parts_of_counts(left_counts, keys, hot_rows)
+    return skew_join(left, right, keys, how, hot_rows, left_parts=left_parts)
 
 
-def _hot_counts(df: DataFrame, keys: list[str], hot_rows: int, out: str) -> DataFrame:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return counts.where((F.col(out) > hot_rows) & _all_present(keys))
+def hot_parts(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """``(keys…, parts)`` for the keys of ``df`` with more than ``hot_rows`` rows; the null key counts too.
+
+    Rows are counted per key inside each map task first. The table has at most rows / ``hot_rows`` rows; if
+    that is still too many to broadcast, the limit is raised.
+    """
+    return parts_of_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, hot_rows)
+
+
+def parts_of_counts(counts: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    hot = stage(counts.where(F.col("n") > hot_rows).select(*keys, "n"), "hot")
+    while not is_small(hot) and not fits_broadcast(hot):
+        hot_rows *= 4
+        hot = hot.where(F.col("n") > hot_rows)
+    return hot.select(*keys, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("parts"))
 
 
-def _all_present(keys: list[str]):
+def _all_present(keys: list[str]) -> Column:
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
     return present
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-              hot_rows: int | None = None) -> DataFrame:
+def _with_parts(df: DataFrame, parts: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Add the number of parts of each row's key, 1 unless it is hot."""
+    named = parts.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.col("parts").alias("_parts"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hot_{i}"))
+    return (df.join(F.broadcast(named), same, "left").withColumn(out, F.coalesce("_parts", F.lit(1)))
+            .drop("_parts", *[f"_hot_{i}" for i in range(len(keys))]))
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hot_rows: int | None = None,
+              left_parts: DataFrame | None = None, right_parts: DataFrame | None = None) -> DataFrame:
     """Equi-join in which a key with very many rows on either side is spread over many tasks.
 
-    Keys above ``hot_rows`` are counted first (a pre-aggregated count per key). Without any, this is a
-    plain join. Otherwise rows of a hot key get a part number on their own side and are copied once per
-    part of the other side, so every matching pair still meets exactly once. Supports ``inner``, ``left``,
-    ``left_semi`` and ``left_anti``.
+    Keys above ``hot_rows`` are counted first (a pre-aggregated count per key) unless the caller passes their
+    parts. Without any, this is a plain join. Otherwise rows of a hot key get a part number on their own side
+    and are copied once per part of the other side, so every matching pair still meets exactly once.
+    Supports ``inner``, ``left``, ``left_semi`` and ``left_anti``.
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    if how in ("left_semi", "left_anti"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    exists_only = how in ("left_semi", "left_anti")
+    right = right.where(_all_present(keys))
+    if exists_only:
         right = right.select(*keys).distinct()
-    hot = stage(
-        _hot_counts(left, keys, hot_rows, "_ln").join(_hot_counts(right, keys, hot_rows, "_rn"), keys, "full"),
-        "hot")
-    while not fits_broadcast(hot):
-        hot_rows *= 4
-        hot = hot.where((F.col("_ln") > hot_rows) | (F.col("_rn") > hot_rows))
-    if hot.isEmpty():
+    if left_parts is None:
+        left_parts = hot_parts(left, keys, hot_rows)
+    if right_parts is None and not exists_only:
+        right_parts = hot_parts(right, keys, hot_rows)
+    left_hot = not left_parts.isEmpty()
+    right_hot = right_parts is not None and not right_parts.isEmpty()
+    if not left_hot and not right_hot:
         return left.join(right, keys, how)
 
-    def parts(name):
-        return F.coalesce(F.ceil(F.col(name) / F.lit(hot_rows)), F.lit(1)).cast("int")
+    def counted(df: DataFrame) -> DataFrame:
+        df = _with_parts(df, left_parts, keys, "_lparts") if left_hot else df.withColumn("_lparts", F.lit(1))
+        return _with_parts(df, right_parts, keys, "_rparts") if right_hot else df.withColumn("_rparts", F.lit(1))
 
-    hot = F.broadcast(hot.select(*keys, parts("_ln").alias("_lparts"), parts("_rn").alias("_rparts")))
+    def part(cols: list[str], parts: str) -> Column:
+        # the input partition is part of the hash, so exact copies of one row are spread as well
+        return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.col(parts)).cast("int")
 
-    def spread(df: DataFrame, own: str, other: str, own_part: str, other_part: str) -> DataFrame:
-        # The input partition is part of the hash, so exact copies of one row are spread as well.
-        salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.col("_own"))
-        return (df.join(hot, keys, "left")
-                .withColumn("_own", F.coalesce(own, F.lit(1)))
-                .withColumn("_other", F.coalesce(other, F.lit(1)))
-                .withColumn(own_part, salt.cast("int"))
-                .withColumn(other_part, F.explode(F.sequence(F.lit(0), F.col("_other") - 1)))
-                .drop("_own", "_lparts", "_rparts"))
+    def copies(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
-    lparts, rparts = F.col("_lparts"), F.col("_rparts")
-    lefts = spread(left, lparts, rparts, "_lpart", "_rpart").withColumnRenamed("_other", "_copies")
-    rights = spread(right, rparts, lparts, "_rpart", "_lpart").drop("_other")
+    lefts = (counted(left).withColumn("_lpart", part(left.columns, "_lparts"))
+             .withColumn("_rpart", copies("_rparts")).drop("_lparts"))
+    rights = (counted(right).withColumn("_rpart", part(right.columns, "_rparts"))
+              .withColumn("_lpart", copies("_lparts")).drop("_lparts", "_rparts"))
     on = [*keys, "_lpart", "_rpart"]
-    if how in ("left_semi", "left_anti"):
-        return lefts.join(rights, on, how).drop("_lpart", "_rpart", "_copies")
-    if how == "left":
+    if how == "left" and right_hot:
         joined = lefts.join(rights.withColumn("_hit", F.lit(True)), on, "left")
-        # A copied left row belongs to a key that exists on the right: its unmatched copies are artefacts.
-        joined = joined.where((F.col("_copies") == 1) | F.col("_hit").isNotNull()).drop("_hit")
-    elif how == "inner":
-        joined = lefts.join(rights, on, "inner")
+        # a copied left row belongs to a key that exists on the right: its unmatched copies are artefacts
+        joined = joined.where((F.col("_rparts") == 1) | F.col("_hit").isNotNull()).drop("_hit")
     else:
-        raise ValueError(f"unsupported join type {how!r}")
-    return joined.drop("_lpart", "_rpart", "_copies")
+        joined = lefts.join(rights, on, how)
+    return joined.drop("_lpart", "_rpart", "_rparts")
 
 
 def spread_partitions(df: DataFrame) -> int:
