@@ -515,7 +515,7 @@ def unscale(spark, folder):
 def embedding_columns(spark, folder):
     """The vectors as one numeric column per position."""
     vectors = read(spark, folder, "embeddings")
-    return vectors.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    return vectors.selectExpr("vec_id", *[f"double(embedding[{i}]) AS e{i}" for i in range(64)])
 
 
 EMBEDDING = [f"e{i}" for i in range(64)]
@@ -610,6 +610,45 @@ def dbscan_grid(spark, folder):
                    ["score"])
 
 
+GRID_EPS, GRID_MIN = [0.15, 0.2, 0.3], [5, 10]
+GRID_RUNS = ", ".join(f"({i * len(GRID_MIN) + j}, {e!r}::double, {m})"
+                      for i, e in enumerate(GRID_EPS) for j, m in enumerate(GRID_MIN))
+GRID_SQL = f"""with recursive {VALID_SQL}, runs(run, eps, min_samples) as (values {GRID_RUNS}),
+near as (select a.rid as a, b.rid as b, sqrt((a.lat-b.lat)*(a.lat-b.lat) + (a.lon-b.lon)*(a.lon-b.lon)) as dist
+  from valid a join valid b on b.lat between a.lat - 1 and a.lat + 1),
+pairs as (select run, min_samples, a, b from near join runs on dist <= eps),
+core as (select run, a as rid from pairs group by run, min_samples, a having count(*) >= min_samples),
+edges as (select pairs.run, a, b from pairs join core x on x.run = pairs.run and x.rid = a
+  join core y on y.run = pairs.run and y.rid = b),
+reach(run, node, label) as (select run, rid, rid from core
+  union select r.run, e.b, r.label from reach r join edges e on e.run = r.run and e.a = r.node),
+comp as (select run, node, min(label) as root from reach group by run, node),
+numbered as (select run, node, dense_rank() over (partition by run order by root) - 1 as cluster from comp),
+border as (select p.run, p.a as node, min(n.cluster) as cluster from pairs p join numbered n on p.b = n.node and n.run = p.run
+  where not exists (select 1 from core c where c.run = p.run and c.rid = p.a) group by p.run, p.a),
+labels as (select * from numbered union all select * from border),
+pts as (select run, rid, lat, lon, labels.cluster from labels join valid on rid = node),
+sums as (select a.run, a.rid, a.cluster as own, b.cluster as other,
+  sum(sqrt((a.lat-b.lat)*(a.lat-b.lat) + (a.lon-b.lon)*(a.lon-b.lon))) as total, count(*) as n
+  from pts a join pts b on a.run = b.run group by 1, 2, 3, 4),
+ab as (select run, rid, own, max(total / nullif(n - 1, 0)) filter (own = other) as a,
+  min(total / n) filter (own != other) as b from sums group by run, rid, own),
+scores as (select run, avg(case when a is null then 0 when greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end) as s
+  from ab group by run),
+counts as (select run, cast(count(distinct cluster) as integer) as n_clusters, count(*) as n_clustered from pts group by run)
+select runs.run, eps, min_samples, coalesce(n_clusters, 0) as n_clusters, (select count(*) from valid) - coalesce(n_clustered, 0) as n_noise,
+  coalesce(n_clustered, 0) as n_clustered, case when n_clusters >= 2 and n_clustered > n_clusters then round(s, 6) end as score
+from runs left join counts using (run) left join scores using (run)"""
+
+
+@query(GRID_SQL)
+def dbscan_grid_degrees(spark, folder):
+    points = valid_points(spark, folder)
+    # a sample as large as the table keeps every row
+    grid = density.dbscan_grid(points, ["lat", "lon"], "rid", GRID_EPS, GRID_MIN, sample=points.count())
+    return rounded(grid, ["score"])
+
+
 # --- plans -------------------------------------------------------------------------------------------
 
 @query("""with combined as (

@@ -18,9 +18,15 @@ from pelagia.operators.silhouette import silhouette_euclidean
 from pelagia.runtime import stage
 
 
+# Rows with more features than this rarely repeat; they are kept as they are, with weight 1.
+COMBINE_FEATURES = 16
+
+
 def weighted_points(df: DataFrame, cols: list[str]) -> DataFrame:
     """Distinct feature rows with their number of rows ``n``; rows with a null feature are dropped."""
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
+    typed = df.selectExpr(*[f"cast(`{c}` AS double) AS `{c}`" for c in cols]).na.drop()
+    if len(cols) > COMBINE_FEATURES:
+        return stage(typed.withColumn("n", F.lit(1.0)), "points")
     return stage(typed.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("n")), "points")
 
 
@@ -38,7 +44,9 @@ def _relabel(model, df: DataFrame) -> DataFrame:
 
 def kmeans(df: DataFrame, cols: list[str], k: int = 4, seed: int = 1) -> DataFrame:
     """Rows without null features, with their ``cluster`` (numbered by centre)."""
-    model = _fit(assemble_features(weighted_points(df, cols), cols).cache(), k, seed)
+    features = assemble_features(weighted_points(df, cols), cols).cache()
+    model = _fit(features, k, seed)
+    features.unpersist()
     return _relabel(model, model.transform(assemble_features(df, cols))).drop("features")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pelagia.functions.expressions import count_label, is_noise, stable_order
 from pelagia.operators.features import rank_within
-from pelagia.runtime import attach
+from pelagia.runtime import attach, stage
 
 
 def sort_by_count(df: DataFrame, count_col: str, ties: list[str]) -> DataFrame:
