@@ -81,14 +81,20 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner
     saves counting the keys of ``left``.
     """
     if broadcast_rows is None and is_small(right):
-        return left.join(F.broadcast(right), keys, how)
+        return _left_first(left, left.join(F.broadcast(right), keys, how))
     right = stage(right, "lookup")
     if fits_broadcast(right, broadcast_rows):
-        return left.join(F.broadcast(right), keys, how)
+        return _left_first(left, left.join(F.broadcast(right), keys, how))
     left_parts = None if left_counts is None else parts_of_counts(left_counts, keys, hot_rows)
     return skew_join(left, right, keys, how, hot_rows, left_parts=left_parts)
 
 
+def _left_first(left: DataFrame, joined: DataFrame) -> DataFrame:
+    """The columns of ``left`` in their order, then the added ones."""
+    added = [c for c in joined.columns if c not in left.columns]
+    return joined.select(*[F.col(f"`{c}`") for c in (*left.columns, *added)])
+
+
 def hot_parts(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
     """``(keys…, parts)`` for the keys of ``df`` with more than ``hot_rows`` rows; the null key counts too.
 
@@ -146,7 +152,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     left_hot = not left_parts.isEmpty()
     right_hot = right_parts is not None and not right_parts.isEmpty()
     if not left_hot and not right_hot:
-        return left.join(right, keys, how)
+        return _left_first(left, left.join(right, keys, how))
 
     def counted(df: DataFrame) -> DataFrame:
         df = _with_parts(df, left_parts, keys, "_lparts") if left_hot else df.withColumn("_lparts", F.lit(1))
@@ -170,7 +176,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
         joined = joined.where((F.col("_rparts") == 1) | F.col("_hit").isNotNull()).drop("_hit")
     else:
         joined = lefts.join(rights, on, how)
-    return joined.drop("_lpart", "_rpart", "_rparts")
+    return _left_first(left, joined.drop("_lpart", "_rpart", "_rparts"))
 
 
 def spread_partitions(df: DataFrame) -> int:
