@@ -139,7 +139,9 @@ def group_sizes(df: DataFrame, group: str, value: str, n: int = 10) -> DataFrame
 
 def min_group_size(df: DataFrame, group: str, value: str, n: int = 10) -> DataFrame:
     """Rows of the groups that have at least ``n`` non-null values."""
-    return attach(df, group_sizes(df, group, value, n).select(group), [group], "left_semi")
+    sizes = group_sizes(df, group, value, n)
+    counts = sizes.select(group, F.col("observations").alias("n"))
+    return attach(df, sizes.select(group), [group], "left_semi", left_counts=counts)
 
 
 def rows_of_group(df: DataFrame, col: str, value) -> DataFrame:

@@ -24,14 +24,16 @@ def join_one_per_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def left_join_chain(base: DataFrame, tables: list[tuple[DataFrame, str]], key: str,
-                    hot_rows: int | None = None) -> DataFrame:
+                    hot_rows: int | None = None, unique_base: bool = False) -> DataFrame:
     """``base`` left-joined with each ``(table, suffix)`` in turn on ``key``.
 
     Several matches multiply the row; a column already present gets the suffix; an empty table adds
     nothing. Hot keys are counted once per input table, never on a joined result; without any, all joins
-    share one partitioning by ``key``.
+    share one partitioning by ``key``. ``unique_base`` says that ``base`` has one row per key, which saves
+    counting it.
     """
-    result, left_parts = base, hot_parts(base, [key], hot_rows)
+    result = base
+    left_parts = hot_parts(base.limit(0) if unique_base else base, [key], hot_rows)
     for table, suffix in tables:
         if table.isEmpty():
             continue

@@ -102,4 +102,6 @@ def silhouette_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int =
     for k, model in sorted(models.items()):
         one = model.transform(features).select(*cols, "n", "cluster", F.lit(k).alias("k"))
         labelled = one if labelled is None else labelled.unionByName(one)
-    return silhouette_euclidean(labelled, cols, "cluster", run="k", weight="n")
+    scores = silhouette_euclidean(labelled, cols, "cluster", run="k", weight="n")
+    features.unpersist()  # the points are written by now
+    return scores

@@ -59,12 +59,17 @@ def _bounds() -> tuple[Column, Column]:
             F.when(same, F.col("max") + 0.5).otherwise(F.col("max")))
 
 
+def _sizes(moments: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per group of the value counts, known from the moments."""
+    return moments.select(*keys, F.col("values").alias("n"))
+
+
 def histogram(counts: DataFrame, moments: DataFrame, keys: list[str], bins: int = 20) -> DataFrame:
     """Rows and squared deviations per group and non-empty bin."""
     m = moments.select(*keys, "min", "max", "mean")
     lo, hi = _bounds()
     v, dev = F.col("value"), F.col("value") - F.col("mean")
-    return (attach(counts, m, keys).withColumn("bin", _bin_index(v, lo, hi, bins))
+    return (attach(counts, m, keys, left_counts=_sizes(moments, keys)).withColumn("bin", _bin_index(v, lo, hi, bins))
             .groupBy(*keys, "bin").agg(
                 F.sum("n").alias("rows"), F.sum(F.col("n") * dev * dev).alias("squares"),
                 F.min("min").alias("min"), F.max("max").alias("max"))
@@ -143,11 +148,12 @@ def group_quantiles(counts: DataFrame, moments: DataFrame, keys: list[str],
     gather_limit = GATHER_LIMIT if gather_limit is None else gather_limit
     sizes = moments.select(*keys, "values")
     small = sizes.where(F.col("values") <= gather_limit).drop("values")
-    result = _gathered_quantiles(attach(counts, small, keys, "left_semi"), keys, quantiles)
+    known = _sizes(moments, keys)
+    result = _gathered_quantiles(attach(counts, small, keys, "left_semi", left_counts=known), keys, quantiles)
     large = sizes.where(F.col("values") > gather_limit).drop("values")
     if not large.isEmpty():
         result = result.unionByName(
-            _ranked_quantiles(attach(counts, large, keys, "left_semi"), keys, quantiles))
+            _ranked_quantiles(attach(counts, large, keys, "left_semi", left_counts=known), keys, quantiles))
     return result
 
 

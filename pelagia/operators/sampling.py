@@ -9,6 +9,10 @@ from pelagia.operators.features import rank_within
 from pelagia.runtime import attach, stage
 
 
+# Parts a group is cut into before its first rows are taken.
+GROUP_PARTS = 64
+
+
 def sort_by_count(df: DataFrame, count_col: str, ties: list[str]) -> DataFrame:
     return df.orderBy(F.desc(count_col), *ties)
 
@@ -64,13 +68,17 @@ def preview_legend(df: DataFrame, sample: DataFrame, cluster: str = "cluster") -
 def collect_values(df: DataFrame, keys: list[str], value: str, order_by: str, limit: int = 1000) -> DataFrame:
     """First ``limit`` non-null values per group in row order, as an array.
 
-    The row number is limited before the arrays are built; Spark then also cuts each group to ``limit``
-    rows inside every map task, so a hot group never reaches one task whole.
+    The row number is limited before the arrays are built, first within parts of each group and then over
+    the parts. Spark also cuts every (group, part) to ``limit`` rows inside each map task, so a hot group
+    reaches no task whole.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(order_by))
-    first = (df.select(*keys, F.col(value).alias("_value"), F.col(order_by).alias(order_by))
+    parts = Window.partitionBy(*keys, "_part").orderBy("_order")
+    whole = Window.partitionBy(*keys).orderBy("_order")
+    first = (df.select(*keys, F.col(value).alias("_value"), F.col(order_by).alias("_order"))
              .where(F.col("_value").isNotNull())
-             .withColumn("_position", position).where(F.col("_position") <= limit))
+             .withColumn("_part", F.pmod(F.xxhash64("_order"), F.lit(GROUP_PARTS)))
+             .withColumn("_position", F.row_number().over(parts)).where(F.col("_position") <= limit)
+             .withColumn("_position", F.row_number().over(whole)).where(F.col("_position") <= limit))
     pairs = F.array_sort(F.collect_list(F.struct("_position", "_value")))
     return first.groupBy(*keys).agg(F.transform(pairs, lambda p: p.getField("_value")).alias("all_values"))
 

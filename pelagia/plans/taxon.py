@@ -40,7 +40,7 @@ def build_taxon_table(taxon: DataFrame, vernacular: DataFrame, profile: DataFram
     return left_join_chain(
         clean_taxon(taxon),
         [(clean_vernacular(vernacular, language), "_vern"), (clean_species_profile(profile), "_species"),
-         (clean_distribution(distribution), "_dist")], "taxonID")
+         (clean_distribution(distribution), "_dist")], "taxonID", unique_base=True)
 
 
 def clean_taxon_csv(df: DataFrame, trim: bool = False) -> DataFrame:

@@ -179,5 +179,12 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return _left_first(left, joined.drop("_lpart", "_rpart", "_rparts"))
 
 
+# Size of a range partition, and the most partitions a range shuffle is given.
+PARTITION_BYTES = 128 << 20
+MAX_PARTITIONS = 50_000
+
+
 def spread_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions for a range shuffle of ``df``: the session's number, more when its size asks for it."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(planned_bytes(df) // PARTITION_BYTES, MAX_PARTITIONS))
