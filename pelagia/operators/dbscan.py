@@ -14,8 +14,8 @@ from pelagia.functions.expressions import NOISE
 from pelagia.operators.components import connected_components
 from pelagia.operators.features import rank_within
 from pelagia.operators.neighbors import (
-    PAIR_LIMIT, _axes, cell_columns, cell_summary, collapse, has_position, position_columns, positions, resolve,
-    weight_within,
+    PAIR_LIMIT, _axes, cell_columns, cell_summary, cells_within, collapse, has_position, position_columns, positions,
+    touching_cells, weight_within,
 )
 from pelagia.operators.sampling import sample_n
 from pelagia.operators.silhouette import silhouette_euclidean
@@ -28,7 +28,7 @@ def _with_runs(rows: DataFrame, runs: list[tuple[int, float, int]]) -> DataFrame
     return rows.selectExpr(f"inline(array({settings}))", "*")
 
 
-def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _fit(rows: DataFrame, d: int, pair_limit: int, touch_limit: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Labels of the dense cells ``(run, c0.., cluster)``, their rows ``(run, c0.., n)``, and the labels of
     the points elsewhere ``(run, x0.., cluster)``."""
     cs, xs = _axes(d, "c"), _axes(d, "x")
@@ -43,7 +43,7 @@ def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame
     sparse = attach(points, sparse_cells.select(*cell_key), cell_key, "left_semi", left_counts=per_cell)
     if not is_small(sparse_cells):
         sparse = stage(sparse, "sparse")
-    near = weight_within(sparse, points, sparse_cells, cells, d, pair_limit)
+    near = weight_within(sparse, points, sparse_cells, cells, d, pair_limit=pair_limit)
     flagged = stage(sparse.join(near, ["run", "rid"], "left")
                     .withColumn("core", F.coalesce(F.col("near") >= F.col("min_samples"), F.lit(False)))
                     .drop("near"), "flagged")
@@ -56,25 +56,17 @@ def _fit(rows: DataFrame, d: int, pair_limit: int) -> tuple[DataFrame, DataFrame
     core_cells = stage(summary.unionByName(dense_cells.drop("min_samples")), "core_cells")
 
     # clusters: components of core cells that touch, numbered by their least core row id
-    whole, single = resolve(core, core, core_cells, core_cells, d, touching_only=True, pair_limit=pair_limit)
-    edges = whole.select("run", "a_id", "b_id").unionByName(single.select("run", "a_id", "b_id")).distinct()
-    roots = connected_components(core_cells.select("run", "id"),
-                                 edges.withColumnsRenamed({"a_id": "u", "b_id": "v"}))
+    edges = touching_cells(core, core_cells, d, touch_limit)
+    roots = connected_components(core_cells.select("run", "id"), edges)
     numbers = rank_within(roots.select("run", "root").distinct(), ["run"], ["root"], "cluster")
     of_root = attach(roots, numbers, ["run", "root"]).select("run", "id", "cluster")
     labelled = stage(core_cells.select(*cell_key, "dense", "id").join(of_root, ["run", "id"]), "labelled")
 
     # border points: lowest-numbered cluster with a core point in reach
     loose = flagged.where("NOT core").drop("core")
-    loose_cells = cell_summary(loose, d)
-    whole, single = resolve(loose, core, loose_cells, core_cells, d, pair_limit=pair_limit)
-    ids = loose_cells.select(*cell_key, F.col("id").alias("a_id"))
-    members = loose.select(*cell_key, F.col("rid").alias("a_rid")).join(ids, cell_key).select("run", "a_id", "a_rid")
-    contacts = (whole.select("run", "a_id", "b_id").join(members, ["run", "a_id"]).select("run", "a_rid", "b_id")
-                .unionByName(single.select("run", "a_rid", "b_id")))
+    contacts = cells_within(loose, core, cell_summary(loose, d), core_cells, d, pair_limit)
     clusters = labelled.select("run", F.col("id").alias("b_id"), "cluster")
-    border = (contacts.join(clusters, ["run", "b_id"])
-              .groupBy("run", F.col("a_rid").alias("rid")).agg(F.min("cluster").alias("cluster")))
+    border = contacts.join(clusters, ["run", "b_id"]).groupBy("run", "rid").agg(F.min("cluster").alias("cluster"))
 
     core_labels = single_cores.join(labelled.select(*cell_key, "cluster"), cell_key).select("run", *xs, "cluster")
     loose_labels = loose.join(border, ["run", "rid"], "left").select(
@@ -108,7 +100,7 @@ def dbscan(df: DataFrame, coords: list[str], eps: float, min_samples: int, row_i
     d = len(coords)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, min_samples)
     rows = _with_runs(positions(df, coords, row_id), [(0, eps, min_samples)])
-    labels = _fit(rows, d, limit)
+    labels = _fit(rows, d, limit, pair_limit)
     packed = df.select(F.struct("*").alias("row"), *position_columns(coords))
     placed = packed.where(has_position(d)).select("row", F.lit(0).alias("run"), F.lit(float(eps)).alias("eps"), *_axes(d, "x"))
     labelled = _label(placed, d, *labels).select("row", "cluster")
@@ -135,7 +127,7 @@ def dbscan_grid(df: DataFrame, coords: list[str], row_id: str, eps_values: list[
     sampled = stage(sample_n(positions(df, coords, row_id), "rid", sample, seed), "sample")
     rows = _with_runs(sampled, runs)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, *min_samples_values)
-    labelled = stage(_label(rows, d, *_fit(rows, d, limit)), "labelled")
+    labelled = stage(_label(rows, d, *_fit(rows, d, limit, pair_limit)), "labelled")
     noise = F.col("cluster") == NOISE
     sizes = labelled.groupBy("run", "eps", "min_samples", "cluster").agg(F.count(F.lit(1)).alias("rows"))
     counts = sizes.groupBy("run", "eps", "min_samples").agg(

@@ -20,10 +20,13 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pelagia.operators.clean import append_by_name
 from pelagia.runtime import attach, stage, stage_counting
 
 # Pairs of boxes with at most this many pairs of points are compared point by point.
 PAIR_LIMIT = 65_536
+# Where one contact is enough, splitting boxes finds it sooner than comparing their points.
+TOUCH_LIMIT = 4_096
 # Boxes are split 4-fold per axis and level; beyond this depth they hold at most a few distinct doubles.
 MAX_LEVEL = 12
 MAX_FEATURES = 3
@@ -127,56 +130,72 @@ def _compare(small: DataFrame, a_points: DataFrame, b_points: DataFrame, d: int,
 
 
 def resolve(a_points: DataFrame, b_points: DataFrame, a_cells: DataFrame, b_cells: DataFrame, d: int,
-            touching_only: bool = False, pair_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+            touching_only: bool = False, split_a: bool = False,
+            pair_limit: int | None = None) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
     """All contacts within eps between ``a_points`` and ``b_points``.
 
-    Returns ``(whole, single)``: ``whole(run, a_id, b_id, b_w)`` says that every point of cell ``a_id`` is
-    within eps of ``b_w`` weight of cell ``b_id``; ``single(run, a_id, a_rid, b_id, b_w)`` has one row per
-    remaining pair of points. ``single`` is lazy and meant to be aggregated, never stored.
+    Returns ``(whole, single)``. ``whole`` lists per level ``(run, a_id, a_g0.., b_id, b_w)``: every point in
+    the box ``a_g`` of cell ``a_id`` is within eps of ``b_w`` weight of cell ``b_id``.
+    ``single(run, a_id, a_rid, b_id, b_w)`` has one row per remaining pair of points; it is lazy and meant to
+    be aggregated, never stored.
 
-    With ``touching_only`` both tables are the same, each pair of cells is listed once, and a pair of cells
-    is dropped as soon as one contact is known.
+    Boxes of ``b`` are split; those of ``a`` only with ``split_a``, so without it cells of ``a`` should hold
+    few points. With ``touching_only`` both tables are the same, each pair of cells is listed once, and a pair
+    of cells is dropped as soon as one contact is known.
     """
-    limit = PAIR_LIMIT if pair_limit is None else pair_limit
+    limit = (TOUCH_LIMIT if touching_only else PAIR_LIMIT) if pair_limit is None else pair_limit
     fits = F.col("a_n") * F.col("b_n") <= limit
     many = ~F.col("inside") & ~fits
     pairs, left_over = stage_counting(_cell_pairs(a_cells, b_cells, d, touching_only), many, "pairs")
     whole, single, level = [], [], 0
     while True:
-        settled = pairs.where("inside").select("run", "a_id", "b_id", "b_w")
-        whole.append(settled)
+        a_level = level if split_a else 0
+        settled = pairs.where("inside").select("run", "a_id", *_axes(d, "a_g"), "b_id", "b_w")
+        whole.append((a_level, settled))
         rest = pairs.where("NOT inside")
         if touching_only and level:
             rest = rest.join(settled.select("run", "a_id", "b_id").distinct(), ["run", "a_id", "b_id"], "left_anti")
         last = level == MAX_LEVEL or not left_over
         small = rest if last else rest.where(fits)
-        single.append(_compare(small, a_points, b_points, d, level if touching_only else 0, level))
+        single.append(_compare(small, a_points, b_points, d, a_level, level))
         if last:
             break
         level += 1
         pairs, left_over = stage_counting(
-            _split(rest.where(~fits), a_points, b_points, d, level, touching_only), many, "pairs")
-    return _union(whole), _union(single)
+            _split(rest.where(~fits), a_points, b_points, d, level, split_a), many, "pairs")
+    return whole, append_by_name(single)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def touching_cells(points: DataFrame, cells: DataFrame, d: int, pair_limit: int | None = None) -> DataFrame:
+    """``(run, u, v)``: pairs of cells with points within eps of each other, each pair once."""
+    whole, single = resolve(points, points, cells, cells, d, touching_only=True, split_a=True, pair_limit=pair_limit)
+    known = append_by_name([w.select("run", "a_id", "b_id") for _, w in whole])
+    both = known.unionByName(single.select("run", "a_id", "b_id")).distinct()
+    return both.withColumnsRenamed({"a_id": "u", "b_id": "v"})
+
+
+def cells_within(a_points: DataFrame, b_points: DataFrame, a_cells: DataFrame, b_cells: DataFrame, d: int,
+                 pair_limit: int | None = None) -> DataFrame:
+    """``(run, rid, b_id)``: cells of ``b`` with a point within eps of each point of ``a`` (with repeats)."""
+    whole, single = resolve(a_points, b_points, a_cells, b_cells, d, pair_limit=pair_limit)
+    key = ["run", "eps", *_axes(d, "c")]
+    members = a_points.select(*key, "rid").join(a_cells.select(*key, F.col("id").alias("a_id")), key)
+    known = append_by_name([w.select("run", "a_id", "b_id") for _, w in whole])
+    return (known.join(members, ["run", "a_id"]).select("run", "rid", "b_id")
+            .unionByName(single.select("run", F.col("a_rid").alias("rid"), "b_id")))
 
 
 def weight_within(a_points: DataFrame, b_points: DataFrame, a_cells: DataFrame, b_cells: DataFrame, d: int,
-                  pair_limit: int | None = None) -> DataFrame:
+                  split_a: bool = False, pair_limit: int | None = None) -> DataFrame:
     """``(run, rid, near)``: weight of ``b`` within eps of each point of ``a``."""
-    whole, single = resolve(a_points, b_points, a_cells, b_cells, d, pair_limit=pair_limit)
-    by_cell = whole.groupBy("run", "a_id").agg(F.sum("b_w").alias("near"))
-    ids = a_cells.select("run", "eps", *_axes(d, "c"), F.col("id").alias("a_id"))
-    of_cell = ids.join(by_cell, ["run", "a_id"]).drop("a_id")
-    pushed = attach(a_points.select("run", "eps", *_axes(d, "c"), "rid"), of_cell, ["run", "eps", *_axes(d, "c")])
-    single = single.groupBy("run", F.col("a_rid").alias("rid")).agg(F.sum("b_w").alias("near"))
-    return (pushed.select("run", "rid", "near").unionByName(single)
-            .groupBy("run", "rid").agg(F.sum("near").alias("near")))
+    whole, single = resolve(a_points, b_points, a_cells, b_cells, d, split_a=split_a, pair_limit=pair_limit)
+    parts = [single.groupBy("run", F.col("a_rid").alias("rid")).agg(F.sum("b_w").alias("near"))]
+    for level in sorted({at for at, _ in whole}):
+        boxes = append_by_name([w for at, w in whole if at == level]).groupBy(
+            "run", *[F.col(f"a_g{i}").alias(f"g{i}") for i in range(d)]).agg(F.sum("b_w").alias("near"))
+        pushed = attach(_with_box(a_points, d, level), boxes, ["run", *_axes(d, "g")])
+        parts.append(pushed.select("run", "rid", "near"))
+    return append_by_name(parts).groupBy("run", "rid").agg(F.sum("near").alias("near"))
 
 
 def collapse(rows: DataFrame, d: int) -> DataFrame:
@@ -219,7 +238,7 @@ def neighbors_within(df: DataFrame, coords: list[str], eps: float, row_id: str,
     rows = positions(df, coords, row_id).select(F.lit(0).alias("run"), F.lit(float(eps)).alias("eps"), "rid", *_axes(d, "x"))
     points = collapse(rows, d)
     cells = stage(cell_summary(points, d), "cells")
-    near = weight_within(points, points, cells, cells, d, pair_limit)
+    near = weight_within(points, points, cells, cells, d, split_a=True, pair_limit=pair_limit)
     counted = points.join(near, ["run", "rid"]).select("near", *_axes(d, "x"))
     # every row at a position gets the count of the position
     return (attach(rows.select("rid", *_axes(d, "x")), counted, _axes(d, "x"))
