@@ -160,7 +160,12 @@ def group_quantiles(counts: DataFrame, moments: DataFrame, keys: list[str],
 def value_profile(df: DataFrame, keys: list[str], value: str, min_obs: int = 1, bins: int = 20,
                   gather_limit: int | None = None) -> DataFrame:
     """Count, mean, median, mode, peak, min, max, deviation, quantiles and widths per group."""
-    counts = stage(value_counts(df, keys, value), "counts")
+    return profile_counts(stage(value_counts(df, keys, value), "counts"), keys, min_obs, bins, gather_limit)
+
+
+def profile_counts(counts: DataFrame, keys: list[str], min_obs: int = 1, bins: int = 20,
+                   gather_limit: int | None = None) -> DataFrame:
+    """The value profile from (staged) value counts."""
     moments = stage(group_moments(counts, keys, min_obs), "moments")
     shape = histogram_summary(histogram(counts, moments, keys, bins), keys)
     quantiles = group_quantiles(counts, moments, keys, gather_limit=gather_limit)
@@ -198,14 +203,19 @@ def dominant_value(df: DataFrame, keys: list[str], col: str, out: str) -> DataFr
     return counts.groupBy(*keys).agg(best.getField(out).alias(out))
 
 
-def dominant_parents(df: DataFrame, levels: list[str], value: str) -> DataFrame:
+def path_counts(df: DataFrame, levels: list[str], value: str) -> DataFrame:
+    """``(levels…, value, n)``: rows per distinct path of ranks and value, rows without a value dropped."""
+    names = [F.col(f"`{c}`").cast("string").alias(c) for c in levels]
+    typed = df.select(*names, to_double(value).alias("value")).where(F.col("value").isNotNull())
+    return typed.groupBy(*levels, "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dominant_parents(counts: DataFrame, levels: list[str]) -> DataFrame:
     """Most frequent name at every coarser rank, for every group of every level.
 
-    Rows are first counted per distinct path of ranks; only those paths are expanded into pairs of ranks.
+    Takes path counts; only the distinct paths of ranks are expanded into pairs of ranks.
     """
-    typed = df.where(to_double(value).isNotNull()).select(
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in levels])
-    paths = typed.groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
+    paths = counts.groupBy(*levels).agg(F.sum("n").alias("n"))
     pairs = [
         F.struct(F.lit(fine).alias("taxonomic_level"), F.col(f"`{fine}`").alias("taxonomic_group"),
                  F.lit(coarse).alias("rank"), F.col(f"`{coarse}`").alias("name"))
@@ -235,13 +245,14 @@ def multi_level_stats(df: DataFrame, levels: list[str], value: str, min_obs: int
                       gather_limit: int | None = None) -> DataFrame:
     """Value profile and dominant parents of every group of every level, largest groups first.
 
-    ``levels`` run from coarse to fine. All levels are profiled in one grouping by (level, group).
+    ``levels`` run from coarse to fine. The rows are read once, into counts per path of ranks and value; all
+    levels are then profiled in one grouping by (level, group), and the parents come from the same counts.
     """
     keys = ["taxonomic_level", "taxonomic_group"]
     present = [c for c in levels if c in df.columns]
-    rows = df.where(to_double(value).isNotNull())
-    profile = value_profile(unpivot_levels(rows, present, [value]), keys, value, min_obs,
-                            gather_limit=gather_limit)
-    parents = dominant_parents(df, present, value)
+    paths = stage(path_counts(df, present, value), "paths")
+    counts = unpivot_levels(paths, present, ["value", "n"]).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    profile = profile_counts(stage(counts, "counts"), keys, min_obs, gather_limit=gather_limit)
+    parents = dominant_parents(paths, present)
     table = profile.withColumnsRenamed(NICHE_COLUMNS).join(parents, keys, "left")
     return sort_by_count(table, "observation_count", keys)

@@ -34,8 +34,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process has written; results that still read them must be saved first."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "table") -> DataFrame:

@@ -107,3 +107,14 @@ def test_scratch_folder_comes_from_the_session(spark):
     ids_ = delimited.with_row_id(spark.createDataFrame([("a",), ("b",)], "x string").repartition(2))
     assert rows(ids_) == rows(ids_) and ids_.select("row_id").distinct().count() == 2
     assert json.loads(json.dumps({"ok": True}))["ok"]
+
+
+def test_clear_scratch_deletes_only_its_own_tables(spark, tmp_path):
+    kept = str(tmp_path / "kept")
+    spark.range(3).write.parquet(kept)
+    staged = runtime.stage(spark.read.parquet(kept))
+    assert staged.count() == 3
+    runtime.clear_scratch(spark)
+    assert spark.read.parquet(kept).count() == 3 and not runtime._written
+    with pytest.raises(Exception):
+        staged.count()
