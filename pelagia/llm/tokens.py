@@ -14,16 +14,20 @@ exceptions (position and high bits) for the others. Layout, little-endian::
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pelagia.llm.common import chunks, partitions, ranges, read, text_bytes, with_id, without_id
+from pelagia.llm.common import (chunks, lowered, partitions, ranges, read, span_array, spaced_words, text_bytes, with_id,
+                                without_id, word_spans)
 from pelagia.llm.registry import query
 from pelagia.runtime import scratch_path, stage
 
@@ -32,7 +36,8 @@ PERCENTILE = 0.9
 MAGIC = b"PFR1"
 HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "u1"), ("ids", "<u2")])
 FOOT = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("ids", "<u8"), ("index", "<u8")])
-BATCH_BLOCKS = 8192
+BATCH_BLOCKS = 4096
+ENCODE_BYTES = 2 << 20
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -158,6 +163,12 @@ def read_file(source, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             held, given, done = [ids[many:]], given + many, ready
 
 
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: The letters by which byte-level vocabularies write the bytes that aren't printable in Latin-1.
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(
+    b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+
+
 class WordEncoder:
     """Ids of texts with a tokenizer that cuts at white space; every word is encoded once and remembered.
 
@@ -166,19 +177,52 @@ class WordEncoder:
     encoded whole.
     """
 
-    WORDS = 1 << 19
+    WORDS = 1 << 18
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+        # a lower-case word of letters is one piece for the model; asked directly, if the two agree
+        self.direct = False
+        tries = ["a", "word", "straße", "éclair", "übermäßig", "naïveté", "zzzxqy"]
+        self.direct = self.encode_words(tries) == self.whole(tries) == [self.piece(w) for w in tries]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def piece(self, word: str) -> list[int]:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        if not self.direct:
+            return self.whole(words)
+        out = [self.piece(w) if LETTERS.fullmatch(w) else None for w in words]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self.whole([words[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode new words and give them the next numbers."""
+        lengths, flat = [self.lengths], [self.flat]
+        for k in range(0, len(words), 4096):
+            lists = self.encode_words([w.decode() for w in words[k:k + 4096]])
+            lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            flat.append(np.fromiter(chain.from_iterable(lists), np.uint32))
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.lengths, self.flat = np.concatenate(lengths), np.concatenate(flat)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids."""
-        from pelagia.llm.common import span_array, spaced_words, word_spans
         data, bounds = text_bytes(column)
         starts, ends, first = word_spans(data, bounds, spaced_words())
         letter = np.zeros(256, bool)
@@ -194,24 +238,22 @@ class WordEncoder:
         a[at], b[at] = starts, ends - stop
         a[at[stop] + 1], b[at[stop] + 1] = ends[stop] - 1, ends[stop]
         first = np.append(at, total)[first]
-        words = span_array(a, b, data).dictionary_encode()
+        # A-Z is lower-cased by the vocabulary anyway
+        words = span_array(a, b, lowered()[data] if self.direct else data).dictionary_encode()
         unique = words.dictionary.to_pylist()
-        new = [w for w in unique if w not in self.known]
-        if len(self.known) + len(new) > self.WORDS:
-            self.known, new = {}, unique
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            self.known.update(zip(part, (np.array(x, np.uint32) for x in self.whole([w.decode() for w in part]))))
-        lists = [self.known[w] for w in unique]
-        lengths = np.array([len(x) for x in lists], np.int64)
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
-        number = words.indices.to_numpy()
-        n = lengths[number]
-        ids = flat[ranges((np.cumsum(lengths) - lengths)[number], n)] if len(number) else flat
+        if len(self.known) > self.WORDS:
+            self.forget()
+        place = np.fromiter(map(self.known.get, unique, repeat(-1)), np.int64, len(unique))
+        new = np.flatnonzero(place < 0)
+        place[new] = np.arange(len(self.known), len(self.known) + len(new))
+        self.learn([unique[i] for i in new])
+        number = place[words.indices.to_numpy()]
+        n = self.lengths[number]
+        ids = self.flat[ranges((np.cumsum(self.lengths) - self.lengths)[number], n)]
         total_before = np.concatenate([[0], np.cumsum(n)])
         counts = total_before[first[1:]] - total_before[first[:-1]]
-        special = [i for i in self._special(data, bounds)]
-        if special:
+        special = self._special(data, bounds)
+        if len(special):
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for i in special:
                 parts[i] = np.array(self.whole([data[bounds[i]:bounds[i + 1]].tobytes().decode()])[0], np.uint32)
@@ -245,7 +287,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, files:
         encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordEncoder(tokenizer))
         system, folder = pafs.FileSystem.from_uri(path)
         name = writer = None
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=ENCODE_BYTES):
             if writer is None:
                 number = batch.column("_file")[0].as_py()
                 name = f"part-{number:06d}-{uuid.uuid4().hex}.pfr"
