@@ -19,15 +19,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 
 from pelagia.llm import repeats
-from pelagia.llm.common import BYTE_CODES, chunks, partitions, ranges, read, text_bytes, window_sums, without_id
+from pelagia.llm.common import BYTE_CODES, CHUNK_BYTES, chunks, partitions, ranges, read, text_bytes, window_sums, without_id
 from pelagia.llm.registry import query
-from pelagia.runtime import stage
 
 WINDOW = 50
-ANCHOR = 8
+ANCHOR = 16
 #: Bytes of queued tuples that a task keeps in memory, and tuples handled at once.
 QUEUE_BYTES = 96 << 20
 PIECE = 1 << 20
@@ -286,139 +286,174 @@ def byte_units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return BYTE_CODES[0][data], bounds
 
 
-def _settle(docs: DataFrame, replies: DataFrame, window: int) -> DataFrame:
-    """Results of documents with nothing in question; for the others their text and stretches in question."""
-    def settle(batches):
-        for batch in chunks(batches, limit=repeats.CHUNK_BYTES):
-            runs = repeats.live_runs(batch, byte_units, window_sums, ANCHOR, window, False)
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, body``: texts compressed one by one, as they are to cross a shuffle."""
+    def pack(batches):
+        import zstandard
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in chunks(batches):
             data, bounds = text_bytes(batch.column("text"))
-            raw = data.tobytes()
-            sha = [None if s else hashlib.sha256(raw[a:b]).hexdigest() for (s, _, _), a, b in zip(runs, bounds, bounds[1:])]
-            text = pa.array([t if s else None for t, (s, _, _) in zip(batch.column("text").to_pylist(), runs)], pa.string())
-            starts, counts, values = zip(*runs)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), text, pa.array(starts, pa.binary()),
-                 pa.array(counts, pa.binary()), pa.array(values, pa.binary()), pa.array(np.diff(bounds)),
-                 pa.array(sha, pa.string())],
-                ["doc_id", "text_hash", "text", "starts", "counts", "values", "n_bytes", "kept_sha256"])
+            raw = memoryview(np.ascontiguousarray(data))
+            body = [squeeze.compress(raw[a:b]) for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(body, pa.binary())],
+                                             ["doc_id", "text_hash", "body"])
+
+    return docs.mapInArrow(pack, "doc_id long, text_hash long, body binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about ``limit`` bytes of text, with the text in place of the body."""
+    import zstandard
+    stretch = zstandard.ZstdDecompressor()
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            texts, size, to = [], 0, at
+            while to < batch.num_rows and (to == at or size < limit):
+                texts.append(stretch.decompress(batch.column("body")[to].as_py()))
+                size += len(texts[-1])
+                to += 1
+            yield batch.slice(at, to - at).append_column("text", pa.array(texts, pa.binary()).cast(pa.string())).drop_columns(["body"])
+            at = to
 
-    return repeats.with_answers(docs, replies).mapInArrow(
-        settle, "doc_id long, text_hash long, text string, starts binary, counts binary, values binary, n_bytes long, "
-                "kept_sha256 string")
+
+PIECES = "shard int, stretch binary, doc_id long, text_hash long, start int, windows int"
 
 
 def stretches(docs: DataFrame, window: int) -> DataFrame:
-    """``shard, stretch, doc_id, text_hash, start``: every stretch in question; equal strings are in one shard."""
+    """``shard, stretch, doc_id, text_hash, start, windows``: stretches in question; equal strings are in one shard.
+
+    ``docs(doc_id, text_hash, body, found)`` comes with the answers to its runs. Of equal stretches in a chunk only the
+    least document's is sent; the others are settled, and go on with a null stretch, spread over all shards. So content
+    that very many documents share reaches its shard once per chunk.
+    """
     shards = partitions(docs.sparkSession)
 
     def cut(batches):
-        for batch in chunks(batches):
+        for batch in unpacked(batches, repeats.CHUNK_BYTES):
+            runs = repeats.live_runs(batch, byte_units, window_sums, ANCHOR, window, False)
             data, bounds = text_bytes(batch.column("text"))
-            cells = [[np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]
-                     for c, kind in (("starts", np.int32), ("counts", np.int32), ("values", np.uint64))]
-            many = np.array([len(x) for x in cells[0]])
-            row = np.repeat(np.arange(batch.num_rows), many)
+            cells = [[np.frombuffer(x, kind) for x in c] for c, kind in zip(zip(*runs), (np.int32, np.int32, np.uint64))]
+            row = np.repeat(np.arange(batch.num_rows), [len(x) for x in cells[0]])
             start, count, value = (np.concatenate(c) for c in cells)
             length = count.astype(np.int64) + window - 1
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             body = data[ranges(bounds[row] + start, length)]
             text = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(body.tobytes())])
+            code = text.dictionary_encode().indices.to_numpy()
+            doc = batch.column("doc_id").to_numpy()[row]
+            texts = batch.column("text_hash").to_numpy()[row]
+            least = np.full(int(code.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(least, code, doc)
+            settled = doc > least[code]
+            shard = np.where(settled, texts.astype(np.uint64), value) % np.uint64(shards)
+            sent = pc.if_else(pa.array(settled), pa.scalar(None, pa.binary()), text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((value % np.uint64(shards)).astype(np.int32)), text, batch.column("doc_id").take(pa.array(row)),
-                 batch.column("text_hash").take(pa.array(row)), pa.array(start)],
-                ["shard", "stretch", "doc_id", "text_hash", "start"])
+                [pa.array(shard.astype(np.int32)), sent, pa.array(doc), pa.array(texts), pa.array(start), pa.array(count)],
+                [c.split()[0] for c in PIECES.split(", ")])
 
-    return docs.select("doc_id", "text_hash", "text", "starts", "counts", "values").mapInArrow(
-        cut, "shard int, stretch binary, doc_id long, text_hash long, start int")
+    return docs.mapInArrow(cut, PIECES)
 
 
-def judged(distinct: DataFrame, window: int) -> DataFrame:
-    """``key, doc_id, flags``: for each distinct stretch which of its windows also begin in a smaller document.
+def judged(pieces: DataFrame, window: int) -> DataFrame:
+    """``doc_id, text_hash, found``: pairs (first window, number of windows) that also begin in a smaller document.
 
-    ``distinct(shard, stretch, key, doc_id)`` has the least document of each stretch. ``flags`` has a byte per window. A
-    task writes its shard to disk as it arrives and sorts it there.
+    Each task writes the different stretches of its shard to disk as they arrive and sorts their suffixes from there.
     """
     def sort(batches):
+        number: dict[bytes, int] = {}
+        lengths, least, seen = [], [], []
         with tempfile.TemporaryFile() as spool:
-            lengths, owners, keys = [], [], []
             for batch in batches:
-                data = batch.column("stretch")
-                bounds = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]
-                spool.write(memoryview(data.buffers()[2])[bounds[0]:bounds[-1]])
-                lengths.append(np.diff(bounds))
-                owners.append(batch.column("doc_id").to_numpy())
-                keys.append(batch.column("key"))
-            if not lengths:
+                doc = batch.column("doc_id").to_numpy()
+                index = np.full(batch.num_rows, -1, np.int64)
+                for i, body in enumerate(batch.column("stretch").to_pylist()):
+                    if body is None:
+                        continue
+                    key = hashlib.blake2b(body, digest_size=16).digest()
+                    at = number.setdefault(key, len(number))
+                    if at == len(lengths):
+                        spool.write(body)
+                        lengths.append(len(body))
+                        least.append(doc[i])
+                    elif doc[i] < least[at]:
+                        least[at] = doc[i]
+                    index[i] = at
+                seen.append((index, doc, *(batch.column(c).to_numpy() for c in ("text_hash", "start", "windows"))))
+            if not seen:
                 return
             spool.flush()
-            first = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
-            owner = np.concatenate(owners)
-            shard = Shard(np.memmap(spool, np.uint8, "r", shape=int(first[-1])), first)
-            flags = shard.smaller(owner, window)
-        key = pa.concat_arrays(keys)
-        windows = shard.end - shard.begin - window + 1
-        for at in range(0, len(owner), 10_000):
-            part = slice(at, at + 10_000)
-            n = windows[part]
-            body = flags[ranges(shard.begin[part], n)].astype(np.uint8).tobytes()
-            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            cells = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-            yield pa.RecordBatch.from_arrays([key[part], pa.array(owner[part]), cells], ["key", "least", "flags"])
-
-    shards = partitions(distinct.sparkSession)
-    return distinct.repartition(shards, "shard").select("stretch", "key", "doc_id").mapInArrow(
-        sort, "key binary, least long, flags binary")
+            del number
+            index, doc, texts, start, windows = (np.concatenate(x) for x in zip(*seen))
+            owner = np.array(least, np.int64)
+            flags = np.zeros(1, bool)
+            first = np.zeros(max(len(owner), 1), np.int64)
+            if len(owner):
+                shard = Shard(np.memmap(spool, np.uint8, "r", shape=sum(lengths)),
+                              np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]))
+                flags, first = shard.smaller(owner, window), shard.begin
+        # the least document of a stretch has the windows that were flagged, all others have all
+        whole = (index < 0) | (doc > owner[index] if len(owner) else True)
+        some = np.flatnonzero(~whole)
+        at = ranges(first[index[some]], windows[some].astype(np.int64))
+        by = np.repeat(some, windows[some])
+        inner = at - first[index[by]]
+        on = flags[at]
+        before = np.concatenate([[False], on[:-1]]) & (inner > 0)
+        after = np.concatenate([on[1:], [False]]) & (inner < windows[by] - 1)
+        head, tail = np.flatnonzero(on & ~before), np.flatnonzero(on & ~after)
+        rows = np.concatenate([np.flatnonzero(whole), by[head]])
+        begin = np.concatenate([start[whole], start[by[head]] + inner[head]]).astype(np.int32)
+        count = np.concatenate([windows[whole], tail - head + 1]).astype(np.int32)
+        order = np.lexsort((begin, texts[rows], doc[rows]))
+        rows, pairs = rows[order], np.stack([begin[order], count[order]], axis=1)
+        new = np.ones(len(rows), bool)
+        new[1:] = (doc[rows[1:]] != doc[rows[:-1]]) | (texts[rows[1:]] != texts[rows[:-1]])
+        cuts = np.append(np.flatnonzero(new), len(rows))
+        for at in range(0, len(cuts) - 1, 10_000):
+            part = cuts[at:at + 10_001]
+            body = [pairs[a:b].tobytes() for a, b in zip(part, part[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[rows[part[:-1]]]), pa.array(texts[rows[part[:-1]]]),
+                                              pa.array(body, pa.binary())], ["doc_id", "text_hash", "found"])
+
+    return pieces.repartition(partitions(pieces.sparkSession), "shard").mapInArrow(sort, repeats.REPLY)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` for every row of ``docs(doc_id, text)``.
 
     Removed is each byte covered by ``window`` bytes that also begin in a document with a smaller doc_id; strings are
-    judged on the input and lie in one document. ``spans`` lists ``first`` byte and number of ``bytes`` of each removed piece. Null
-    text is empty; a null doc_id counts as the largest; rows with one doc_id don't remove each other's bytes; other
-    columns are ignored; an empty table gives an empty result.
+    judged on the input and lie in one document. ``spans`` lists ``first`` byte and number of ``bytes`` of each removed
+    piece. Null text is empty; a null doc_id counts as the largest; rows with one doc_id don't remove each other's
+    bytes; other columns are ignored; an empty table gives an empty result.
     """
     docs = repeats.numbered(docs)
-    settled = stage(_settle(docs, repeats.ask_runs(docs, byte_units, window_sums, ANCHOR, window), window), "settled")
-    empty = "array<struct<first:long,bytes:long>>"
-    done = settled.where("kept_sha256 is not null").select(
-        "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
-        "kept_sha256", F.array().cast(empty).alias("spans"))
-    rest = settled.where("kept_sha256 is null")
-    pieces = stretches(rest, window).withColumn("key", F.unhex(F.substr(F.sha2("stretch", 256), F.lit(1), F.lit(32))))
-    distinct = pieces.groupBy("shard", "stretch", "key").agg(F.min("doc_id").alias("doc_id"))
-    flags = stage(judged(distinct, window), "flags")
-    # the least document of a stretch has the windows that were flagged, all others have all
-    hits = pieces.drop("stretch", "shard").join(flags, "key")
-    hits = hits.where((F.col("doc_id") > F.col("least")) | F.expr("contains(flags, X'01')"))
-    hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-        "start", F.length("flags").alias("n"), F.when(F.col("doc_id") == F.col("least"), F.col("flags")).alias("flags"))).alias("found"))
+    replies = repeats.ask_runs(docs, byte_units, window_sums, ANCHOR, window)
+    pieces = stretches(repeats.with_answers(packed(docs), replies, "inner"), window)
+    found = repeats.with_answers(packed(docs), judged(pieces, window))
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("bytes", pa.int64())]))
 
     def remove(batches):
-        for batch in chunks(batches):
+        for batch in unpacked(batches, CHUNK_BYTES):
             data, bounds = text_bytes(batch.column("text"))
             rows = []
-            for i, found in enumerate(batch.column("found").to_pylist()):
-                places = [np.zeros(0, np.int64)]
-                for f in found or []:
-                    here = np.arange(f["n"]) if f["flags"] is None else np.flatnonzero(np.frombuffer(f["flags"], np.uint8))
-                    places.append(here + f["start"])
-                size = int(bounds[i + 1] - bounds[i])
-                inside, n = repeats.covered(size, np.unique(np.concatenate(places)), window)
-                body = data[bounds[i]:bounds[i + 1]][~inside].tobytes()
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-                spans = [{"first": int(a), "bytes": int(b - a)} for a, b in edge.reshape(-1, 2)]
-                rows.append((size, int(inside.sum()), n, hashlib.sha256(body).hexdigest(), spans))
+            for i, parts in enumerate(batch.column("found").to_pylist()):
+                pairs = np.frombuffer(b"".join(parts or []), np.int32).reshape(-1, 2).astype(np.int64)
+                change = np.zeros(int(bounds[i + 1] - bounds[i]) + 1, np.int32)
+                np.add.at(change, pairs[:, 0], 1)
+                np.add.at(change, pairs[:, 0] + pairs[:, 1] + window - 1, -1)
+                inside = np.cumsum(change[:-1]) > 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))).reshape(-1, 2)
+                sha = hashlib.sha256(data[bounds[i]:bounds[i + 1]][~inside].tobytes()).hexdigest()
+                rows.append((len(inside), int(inside.sum()), len(edge), sha,
+                             [{"first": int(a), "bytes": int(b - a)} for a, b in edge]))
             size, removed, n, sha, spans = zip(*rows)
-            kind = pa.list_(pa.struct([("first", pa.int64()), ("bytes", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(size), pa.array(removed), pa.array(n), pa.array(sha), pa.array(spans, kind)],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    cleaned = rest.select("doc_id", "text_hash", "text").join(hits, ["doc_id", "text_hash"], "left").select(
-        "doc_id", "text", "found").mapInArrow(
-        remove, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {empty}")
-    return done.unionByName(cleaned).withColumn("doc_id", without_id())
+    return found.mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+                                    "spans array<struct<first:long,bytes:long>>").withColumn("doc_id", without_id())
 
 
 @query()
