@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,9 @@ from pelagia.llm.common import BYTE_CODES, CHUNK_BYTES, chunks, partitions, rang
 from pelagia.llm.registry import query
 
 WINDOW = 50
-ANCHOR = 16
+ANCHOR = 24
+#: A task sorts its shard in this many parts, one after another.
+SLICES = 8
 #: Bytes of queued tuples that a task keeps in memory, and tuples handled at once.
 QUEUE_BYTES = 96 << 20
 PIECE = 1 << 20
@@ -317,11 +320,11 @@ def unpacked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
             at = to
 
 
-PIECES = "shard int, stretch binary, doc_id long, text_hash long, start int, windows int"
+PIECES = "shard int, slice int, stretch binary, doc_id long, text_hash long, start int, windows int"
 
 
 def stretches(docs: DataFrame, window: int) -> DataFrame:
-    """``shard, stretch, doc_id, text_hash, start, windows``: stretches in question; equal strings are in one shard.
+    """``shard, slice, stretch, doc_id, text_hash, start, windows``: stretches in question; equal strings meet in one slice.
 
     ``docs(doc_id, text_hash, body, found)`` comes with the answers to its runs. Of equal stretches in a chunk only the
     least document's is sent; the others are settled, and go on with a null stretch, spread over all shards. So content
@@ -346,10 +349,11 @@ def stretches(docs: DataFrame, window: int) -> DataFrame:
             least = np.full(int(code.max(initial=-1)) + 1, np.iinfo(np.int64).max)
             np.minimum.at(least, code, doc)
             settled = doc > least[code]
-            shard = np.where(settled, texts.astype(np.uint64), value) % np.uint64(shards)
+            place = np.where(settled, texts.astype(np.uint64), value)
+            shard, part = place % np.uint64(shards), place // np.uint64(shards) % np.uint64(SLICES)
             sent = pc.if_else(pa.array(settled), pa.scalar(None, pa.binary()), text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.astype(np.int32)), sent, pa.array(doc), pa.array(texts), pa.array(start), pa.array(count)],
+                [pa.array(shard.astype(np.int32)), pa.array(part.astype(np.int32)), sent, pa.array(doc), pa.array(texts), pa.array(start), pa.array(count)],
                 [c.split()[0] for c in PIECES.split(", ")])
 
     return docs.mapInArrow(cut, PIECES)
@@ -361,39 +365,55 @@ def judged(pieces: DataFrame, window: int) -> DataFrame:
     Each task writes the different stretches of its shard to disk as they arrive and sorts their suffixes from there.
     """
     def sort(batches):
-        number: dict[bytes, int] = {}
-        lengths, least, seen = [], [], []
-        with tempfile.TemporaryFile() as spool:
-            for batch in batches:
-                doc = batch.column("doc_id").to_numpy()
-                index = np.full(batch.num_rows, -1, np.int64)
-                for i, body in enumerate(batch.column("stretch").to_pylist()):
-                    if body is None:
-                        continue
-                    key = hashlib.blake2b(body, digest_size=16).digest()
-                    at = number.setdefault(key, len(number))
-                    if at == len(lengths):
-                        spool.write(body)
-                        lengths.append(len(body))
-                        least.append(doc[i])
-                    elif doc[i] < least[at]:
-                        least[at] = doc[i]
-                    index[i] = at
-                seen.append((index, doc, *(batch.column(c).to_numpy() for c in ("text_hash", "start", "windows"))))
-            if not seen:
-                return
-            spool.flush()
-            del number
-            index, doc, texts, start, windows = (np.concatenate(x) for x in zip(*seen))
-            owner = np.array(least, np.int64)
-            flags = np.zeros(1, bool)
-            first = np.zeros(max(len(owner), 1), np.int64)
-            if len(owner):
-                shard = Shard(np.memmap(spool, np.uint8, "r", shape=sum(lengths)),
-                              np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]))
-                flags, first = shard.smaller(owner, window), shard.begin
+        parts = [Slice() for _ in range(SLICES)]
+        for batch in batches:
+            part = batch.column("slice").to_numpy()
+            for i in np.unique(part):
+                parts[i].add(batch.filter(pa.array(part == i)))
+        while parts:
+            yield from parts.pop().answers(window)
+
+    return pieces.repartition(partitions(pieces.sparkSession), "shard").mapInArrow(sort, repeats.REPLY)
+
+
+class Slice:
+    """Stretches that are sorted together: their bytes in a file, each different stretch once, and where they occur."""
+
+    def __init__(self):
+        self.spool, self.number = tempfile.TemporaryFile(), {}
+        self.lengths, self.least, self.seen = array("i"), array("q"), []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        doc = batch.column("doc_id").to_numpy()
+        index = np.full(batch.num_rows, -1, np.int64)
+        for i, body in enumerate(batch.column("stretch").to_pylist()):
+            if body is not None:
+                at = self.number.setdefault(hashlib.blake2b(body, digest_size=16).digest(), len(self.number))
+                if at == len(self.lengths):
+                    self.spool.write(body)
+                    self.lengths.append(len(body))
+                    self.least.append(doc[i])
+                elif doc[i] < self.least[at]:
+                    self.least[at] = doc[i]
+                index[i] = at
+        self.seen.append((index, doc, *(batch.column(c).to_numpy() for c in ("text_hash", "start", "windows"))))
+
+    def answers(self, window: int) -> Iterator[pa.RecordBatch]:
+        """Pairs (first window, number of windows) of every document, those of equal documents in one row."""
+        if not self.seen:
+            return
+        index, doc, texts, start, windows = (np.concatenate(x) for x in zip(*self.seen))
+        owner, lengths = np.array(self.least, np.int64), np.array(self.lengths, np.int64)
+        self.number = self.seen = None
+        whole = index < 0
+        flags, first = np.zeros(1, bool), np.zeros(1, np.int64)
+        if len(owner):
+            self.spool.flush()
+            shard = Shard(np.memmap(self.spool, np.uint8, "r", shape=int(lengths.sum())), np.concatenate([[0], np.cumsum(lengths)]))
+            flags, first = shard.smaller(owner, window), shard.begin
+            whole |= doc > owner[index]
+        self.spool.close()
         # the least document of a stretch has the windows that were flagged, all others have all
-        whole = (index < 0) | (doc > owner[index] if len(owner) else True)
         some = np.flatnonzero(~whole)
         at = ranges(first[index[some]], windows[some].astype(np.int64))
         by = np.repeat(some, windows[some])
@@ -416,8 +436,6 @@ def judged(pieces: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc[rows[part[:-1]]]), pa.array(texts[rows[part[:-1]]]),
                                               pa.array(body, pa.binary())], ["doc_id", "text_hash", "found"])
 
-    return pieces.repartition(partitions(pieces.sparkSession), "shard").mapInArrow(sort, repeats.REPLY)
-
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` for every row of ``docs(doc_id, text)``.
