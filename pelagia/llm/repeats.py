@@ -162,7 +162,8 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def buckets_of(docs: DataFrame) -> int:
-    return partitions(docs.sparkSession)
+    """Buckets for questions: half the shuffle partitions, since every bucket lists the documents that ask it."""
+    return -(-partitions(docs.sparkSession) // 2)
 
 
 def keys_found(column: pa.Array, kind) -> list[np.ndarray]:

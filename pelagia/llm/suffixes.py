@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from pelagia.llm import repeats
@@ -320,43 +319,69 @@ def unpacked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
             at = to
 
 
-PIECES = "shard int, slice int, stretch binary, doc_id long, text_hash long, start int, windows int"
+#: Columns of the stretches packed into one row, and their kinds.
+PARTS = (("slice", np.uint8), ("length", np.int32), ("doc_id", np.int64), ("text_hash", np.int64), ("start", np.int32),
+         ("windows", np.int32), ("text", np.uint8))
 
 
 def stretches(docs: DataFrame, window: int) -> DataFrame:
-    """``shard, slice, stretch, doc_id, text_hash, start, windows``: stretches in question; equal strings meet in one slice.
+    """``shard, body``: stretches in question, a compressed row for each chunk and shard; equal strings meet in one shard.
 
     ``docs(doc_id, text_hash, body, found)`` comes with the answers to its runs. Of equal stretches in a chunk only the
-    least document's is sent; the others are settled, and go on with a null stretch, spread over all shards. So content
-    that very many documents share reaches its shard once per chunk.
+    least document's is sent with its text; the others are settled. So content that very many documents share reaches
+    its shard once per chunk.
     """
     shards = partitions(docs.sparkSession)
 
     def cut(batches):
+        import zstandard
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in unpacked(batches, repeats.CHUNK_BYTES):
             runs = repeats.live_runs(batch, byte_units, window_sums, ANCHOR, window, False)
             data, bounds = text_bytes(batch.column("text"))
             cells = [[np.frombuffer(x, kind) for x in c] for c, kind in zip(zip(*runs), (np.int32, np.int32, np.uint64))]
             row = np.repeat(np.arange(batch.num_rows), [len(x) for x in cells[0]])
             start, count, value = (np.concatenate(c) for c in cells)
-            length = count.astype(np.int64) + window - 1
+            length = count + np.int32(window - 1)
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-            body = data[ranges(bounds[row] + start, length)]
-            text = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(body.tobytes())])
+            text = pa.Array.from_buffers(pa.binary(), len(row), [
+                None, pa.py_buffer(offsets), pa.py_buffer(data[ranges(bounds[row] + start, length)].tobytes())])
             code = text.dictionary_encode().indices.to_numpy()
-            doc = batch.column("doc_id").to_numpy()[row]
-            texts = batch.column("text_hash").to_numpy()[row]
+            doc, texts = (batch.column(c).to_numpy()[row] for c in ("doc_id", "text_hash"))
             least = np.full(int(code.max(initial=-1)) + 1, np.iinfo(np.int64).max)
             np.minimum.at(least, code, doc)
             settled = doc > least[code]
-            place = np.where(settled, texts.astype(np.uint64), value)
-            shard, part = place % np.uint64(shards), place // np.uint64(shards) % np.uint64(SLICES)
-            sent = pc.if_else(pa.array(settled), pa.scalar(None, pa.binary()), text)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.astype(np.int32)), pa.array(part.astype(np.int32)), sent, pa.array(doc), pa.array(texts), pa.array(start), pa.array(count)],
-                [c.split()[0] for c in PIECES.split(", ")])
-
-    return docs.mapInArrow(cut, PIECES)
+            shard = (value % np.uint64(shards)).astype(np.int64)
+            shard[settled] = shards  # behind all others
+            part = (value // np.uint64(shards) % np.uint64(SLICES)).astype(np.uint8)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order))
+            out = []
+            for x, y in zip(cuts, cuts[1:]):
+                some = order[x:y]
+                to = int(shard[some[0]])
+                size = length[some] if to < shards else np.zeros(len(some), np.int32)
+                body = data[ranges(bounds[row[some]] + start[some], size)]
+                if to == shards:
+                    to = int(texts[0] % shards)
+                out.append((to, squeeze.compress(join_parts(part[some], size, doc[some], texts[some], start[some], count[some], body))))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
+                                             ["shard", "body"])
+
+    return docs.mapInArrow(cut, "shard int, body binary")
+
+
+def join_parts(*arrays: np.ndarray) -> bytes:
+    sizes = np.array([len(a) for a in arrays], np.int64)
+    return b"".join([sizes.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
+
+
+def split_parts(body: bytes) -> dict[str, np.ndarray]:
+    sizes, at, out = np.frombuffer(body, np.int64, len(PARTS)), 8 * len(PARTS), {}
+    for (name, kind), n in zip(PARTS, sizes):
+        out[name] = np.frombuffer(body, kind, int(n), at)
+        at += int(n) * np.dtype(kind).itemsize
+    return out
 
 
 def judged(pieces: DataFrame, window: int) -> DataFrame:
@@ -365,11 +390,15 @@ def judged(pieces: DataFrame, window: int) -> DataFrame:
     Each task writes the different stretches of its shard to disk as they arrive and sorts their suffixes from there.
     """
     def sort(batches):
-        parts = [Slice() for _ in range(SLICES)]
+        import zstandard
+        stretch, parts = zstandard.ZstdDecompressor(), [Slice() for _ in range(SLICES)]
         for batch in batches:
-            part = batch.column("slice").to_numpy()
-            for i in np.unique(part):
-                parts[i].add(batch.filter(pa.array(part == i)))
+            for body in batch.column("body"):
+                cells = split_parts(stretch.decompress(body.as_py()))
+                ends = np.cumsum(cells["length"], dtype=np.int64)
+                text, bounds = cells["text"].tobytes(), (ends - cells["length"]).tolist()
+                for i in np.unique(cells["slice"]):
+                    parts[i].add(np.flatnonzero(cells["slice"] == i), cells, text, bounds, ends.tolist())
         while parts:
             yield from parts.pop().answers(window)
 
@@ -383,20 +412,21 @@ class Slice:
         self.spool, self.number = tempfile.TemporaryFile(), {}
         self.lengths, self.least, self.seen = array("i"), array("q"), []
 
-    def add(self, batch: pa.RecordBatch) -> None:
-        doc = batch.column("doc_id").to_numpy()
-        index = np.full(batch.num_rows, -1, np.int64)
-        for i, body in enumerate(batch.column("stretch").to_pylist()):
-            if body is not None:
-                at = self.number.setdefault(hashlib.blake2b(body, digest_size=16).digest(), len(self.number))
-                if at == len(self.lengths):
+    def add(self, chosen: np.ndarray, cells: dict[str, np.ndarray], text: bytes, begin: list[int], end: list[int]) -> None:
+        """The ``chosen`` of the stretches in ``cells``; those without text are settled."""
+        index, doc = np.full(len(chosen), -1, np.int64), cells["doc_id"][chosen]
+        for i, (at, d) in enumerate(zip(chosen.tolist(), doc.tolist())):
+            if end[at] > begin[at]:
+                body = text[begin[at]:end[at]]
+                number = self.number.setdefault(hashlib.blake2b(body, digest_size=16).digest(), len(self.number))
+                if number == len(self.lengths):
                     self.spool.write(body)
                     self.lengths.append(len(body))
-                    self.least.append(doc[i])
-                elif doc[i] < self.least[at]:
-                    self.least[at] = doc[i]
-                index[i] = at
-        self.seen.append((index, doc, *(batch.column(c).to_numpy() for c in ("text_hash", "start", "windows"))))
+                    self.least.append(d)
+                elif d < self.least[number]:
+                    self.least[number] = d
+                index[i] = number
+        self.seen.append((index, doc, *(cells[c][chosen] for c in ("text_hash", "start", "windows"))))
 
     def answers(self, window: int) -> Iterator[pa.RecordBatch]:
         """Pairs (first window, number of windows) of every document, those of equal documents in one row."""
