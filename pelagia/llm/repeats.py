@@ -20,7 +20,8 @@ CHUNK_BYTES = 2 << 20
 #: Units of a text column: a code for each, and the first unit of each row (one more at the end).
 Units = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 ASK = "bucket int, known boolean, ids binary, texts binary, counts binary, keys binary, seconds binary, places binary"
-REPLY = "doc_id long, text_hash long, found binary"
+#: Answers to the documents of one destination: their ids, and for each a number of 32-bit values.
+REPLY = "dest int, ids binary, texts binary, counts binary, found binary"
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -142,17 +143,50 @@ def answers(asked: DataFrame, smaller: bool) -> DataFrame:
         if not smaller:
             hit |= np.repeat(doc[begin + size - 1] > doc[begin], size) if len(begin) else hit
         found = np.sort(np.concatenate([asking[order[hit]], np.flatnonzero(done)]))
-        rows, cuts = np.unique(owner[found], return_index=True)
-        body = [back[found[a:b]].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(found)))]
-        return pa.table({"doc_id": pa.array(ids[rows]), "text_hash": pa.array(texts[rows]), "found": pa.array(body, pa.binary())})
-
-    return asked.groupBy("bucket").applyInArrow(settle, REPLY)
+        return pa.Table.from_batches([reply(ids, texts, owner[found], back[found], dests)])
+
+    dests = partitions(asked.sparkSession)
+    return gathered(asked.groupBy("bucket").applyInArrow(settle, REPLY))
+
+
+def reply(ids: np.ndarray, texts: np.ndarray, owner: np.ndarray, values: np.ndarray, dests: int) -> pa.RecordBatch:
+    """Rows of REPLY for ``values`` (32 bits, or rows of them) of the documents number ``owner``: one for each destination."""
+    width = values.shape[1] if values.ndim > 1 else 1
+    dest = (texts.astype(np.uint64) % np.uint64(dests)).astype(np.int64)[owner]
+    order = np.lexsort((owner, dest))
+    dest, owner, values = dest[order], owner[order], values[order]
+    cuts = np.append(np.flatnonzero(np.diff(dest, prepend=-1)), len(dest))
+    rows = []
+    for a, b in zip(cuts, cuts[1:]):
+        docs, counts = np.unique(owner[a:b], return_counts=True)
+        rows.append((int(dest[a]), *packed(ids[docs], texts[docs], (counts * width).astype(np.int32), values[a:b])))
+    names = [c.split()[0] for c in REPLY.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int32(), *[pa.binary()] * 4])], names)
+
+
+def gathered(replies: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, found``: all answers to each document in one row."""
+    def gather(table: pa.Table) -> pa.Table:
+        ids, texts, counts, found = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (
+            ("ids", np.int64), ("texts", np.int64), ("counts", np.int32), ("found", np.int32)))
+        counts = counts.astype(np.int64)
+        order = np.lexsort((texts, ids))
+        values = found[ranges((np.cumsum(counts) - counts)[order], counts[order])]
+        ids, texts = ids[order], texts[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1])
+        total = np.add.reduceat(counts[order], np.flatnonzero(new)) if len(ids) else counts
+        offsets = np.concatenate([[0], 4 * np.cumsum(total)]).astype(np.int32)
+        body = pa.Array.from_buffers(pa.binary(), len(total), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+        return pa.table({"doc_id": pa.array(ids[new]), "text_hash": pa.array(texts[new]), "found": body})
+
+    return replies.groupBy("dest").applyInArrow(gather, "doc_id long, text_hash long, found binary")
 
 
 def with_answers(docs: DataFrame, replies: DataFrame, how: str = "left") -> DataFrame:
     """``docs`` with ``found``, all answers to each document."""
-    lists = replies.groupBy("doc_id", "text_hash").agg(F.collect_list("found").alias("found"))
-    return docs.join(lists, ["doc_id", "text_hash"], how)
+    return docs.join(replies, ["doc_id", "text_hash"], how)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -168,7 +202,7 @@ def buckets_of(docs: DataFrame) -> int:
 
 def keys_found(column: pa.Array, kind) -> list[np.ndarray]:
     """The answers of each row, sorted; empty without any."""
-    return [np.unique(np.frombuffer(b"".join(x), kind)) if x else np.zeros(0, kind) for x in column.to_pylist()]
+    return [np.unique(np.frombuffer(x, kind)) if x else np.zeros(0, kind) for x in column.to_pylist()]
 
 
 def ask_runs(docs: DataFrame, units: Units, sums: Callable[[np.ndarray], np.ndarray], k: int, window: int) -> DataFrame:

@@ -400,9 +400,10 @@ def judged(pieces: DataFrame, window: int) -> DataFrame:
                 for i in np.unique(cells["slice"]):
                     parts[i].add(np.flatnonzero(cells["slice"] == i), cells, text, bounds, ends.tolist())
         while parts:
-            yield from parts.pop().answers(window)
+            yield from parts.pop().answers(window, dests)
 
-    return pieces.repartition(partitions(pieces.sparkSession), "shard").mapInArrow(sort, repeats.REPLY)
+    dests = partitions(pieces.sparkSession)
+    return repeats.gathered(pieces.repartition(dests, "shard").mapInArrow(sort, repeats.REPLY))
 
 
 class Slice:
@@ -428,8 +429,8 @@ class Slice:
                 index[i] = number
         self.seen.append((index, doc, *(cells[c][chosen] for c in ("text_hash", "start", "windows"))))
 
-    def answers(self, window: int) -> Iterator[pa.RecordBatch]:
-        """Pairs (first window, number of windows) of every document, those of equal documents in one row."""
+    def answers(self, window: int, dests: int) -> Iterator[pa.RecordBatch]:
+        """Pairs (first window, number of windows) to the documents of each destination."""
         if not self.seen:
             return
         index, doc, texts, start, windows = (np.concatenate(x) for x in zip(*self.seen))
@@ -455,16 +456,13 @@ class Slice:
         rows = np.concatenate([np.flatnonzero(whole), by[head]])
         begin = np.concatenate([start[whole], start[by[head]] + inner[head]]).astype(np.int32)
         count = np.concatenate([windows[whole], tail - head + 1]).astype(np.int32)
-        order = np.lexsort((begin, texts[rows], doc[rows]))
-        rows, pairs = rows[order], np.stack([begin[order], count[order]], axis=1)
-        new = np.ones(len(rows), bool)
-        new[1:] = (doc[rows[1:]] != doc[rows[:-1]]) | (texts[rows[1:]] != texts[rows[:-1]])
-        cuts = np.append(np.flatnonzero(new), len(rows))
-        for at in range(0, len(cuts) - 1, 10_000):
-            part = cuts[at:at + 10_001]
-            body = [pairs[a:b].tobytes() for a, b in zip(part, part[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[rows[part[:-1]]]), pa.array(texts[rows[part[:-1]]]),
-                                              pa.array(body, pa.binary())], ["doc_id", "text_hash", "found"])
+        order = np.lexsort((texts, doc))
+        new = np.ones(len(doc), bool)
+        new[1:] = (np.diff(doc[order]) != 0) | (np.diff(texts[order]) != 0)
+        owner = np.empty(len(doc), np.int64)
+        owner[order] = np.cumsum(new) - 1
+        one = order[new]
+        yield repeats.reply(doc[one], texts[one], owner[rows], np.stack([begin, count], axis=1), dests)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -486,7 +484,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             data, bounds = text_bytes(batch.column("text"))
             rows = []
             for i, parts in enumerate(batch.column("found").to_pylist()):
-                pairs = np.frombuffer(b"".join(parts or []), np.int32).reshape(-1, 2).astype(np.int64)
+                pairs = np.frombuffer(parts or b"", np.int32).reshape(-1, 2).astype(np.int64)
                 change = np.zeros(int(bounds[i + 1] - bounds[i]) + 1, np.int32)
                 np.add.at(change, pairs[:, 0], 1)
                 np.add.at(change, pairs[:, 0] + pairs[:, 1] + window - 1, -1)
