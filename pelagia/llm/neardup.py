@@ -11,11 +11,13 @@ region. At similarity 0.85 that has a chance of 2e-8, and 5e-4 if every region o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pelagia.llm.common import (chunks, lowered, mixed, read, spaced_words, text_bytes, window_sums, with_id,
+from pelagia.llm.common import (chunks, lowered, mixed, partitions, read, spaced_words, text_bytes, window_sums, with_id,
                                 without_id, word_hashes, word_spans)
 from pelagia.llm.registry import query
 from pelagia.operators.components import connected_components
@@ -152,42 +154,58 @@ UNIT = ["region", "tile_a", "tile_b"]
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many MinHash values each row of ``a`` shares with each row of ``b``."""
+    if len(a) * len(b) <= 2048:
+        return (a[:, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int16)
     out = np.zeros((len(a), len(b)), np.uint8)
     for i in range(a.shape[1]):
         out += a[:, i, None] == b[None, :, i]
-    return out
+    return out.astype(np.int16)
 
 
-def _label_table(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
+def _units(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the two sides of every unit in ``table``; a tile that meets itself is both."""
+    keys = [table.column(c).to_numpy() for c in ("side", "tile_b", "tile_a", "region")]
+    order = np.lexsort(keys)
+    side, tile_b, tile_a, region = (k[order] for k in keys)
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(region) != 0) | (np.diff(tile_a) != 0) | (np.diff(tile_b) != 0)
+    cuts = np.append(np.flatnonzero(new), len(order)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        if tile_a[a] == tile_b[a]:
+            both = order[a:b]
+            yield both, both
+        else:
+            middle = a + int(np.searchsorted(side[a:b], 1))
+            yield order[a:middle], order[middle:b]
 
 
-def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the two sides of a unit; a tile that meets itself is both."""
-    side = table.column("side").to_numpy()
-    if table.column("tile_a")[0].as_py() == table.column("tile_b")[0].as_py():
-        return np.arange(len(side)), np.arange(len(side))
-    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+def _cells(members: DataFrame) -> DataFrame:
+    """Whole units, a few at a time: a group holds many small units, so that none is handed over alone."""
+    cells = 16 * partitions(members.sparkSession)
+    return members.withColumn("cell", F.pmod(F.xxhash64(*UNIT), F.lit(cells)))
+
+
+def _label_table(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
 
 
 def proposals(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     """``a, b``: for each member of a unit the other member that agrees with it most."""
     def best(table: pa.Table) -> pa.Table:
         label, rep = _label_table(table.column("labels")), table.column("rep").to_numpy()
-        left, right = _sides(table)
-        count = _agreement(label[left], label[right]).astype(np.int16)
-        count[rep[left][:, None] == rep[right][None, :]] = -1
-        pairs = []
-        for agree, own, other in ((count, left, right), (count.T, right, left)):
-            if agree.size:
-                to = agree.argmax(axis=1)
-                good = agree[np.arange(len(to)), to] >= least * TREES * DEPTH
-                pairs.append(np.stack([rep[own][good], rep[other][to[good]]]))
-        pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-        pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+        pairs = [np.zeros((2, 0), np.int64)]
+        for left, right in _units(table):
+            count = _agreement(label[left], label[right])
+            count[rep[left][:, None] == rep[right][None, :]] = -1
+            for agree, own, other in ((count, left, right), (count.T, right, left)):
+                if agree.size:
+                    to = agree.argmax(axis=1)
+                    good = agree[np.arange(len(to)), to] >= least * TREES * DEPTH
+                    pairs.append(np.stack([rep[own][good], rep[other][to[good]]]))
+        pairs = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
-    return members.groupBy(*UNIT).applyInArrow(best, "a long, b long").distinct()
+    return _cells(members).groupBy("cell").applyInArrow(best, "a long, b long").distinct()
 
 
 def _linked(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
@@ -216,19 +234,22 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def unsettled(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     """Members of units that have a partner in another component which may be similar enough."""
     def involved(table: pa.Table) -> pa.Table:
-        root = table.column("root").to_numpy()
+        root, label = table.column("root").to_numpy(), _label_table(table.column("labels"))
         keep = np.zeros(len(root), bool)
-        if (root != root[0]).any():
-            label = _label_table(table.column("labels"))
-            left, right = _sides(table)
+        for left, right in _units(table):
+            if left is right and len(left) <= 2:
+                continue  # the only pair of two has been proposed already
+            roots = root[np.concatenate([left, right])]
+            if (roots == roots[0]).all():
+                continue
             near = _agreement(label[left], label[right]) >= least * TREES * DEPTH
             near &= root[left][:, None] != root[right][None, :]
             keep[left] |= near.any(axis=1)
             keep[right] |= near.any(axis=0)
-        return table.drop_columns(["labels"]).filter(pa.array(keep))
+        return table.select([*UNIT, "side", "rep", "root"]).filter(pa.array(keep))
 
-    kept = members.select(*UNIT, "side", "rep", "root", "labels")
-    return kept.groupBy(*UNIT).applyInArrow(involved, "region long, tile_a int, tile_b int, side int, rep long, root long")
+    kept = _cells(members.select(*UNIT, "side", "rep", "root", "labels"))
+    return kept.groupBy("cell").applyInArrow(involved, "region long, tile_a int, tile_b int, side int, rep long, root long")
 
 
 def links_across(members: DataFrame, percent: int) -> DataFrame:
@@ -245,7 +266,7 @@ def links_across(members: DataFrame, percent: int) -> DataFrame:
         _, code, times = np.unique(value, return_inverse=True, return_counts=True)
         shared = np.bincount(np.repeat(np.arange(len(n)), n), (times > 1)[code], len(n))
         sets = np.split(value, first[1:-1])
-        left, right = _sides(table)
+        left, right = next(_units(table))
         found = []
         for i in left:
             need = np.ceil(percent * (n[i] + n[right]) / (100 + percent) - 1e-9)
