@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pelagia.functions.expressions import cluster_name, is_noise, to_double
@@ -105,17 +108,13 @@ def valid_coordinates(df: DataFrame, lat: str = "latitude", lon: str = "longitud
     return df.where(to_double(lat).between(-90.0, 90.0) & to_double(lon).between(-180.0, 180.0))
 
 
-def not_blank_predicate(cols: list[str]) -> str:
-    return " AND ".join(f"`{c}` IS NOT NULL AND `{c}` != ''" for c in cols)
-
-
 def filter_sql(df: DataFrame, predicate: str) -> DataFrame:
     return df.where(predicate)
 
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     """Rows in which every column is present and not empty (use after :func:`trim_all`)."""
-    return filter_sql(df, not_blank_predicate(df.columns))
+    return df.where(reduce(and_, (F.coalesce(F.col(f"`{c}`") != "", F.lit(False)) for c in df.columns), F.lit(True)))
 
 
 def without_noise(df: DataFrame, cluster: str = "cluster") -> DataFrame:

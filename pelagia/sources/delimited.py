@@ -47,11 +47,21 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
         .alias(f.name) for f in schema.fields])
 
 
+# What the text of each type looks like, from the narrowest type on; a cast alone would also read "y" or "1d".
+TYPE_PATTERNS = {
+    "bigint": r"^[+-]?[0-9]+$",
+    "double": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$",
+    "boolean": r"^(true|false|True|False|TRUE|FALSE)$",
+    "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$",
+}
+
+
 def infer_types(df: DataFrame) -> DataFrame:
-    """Cast text columns to the narrowest of long, double, boolean that reads every value of the column."""
+    """Cast text columns to the narrowest of long, double, boolean, timestamp whose pattern and range fit every value."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    kinds = ["bigint", "double", "boolean"]
-    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull()).alias(f"{i}_{k}")
+    kinds = list(TYPE_PATTERNS)
+    tests = [F.count_if(F.col(f"`{c}`").isNotNull() & ~(F.col(f"`{c}`").rlike(TYPE_PATTERNS[k])
+                                                      & F.col(f"`{c}`").try_cast(k).isNotNull())).alias(f"{i}_{k}")
              for i, c in enumerate(text) for k in kinds]
     if not tests:
         return df
@@ -65,15 +75,19 @@ def infer_types(df: DataFrame) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", infer: bool = False,
-                   schema: T.StructType | str | None = None, null_tokens: list[str] | None = None) -> DataFrame:
+                   schema: T.StructType | str | None = None, null_tokens: list[str] | None = None,
+                   multi_line: bool = False) -> DataFrame:
     """Table with a header line.
 
+    ``multi_line`` reads line breaks inside quotes; a file is then read by one task, so leave it off for large files
+    that have none.
+
     All columns are text unless ``schema`` (preferred: no extra pass) or ``infer`` says otherwise.
     ``sep="auto"`` looks at the header line. ``null_tokens`` turns missing-value texts into null first.
     """
     if sep == "auto":
         sep = sniff_delimiter(spark, path)
-    text = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    text = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line).csv(path)
     if null_tokens is not None:
         text = normalize_nulls(text, null_tokens)
     if schema is not None:

@@ -53,7 +53,13 @@ def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitio
             offset = page * page_size
             while got < target and (partition.pages is None or page < partition.first + partition.pages):
                 try:
-                    records = fetch(offset, page_size)
+                    records = list(fetch(offset, page_size))
+                    # divided, a short page is filled up, since the next one begins at its declared place
+                    while partition.pages is not None and stop == "empty" and 0 < len(records) < page_size:
+                        more = list(fetch(offset + len(records), page_size - len(records)))
+                        if not more:
+                            break
+                        records += more
                 except Exception:
                     if on_error == "raise":
                         raise

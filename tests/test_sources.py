@@ -1,4 +1,3 @@
-import json
 import os
 
 import pytest
@@ -106,7 +105,6 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert folder == spark.sparkContext.getCheckpointDir() == runtime.shared_dir(spark)
     ids_ = delimited.with_row_id(spark.createDataFrame([("a",), ("b",)], "x string").repartition(2))
     assert rows(ids_) == rows(ids_) and ids_.select("row_id").distinct().count() == 2
-    assert json.loads(json.dumps({"ok": True}))["ok"]
 
 
 def test_clear_scratch_deletes_only_its_own_tables(spark, tmp_path):
@@ -118,3 +116,21 @@ def test_clear_scratch_deletes_only_its_own_tables(spark, tmp_path):
     assert spark.read.parquet(kept).count() == 3 and not runtime._written
     with pytest.raises(Exception):
         staged.count()
+
+
+def test_types_need_their_pattern(spark):
+    table = [("y", "1d", "007", "2024-02-03", "true", "1.5"), ("n", "2f", "12", "2024-02-03 10:00:00", "false", None)]
+    df = delimited.infer_types(spark.createDataFrame(table, "a string, b string, c string, d string, e string, f string"))
+    assert [t for _, t in df.dtypes] == ["string", "string", "bigint", "timestamp", "boolean", "double"]
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"one\ntwo"\n2,x\n')
+    df = delimited.read_delimited(spark, str(tmp_path / "x.csv"), sep=",", multi_line=True)
+    assert rows(df) == [("1", "one\ntwo"), ("2", "x")]
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_short_page_in_the_middle_loses_nothing(spark, partitions):
+    feed_ = feed(23, short_at=5)
+    assert ids(paged.read_paged(spark, feed_, 5, 100, "empty", partitions=partitions)) == list(range(23))
