@@ -234,7 +234,7 @@ def row_count(spark, folder):
 
 @query("""with g as (select p_brand as countryCode, p_type as locality, count(p_partkey) as species_count
   from part group by 1, 2)
-select countryCode, locality, species_count, cast(dense_rank() over (order by countryCode) - 1 as integer) as country_encoded,
+select countryCode, locality, species_count, dense_rank() over (order by countryCode) - 1 as country_encoded,
        concat(countryCode, '_', locality) as country_locality from g""")
 def group_counts_encoded(spark, folder):
     part = read(spark, folder, "part").select(
@@ -466,6 +466,11 @@ def sort_and_preview(spark, folder):
     return sampling.preview(sampling.sort_by_count(rows, "o_totalprice", ["o_orderkey"]), 10)
 
 
+@query("select o_orderkey, o_custkey from orders order by o_orderkey limit 1000")
+def cap_rows(spark, folder):
+    return sampling.cap_rows(read(spark, folder, "orders").select("o_orderkey", "o_custkey"), 1000, ["o_orderkey"])
+
+
 @query(f"""with {VALID_SQL} select rid, lat, lon from valid
 order by md5(concat(cast(rid as varchar), ':7')), rid limit 500""")
 def sample_n(spark, folder):
@@ -482,15 +487,15 @@ def preview_sample(spark, folder):
 
 # --- features and k-means ----------------------------------------------------------------------------
 
-@query("""select n_name, n_regionkey, cast(dense_rank() over (order by n_name) - 1 as integer) as n_name_encoded,
-  cast(dense_rank() over (order by n_regionkey) - 1 as integer) as n_regionkey_encoded from nation""")
+@query("""select n_name, n_regionkey, dense_rank() over (order by n_name) - 1 as n_name_encoded,
+  dense_rank() over (order by n_regionkey) - 1 as n_regionkey_encoded from nation""")
 def ordinal_encode(spark, folder):
     nation = read(spark, folder, "nation").select("n_name", "n_regionkey")
     return features.ordinal_encode(nation, ["n_name", "n_regionkey"])
 
 
-@query("""select p_partkey, cast(dense_rank() over (order by p_name) - 1 as integer) as p_name_encoded,
-  cast(dense_rank() over (order by p_brand) - 1 as integer) as p_brand_encoded from part""")
+@query("""select p_partkey, dense_rank() over (order by p_name) - 1 as p_name_encoded,
+  dense_rank() over (order by p_brand) - 1 as p_brand_encoded from part""")
 def encode_part_names(spark, folder):
     part = read(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     return features.ordinal_encode(part, ["p_name", "p_brand"]).select("p_partkey", "p_name_encoded", "p_brand_encoded")
@@ -568,7 +573,7 @@ core as (select a as rid from pairs group by a having count(*) >= 5),
 edges as (select a, b from pairs where a in (select rid from core) and b in (select rid from core)),
 reach(node, label) as (select rid, rid from core union select e.b, r.label from reach r join edges e on e.a = r.node),
 comp as (select node, min(label) as root from reach group by node),
-numbered as (select node, cast(dense_rank() over (order by root) - 1 as integer) as cluster from comp),
+numbered as (select node, dense_rank() over (order by root) - 1 as cluster from comp),
 border as (select a as node, min(cluster) as cluster from pairs join numbered on b = node
   where a not in (select rid from core) group by a),
 labels as (select * from numbered union all select * from border)
@@ -580,14 +585,14 @@ def dbscan(spark, folder):
     return density.dbscan(valid_points(spark, folder).select("rid", "lat", "lon"), ["lat", "lon"], 0.2, 5, "rid")
 
 
-def silhouette_sql(x: str, distance: str) -> str:
+def silhouette_sql(x: str, distance: str, result: str = """select (select count(distinct cluster) from pts) as clusters,
+  (select count(*) from pts) as points, round((select s from score), 6) as silhouette""") -> str:
     return f"""sums as (select a.rid, a.cluster as own, b.cluster as other, sum({distance}) as total, count(*) as n
   from pts a, pts b group by 1, 2, 3),
 ab as (select rid, own, max(total / nullif(n - 1, 0)) filter (own = other) as a,
   min(total / n) filter (own != other) as b from sums group by rid, own),
 score as (select avg(case when a is null then 0 when greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end) as s from ab)
-select (select count(distinct cluster) from pts) as clusters, (select count(*) from pts) as points,
-       round((select s from score), 6) as silhouette"""
+{result}"""
 
 
 @query(f"with {VALID_SQL}, pts as (select * from valid where cluster != -1), " + silhouette_sql(
@@ -596,6 +601,14 @@ def silhouette_euclidean(spark, folder):
     return rounded(silhouette.silhouette_without_noise(valid_points(spark, folder), ["lat", "lon"]), ["silhouette"])
 
 
+@query(f"with {VALID_SQL}, pts as (select * from valid where cluster != -1), " + silhouette_sql(
+    "lat", "((a.lat-b.lat)*(a.lat-b.lat) + (a.lon-b.lon)*(a.lon-b.lon))",
+    "select round((select s from score), 6) as silhouette_squared"))
+def silhouette_squared_labels(spark, folder):
+    points = clean.without_noise(valid_points(spark, folder))
+    return rounded(km.silhouette_squared(points, ["lat", "lon"]), ["silhouette_squared"])
+
+
 @query(f"with {VALID_SQL}, pts as (select * from valid where cluster != -1), " + silhouette_sql("lat", "abs(a.lat-b.lat)"))
 def silhouette_line(spark, folder):
     return rounded(silhouette.silhouette_without_noise(valid_points(spark, folder), ["lat"]), ["silhouette"])
@@ -644,8 +657,7 @@ from runs left join counts using (run) left join scores using (run)"""
 @query(GRID_SQL)
 def dbscan_grid_degrees(spark, folder):
     points = valid_points(spark, folder)
-    # a sample as large as the table keeps every row
-    grid = density.dbscan_grid(points, ["lat", "lon"], "rid", GRID_EPS, GRID_MIN, sample=points.count())
+    grid = density.dbscan_grid(points, ["lat", "lon"], "rid", GRID_EPS, GRID_MIN)
     return rounded(grid, ["score"])
 
 
@@ -679,6 +691,21 @@ def part_flags(spark, folder):
         flag(F.col("p_brand") == "Brand#1").alias("isExtinct"), flag(F.col("p_size") % 5 == 0).alias("isBrackish"))
 
 
+@query("""select cast(p_partkey as varchar) as "taxonID", p_name as "scientificName", s_name as "vernacularName",
+  cast(p_size > 25 as integer) as "isMarine", cast(p_size % 5 = 0 as integer) as "isBrackish", q.code as "countryCode"
+from part left join supplier on p_partkey = s_suppkey
+left join (select distinct l_partkey, l_linestatus as code from lineitem) q on l_partkey = p_partkey""")
+def taxon_table_profiles(spark, folder):
+    part = read(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("taxonID"), F.col("p_name").alias("scientificName"))
+    names = read(spark, folder, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("taxonID"), F.col("s_name").alias("vernacularName"), F.lit("ENG").alias("language"))
+    places = read(spark, folder, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("taxonID"), F.col("l_linestatus").alias("countryCode")).distinct()
+    table = taxon.build_taxon_table(part, names, part_flags(spark, folder), places)
+    return table.select("taxonID", "scientificName", "vernacularName", "isMarine", "isBrackish", "countryCode")
+
+
 @query()
 def habitat_profile_clusters(spark, folder):
     names = read(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("taxonID"), "p_name")

@@ -94,8 +94,8 @@ def dbscan(df: DataFrame, coords: list[str], eps: float, min_samples: int, row_i
     """Add the cluster number of every row, −1 for noise; rows without a position get null.
 
     ``row_id`` must be unique and ``df`` must give the same rows each time it is read (as any file does).
-    Rows are labelled where they are read: nothing the size of ``df`` is shuffled except its rows outside
-    dense cells.
+    Rows are labelled by joining the labels of the cells, which are broadcast where their table is small and
+    shuffled with the rows otherwise; rows outside dense cells are joined by position.
     """
     d = len(coords)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, min_samples)
@@ -104,7 +104,7 @@ def dbscan(df: DataFrame, coords: list[str], eps: float, min_samples: int, row_i
     packed = df.select(F.struct("*").alias("row"), *position_columns(coords))
     placed = packed.where(has_position(d)).select("row", F.lit(0).alias("run"), F.lit(float(eps)).alias("eps"), *_axes(d, "x"))
     labelled = _label(placed, d, *labels).select("row", "cluster")
-    gaps = packed.where(~has_position(d)).select("row", F.lit(None).cast("int").alias("cluster"))
+    gaps = packed.where(~has_position(d)).select("row", F.lit(None).cast("bigint").alias("cluster"))
     return labelled.unionByName(gaps).select("row.*", F.col("cluster").alias(out))
 
 
@@ -114,18 +114,20 @@ GRID_COARSE = {"eps": [0.05, 0.1, 0.15, 0.2, 0.3], "min_samples": [10, 20, 50, 1
 
 
 def dbscan_grid(df: DataFrame, coords: list[str], row_id: str, eps_values: list[float],
-                min_samples_values: list[int], sample: int = 10_000, seed: int = 0,
+                min_samples_values: list[int], sample: int | None = None, seed: int = 0,
                 pair_limit: int | None = None) -> DataFrame:
-    """Clusters, noise and noise-free Euclidean silhouette per parameter pair on one sample.
+    """Clusters, noise and noise-free Euclidean silhouette per parameter pair.
 
-    All pairs run through the clustering together, as separate runs of the same jobs. ``score`` is null
+    All rows are used unless the caller asks for a seeded ``sample`` of that many. All pairs run through the clustering together, as separate runs of the same jobs. ``score`` is null
     unless there are at least two clusters and more clustered rows than clusters.
     """
     d = len(coords)
     runs = [(i * len(min_samples_values) + j, e, m)
             for i, e in enumerate(eps_values) for j, m in enumerate(min_samples_values)]
-    sampled = stage(sample_n(positions(df, coords, row_id), "rid", sample, seed), "sample")
-    rows = _with_runs(sampled, runs)
+    searched = positions(df, coords, row_id)
+    if sample is not None:
+        searched = sample_n(searched, "rid", sample, seed)
+    rows = _with_runs(stage(searched, "searched"), runs)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, *min_samples_values)
     labelled = stage(_label(rows, d, *_fit(rows, d, limit, pair_limit)), "labelled")
     noise = F.col("cluster") == NOISE

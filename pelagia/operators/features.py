@@ -16,7 +16,7 @@ def rank_within(df: DataFrame, prefix: list[str], by: list[str], out: str) -> Da
     """
     if is_small(df):
         position = F.row_number().over(Window.partitionBy(*prefix, F.lit(0)).orderBy(*by))
-        return df.withColumn(out, (position - 1).cast("int"))
+        return df.withColumn(out, (position - 1).cast("bigint"))
     parts = spread_partitions(df)
     placed = stage(df.repartitionByRange(parts, *prefix, *by).withColumn("_part", F.spark_partition_id()), "placed")
     earlier = Window.partitionBy(*prefix, F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -25,13 +25,13 @@ def rank_within(df: DataFrame, prefix: list[str], by: list[str], out: str) -> Da
     offsets = totals.select(*prefix, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_part", *prefix).orderBy(*by)
     return (attach(placed, offsets, [*prefix, "_part"])
-            .withColumn(out, (F.col("_before") + F.row_number().over(inside) - 1).cast("int"))
+            .withColumn(out, (F.col("_before") + F.row_number().over(inside) - 1).cast("bigint"))
             .drop("_part", "_before"))
 
 
 def encoding_table(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(column, value, code)``: sorted distinct values of each column numbered from 0."""
-    pairs = df.unpivot([], cols, "column", "value").na.drop().distinct()
+    pairs = stage(df.unpivot([], cols, "column", "value").na.drop().distinct(), "values")
     return rank_within(pairs, ["column"], ["value"], "code")
 
 

@@ -83,12 +83,12 @@ def kmeans_cost_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int =
 
 def silhouette_squared(df: DataFrame, cols: list[str], cluster: str = "cluster") -> DataFrame:
     """Mean silhouette with squared Euclidean distances, one row. Not comparable with the Euclidean one."""
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols], cluster).na.drop()
-    points = stage(typed.groupBy(*cols, cluster).agg(F.count(F.lit(1)).cast("double").alias("n")), "points")
+    # equal rows stay apart: a weight would leave all of them out of a row's own distances, not just the row
+    points = stage(df.select(*[F.col(c).cast("double").alias(c) for c in cols], cluster).na.drop(), "points")
     if points.select(cluster).distinct().limit(2).count() < 2:
         score = None
     else:
-        score = float(ClusteringEvaluator(predictionCol=cluster, weightCol="n").evaluate(
+        score = float(ClusteringEvaluator(predictionCol=cluster).evaluate(
             assemble_features(points, cols).withColumn(cluster, F.col(cluster).cast("double"))))
     return df.sparkSession.createDataFrame([(score,)], "silhouette_squared double")
 

@@ -13,9 +13,6 @@ from pelagia.operators.joins import unpivot_levels
 from pelagia.operators.sampling import sort_by_count
 from pelagia.runtime import attach, spread_partitions, stage
 
-# Groups with more distinct values than this are never gathered in one task.
-GATHER_LIMIT = 500_000
-
 QUANTILES = {"p05": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95}
 
 # Ranks from coarse to fine.
@@ -94,18 +91,13 @@ def histogram_peak(df: DataFrame, keys: list[str], value: str, bins: int = 20) -
     return histogram_summary(hist, keys).drop("std")
 
 
-def _gathered_quantiles(counts: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
-    ps = F.array(*[F.lit(p) for p in quantiles.values()])
-    q = counts.groupBy(*keys).agg(F.percentile("value", ps, F.col("n")).alias("_q"))
-    return q.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)])
-
-
-def _ranked_quantiles(counts: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
-    """Exact quantiles of groups too large for one task.
+def group_quantiles(counts: DataFrame, keys: list[str], quantiles: dict[str, float] | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles per group, found the same way for groups of any size.
 
     The value counts are range-partitioned by (keys, value), so each group is a run of partitions. Totals
     per (partition, group) give the rank before each partition, a window inside it the rank of each value.
     """
+    quantiles = quantiles or QUANTILES
     parts = spread_partitions(counts)
     placed = stage(counts.repartitionByRange(parts, *keys, "value")
                    .withColumn("_part", F.spark_partition_id()), "ranked")
@@ -137,38 +129,16 @@ def _ranked_quantiles(counts: DataFrame, keys: list[str], quantiles: dict[str, f
     return picked.select(*keys, *[interpolate(name, p) for name, p in quantiles.items()])
 
 
-def group_quantiles(counts: DataFrame, moments: DataFrame, keys: list[str],
-                    quantiles: dict[str, float] | None = None, gather_limit: int | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles per group.
-
-    Groups with at most ``gather_limit`` distinct values use Spark's exact ``percentile``; larger ones
-    are ranked in place over many tasks.
-    """
-    quantiles = quantiles or QUANTILES
-    gather_limit = GATHER_LIMIT if gather_limit is None else gather_limit
-    sizes = moments.select(*keys, "values")
-    small = sizes.where(F.col("values") <= gather_limit).drop("values")
-    known = _sizes(moments, keys)
-    result = _gathered_quantiles(attach(counts, small, keys, "left_semi", left_counts=known), keys, quantiles)
-    large = sizes.where(F.col("values") > gather_limit).drop("values")
-    if not large.isEmpty():
-        result = result.unionByName(
-            _ranked_quantiles(attach(counts, large, keys, "left_semi", left_counts=known), keys, quantiles))
-    return result
-
-
-def value_profile(df: DataFrame, keys: list[str], value: str, min_obs: int = 1, bins: int = 20,
-                  gather_limit: int | None = None) -> DataFrame:
+def value_profile(df: DataFrame, keys: list[str], value: str, min_obs: int = 1, bins: int = 20) -> DataFrame:
     """Count, mean, median, mode, peak, min, max, deviation, quantiles and widths per group."""
-    return profile_counts(stage(value_counts(df, keys, value), "counts"), keys, min_obs, bins, gather_limit)
+    return profile_counts(stage(value_counts(df, keys, value), "counts"), keys, min_obs, bins)
 
 
-def profile_counts(counts: DataFrame, keys: list[str], min_obs: int = 1, bins: int = 20,
-                   gather_limit: int | None = None) -> DataFrame:
+def profile_counts(counts: DataFrame, keys: list[str], min_obs: int = 1, bins: int = 20) -> DataFrame:
     """The value profile from (staged) value counts."""
     moments = stage(group_moments(counts, keys, min_obs), "moments")
     shape = histogram_summary(histogram(counts, moments, keys, bins), keys)
-    quantiles = group_quantiles(counts, moments, keys, gather_limit=gather_limit)
+    quantiles = group_quantiles(counts, keys)
     joined = moments.join(shape, keys).join(quantiles, keys)
     return range_widths(joined.select(
         *keys, "observations", "mean", "median", "mode", "peak", "min", "max", "std", "p05", "p95", "q1", "q3"))
@@ -187,8 +157,7 @@ def describe_by_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def percentiles_by_group(df: DataFrame, keys: list[str], value: str,
                          quantiles: dict[str, float] | None = None) -> DataFrame:
-    counts = stage(value_counts(df, keys, value), "counts")
-    return group_quantiles(counts, stage(group_moments(counts, keys), "moments"), keys, quantiles)
+    return group_quantiles(stage(value_counts(df, keys, value), "counts"), keys, quantiles)
 
 
 def mode_by_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -241,8 +210,7 @@ NICHE_COLUMNS = {
 }
 
 
-def multi_level_stats(df: DataFrame, levels: list[str], value: str, min_obs: int = 10,
-                      gather_limit: int | None = None) -> DataFrame:
+def multi_level_stats(df: DataFrame, levels: list[str], value: str, min_obs: int = 10) -> DataFrame:
     """Value profile and dominant parents of every group of every level, largest groups first.
 
     ``levels`` run from coarse to fine. The rows are read once, into counts per path of ranks and value; all
@@ -252,7 +220,7 @@ def multi_level_stats(df: DataFrame, levels: list[str], value: str, min_obs: int
     present = [c for c in levels if c in df.columns]
     paths = stage(path_counts(df, present, value), "paths")
     counts = unpivot_levels(paths, present, ["value", "n"]).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
-    profile = profile_counts(stage(counts, "counts"), keys, min_obs, gather_limit=gather_limit)
+    profile = profile_counts(stage(counts, "counts"), keys, min_obs)
     parents = dominant_parents(paths, present)
     table = profile.withColumnsRenamed(NICHE_COLUMNS).join(parents, keys, "left")
     return sort_by_count(table, "observation_count", keys)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pelagia.functions.expressions import count_label, is_noise, stable_order
-from pelagia.operators.features import rank_within
 from pelagia.runtime import attach, stage
 
 
@@ -27,8 +26,8 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def cap_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    """First ``n`` rows by ``order_by`` (which must be unique), ranked in place over all tasks."""
-    return rank_within(df, [], order_by, "_rank").where(F.col("_rank") < n).drop("_rank")
+    """First ``n`` rows by ``order_by`` (which must be unique); each task keeps its own ``n`` before they are merged."""
+    return df.orderBy(*order_by).limit(n)
 
 
 def sample_n(df: DataFrame, row_id: str, n: int = 10_000, seed: int = 0) -> DataFrame:

@@ -30,7 +30,7 @@ class HabitatClusters(NamedTuple):
 def habitat_profile_clusters(profile: DataFrame, taxon: DataFrame, k: int = 4, ks: list[int] | None = None,
                              seed: int = 42) -> HabitatClusters:
     """k-means of the scaled habitat flags, its cost curve, and the taxa joined to their cluster."""
-    flags = profile.withColumns({c: profile[c].cast("double") for c in HABITAT_FLAGS})
+    flags = profile.withColumns({c: profile[c].try_cast("int") for c in HABITAT_FLAGS})
     scaled = standard_scale(drop_any_null(flags), HABITAT_FLAGS)
     cols = [c + "_scaled" for c in HABITAT_FLAGS]
     curve = kmeans_cost_curve(scaled, cols, ks or list(range(1, 11)), seed)

@@ -54,9 +54,9 @@ class OccurrenceClusters(NamedTuple):
 
 
 def occurrence_clusters(df: DataFrame, lat: str = "latitude", lon: str = "longitude", count_col: str | None = None,
-                        grid: dict = GRID_COARSE, row_id: str | None = None, sample: int = 10_000,
+                        grid: dict = GRID_COARSE, row_id: str | None = None, sample: int | None = None,
                         seed: int = 0) -> OccurrenceClusters:
-    """Scale, search parameters on a sample, cluster all rows, and describe the clusters.
+    """Scale, search parameters (on all rows unless ``sample`` is given), cluster all rows, and describe the clusters.
 
     Environment and taxonomy statistics are added for the columns that exist. The distance is Euclidean on
     scaled degrees, as the parameter grids assume; it does not wrap at 180°.

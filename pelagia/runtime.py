@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 # A side is broadcast only when its files are known to be at most this large …
 BROADCAST_BYTES = 4 << 20
-# … or after it was counted and found to have at most this many rows.
+# … or after it was read and found to have at most this many rows, whose values take at most this much memory.
 BROADCAST_ROWS = 200_000
+BROADCAST_MEMORY = 64 << 20
 # A join key with more rows than this is split into several tasks.
 HOT_ROWS = 2_000_000
 
@@ -75,13 +76,34 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _multiplies_rows(df: DataFrame) -> bool:
+    """Whether the plan has a step that makes several rows of one, which the planner's sizes leave out."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(step in plan for step in ("Generate ", "Expand ", "MapInPandas", "MapInArrow", "FlatMapGroups"))
+
+
 def is_small(df: DataFrame) -> bool:
-    return planned_bytes(df) <= BROADCAST_BYTES
+    return planned_bytes(df) <= BROADCAST_BYTES and not _multiplies_rows(df)
+
+
+def _value_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: texts and nested values by their length, others by a fixed width."""
+    size = F.lit(16)
+    for name, kind in df.dtypes:
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(value), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0))
+        size = size + 8
+    return size.cast("bigint")
 
 
 def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether ``df`` has few enough rows, and these are small enough, to be sent to every task."""
     rows = BROADCAST_ROWS if rows is None else rows
-    return df.limit(rows + 1).count() <= rows
+    held = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_value_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return held["rows"] <= rows and held["bytes"] <= BROADCAST_MEMORY
 
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
@@ -90,7 +112,7 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner
     """Join a lookup table: broadcast when it is known to be small, otherwise a join that splits hot keys.
 
     The size is taken from the planner when ``right`` rests on small files. If that does not settle it,
-    ``right`` is written once and its rows are counted. ``left_counts(keys…, n)``, when the caller has it,
+    ``right`` is written once, and its rows and their bytes are counted. ``left_counts(keys…, n)``, when the caller has it,
     saves counting the keys of ``left``.
     """
     if broadcast_rows is None and is_small(right):
