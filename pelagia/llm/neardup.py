@@ -83,11 +83,11 @@ def labels_of(first: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, key1, key2, labels`` of every row; the keys are equal for equal sets."""
     def sign(batches):
         for batch in chunks(batches):
-            first, value = shingle_sets(batch.column("text"))
+            first, value = shingle_sets(batch.column("text"), words)
             rows, full = batch.num_rows, np.flatnonzero(np.diff(first))
             keys = np.zeros((2, rows), np.uint64)
             if len(full):
@@ -212,12 +212,12 @@ def _linked(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int)
     return 100 * common >= percent * (n_a + n_b - common)
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int = SHINGLE_WORDS) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     def check(batches):
         for whole in batches:
             for batch in chunks([whole], "text_a"):
-                sets = [shingle_sets(batch.column(c)) for c in ("text_a", "text_b")]
+                sets = [shingle_sets(batch.column(c), words) for c in ("text_a", "text_b")]
                 row = [np.repeat(np.arange(batch.num_rows), np.diff(first)) for first, _ in sets]
                 row, value = np.concatenate(row), np.concatenate([v for _, v in sets])
                 order = np.lexsort((value, row))
@@ -252,7 +252,7 @@ def unsettled(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     return kept.groupBy("cell").applyInArrow(involved, "region long, tile_a int, tile_b int, side int, rep long, root long")
 
 
-def links_across(members: DataFrame, percent: int) -> DataFrame:
+def links_across(members: DataFrame, percent: int, words: int = SHINGLE_WORDS) -> DataFrame:
     """``a, b``: links between different components, found on the full sets of the members of each unit.
 
     Two sets can share no more than either shares with all others of the unit, which settles most pairs at once. A
@@ -261,7 +261,7 @@ def links_across(members: DataFrame, percent: int) -> DataFrame:
     def link(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         rep, root = table.column("rep").to_numpy(), table.column("root").to_numpy().copy()
-        first, value = shingle_sets(table.column("text").chunk(0))
+        first, value = shingle_sets(table.column("text").chunk(0), words)
         n = np.diff(first)
         _, code, times = np.unique(value, return_inverse=True, return_counts=True)
         shared = np.bincount(np.repeat(np.arange(len(n)), n), (times > 1)[code], len(n))
@@ -283,16 +283,17 @@ def links_across(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy(*UNIT).applyInArrow(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGION) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGION,
+                    words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``; other columns are ignored.
 
-    Documents are linked if they share at least ``percent`` % of the three-word shingles of both, and ``component_id`` is the
+    Documents are linked if they share at least ``percent`` % of the shingles of ``words`` words of both, and ``component_id`` is the
     least id that links lead to, a document's own if there are none. Null and wordless texts have no shingles and no
     links. Equal texts are in one class; rows with one doc_id but different texts are linked to whatever the other one is
     linked to; a null doc_id comes after all others. An empty table gives an empty result.
     """
     docs = docs.select(with_id(), "text")
-    signed = stage(signatures(docs), "signatures")
+    signed = stage(signatures(docs, words), "signatures")
     keys = ["n_shingles", "key1", "key2"]
     classes = signed.where("n_shingles > 0").groupBy(*keys).agg(
         F.min("doc_id").alias("rep"), F.min("labels").alias("labels"))
@@ -306,11 +307,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGIO
     texts = docs.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
     # of rows with one id the greatest text stands for all
     texts = stage(texts.groupBy("rep").agg(F.max("text").alias("text")), "texts")
-    linked = stage(confirm(near, texts, percent), "links")
+    linked = stage(confirm(near, texts, percent, words), "links")
     roots = _components(linked)
     root = F.coalesce("root", "rep").alias("root")
     open_members = unsettled(members.join(roots, "rep", "left").select(*UNIT, "side", "rep", "labels", root))
-    more = links_across(open_members.join(texts, "rep"), percent)
+    more = links_across(open_members.join(texts, "rep"), percent, words)
     roots = _components(stage(linked.unionByName(more), "links"))
     belongs = classes.select(*keys, "rep").join(roots, "rep", "left").select(*keys, root)
     out = signed.select("doc_id", *keys).join(belongs, keys, "left")

@@ -151,6 +151,16 @@ def test_near_duplicates_equal_brute_force(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_by_other_shingles(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:180] + [f"v{i}" for i in range(20)]))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    # 176 of 216 five-word shingles are shared, and 178 of 218 of three words, which is less than 85 %
+    found = {r[0]: tuple(r)[1:] for r in neardup.near_duplicates(table, 80, words=5).collect()}
+    assert found == {1: (196, 1), 2: (196, 1)}
+    assert {r[0]: r[2] for r in neardup.near_duplicates(table).collect()} == {1: 1, 2: 2}
+
+
 def test_contamination_equals_brute_force(spark, docs, empty):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
