@@ -5,12 +5,15 @@ eight MinHash values, one for each tree. In a tree, classes that share a prefix
 with more than ``REGION`` classes goes one value deeper, and so on, and one that is still larger at full depth is
 compared in tiles. Each member proposes its most similar neighbour of the region, proposals are confirmed on the full
 sets and joined to components. A second pass then looks at every region that still holds several components:
-all its pairs that may reach the threshold are confirmed too, so a link is only lost if no tree puts its ends into one
-region. At similarity 0.85 that has a chance of 2e-8, and 5e-4 if every region of both is crowded down to full depth.
+all its pairs that may reach the threshold are confirmed too. A link is lost if no tree puts its ends into one region, or
+if their MinHash values agree so rarely that the pair isn't confirmed. At the threshold the first has a chance of 2e-8 for
+85 % and 3e-6 for 80 %, and up to 1e-3 if every region of both is crowded down to full depth (see :func:`last_depth`); the
+second has a chance of at most 1e-9 (see :func:`least_agreement`).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +30,31 @@ SHINGLE_WORDS = 3
 PERCENT = 85
 TREES, DEPTH, FIRST_DEPTH = 24, 8, 4
 REGION = 1024
-#: Pairs whose MinHash values agree less than this are not confirmed; a pair at the threshold is 5.8 deviations above.
-LEAST_AGREEMENT = 0.70
+#: Chances that a pair at the threshold agrees too rarely to be confirmed, and that crowded regions part it in all trees.
+AGREEMENT_LOSS, CROWDED_LOSS = 1e-9, 1e-3
 
 _RANDOM = np.random.default_rng(7)
 _XOR = _RANDOM.integers(0, 2**32, TREES * DEPTH, np.uint32)
 _FACTOR = _RANDOM.integers(0, 2**31, TREES * DEPTH, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
+def least_agreement(percent: int) -> int:
+    """Number of agreeing MinHash values below which a pair has a similarity of ``percent`` % by a chance of 1e-9 at most.
+
+    Every value of a pair agrees with the chance of its similarity, so their number is binomial.
+    """
+    n, p, below, count = TREES * DEPTH, percent / 100, 0.0, 0
+    while count < n and (below := below + math.comb(n, count) * p**count * (1 - p)**(n - count)) <= AGREEMENT_LOSS:
+        count += 1
+    return count
+
+
+def last_depth(percent: int) -> int:
+    """How deep regions go at most: all trees part a pair at ``percent`` % there by a chance of 1e-3 or less."""
+    p = percent / 100
+    return max([d for d in range(FIRST_DEPTH, DEPTH + 1) if (1 - p**d) ** TREES <= CROWDED_LOSS], default=FIRST_DEPTH)
+
+
 def shingle_sets(column: pa.Array, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """First position of each row's set (one more at the end), and the sorted distinct shingle hashes of all rows.
 
@@ -119,20 +139,20 @@ def tree_rows(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "labels").mapInArrow(spread, "tree int, hi long, lo long, rep long")
 
 
-def regions(rows: DataFrame, limit: int) -> DataFrame:
+def regions(rows: DataFrame, limit: int, last: int = DEPTH) -> DataFrame:
     """``region, tile_a, tile_b, side, rep``: members of every region that has at least two, split where it is crowded.
 
     Counts of prefixes are pre-aggregated; only members of crowded regions are counted again one value deeper.
-    A region above the limit at full depth is cut into tiles, and each pair of tiles is one unit of work.
+    A region above the limit at depth ``last`` is cut into tiles, and each pair of tiles is one unit of work.
     """
     done, rest = [], rows.withColumn("region", F.xxhash64("tree", "hi"))
-    for depth in range(FIRST_DEPTH, DEPTH + 1):
+    for depth in range(FIRST_DEPTH, last + 1):
         counts = rest.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rest = stage(rest.join(counts, "region"), "regions")
-        fits = rest if depth == DEPTH else rest.where(F.col("n") <= limit)
+        fits = rest if depth == last else rest.where(F.col("n") <= limit)
         done.append(fits.select("region", "rep", "n"))
         rest = rest.where(F.col("n") > limit).drop("n")
-        if depth < DEPTH:
+        if depth < last:
             if rest.isEmpty():
                 break
             above = 64 - 16 * (depth - FIRST_DEPTH + 1)
@@ -189,7 +209,7 @@ def _label_table(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
 
 
-def proposals(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
+def proposals(members: DataFrame, least: int) -> DataFrame:
     """``a, b``: for each member of a unit the other member that agrees with it most."""
     def best(table: pa.Table) -> pa.Table:
         label, rep = _label_table(table.column("labels")), table.column("rep").to_numpy()
@@ -200,7 +220,7 @@ def proposals(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
             for agree, own, other in ((count, left, right), (count.T, right, left)):
                 if agree.size:
                     to = agree.argmax(axis=1)
-                    good = agree[np.arange(len(to)), to] >= least * TREES * DEPTH
+                    good = agree[np.arange(len(to)), to] >= least
                     pairs.append(np.stack([rep[own][good], rep[other][to[good]]]))
         pairs = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
@@ -231,7 +251,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int = SHING
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def unsettled(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
+def unsettled(members: DataFrame, least: int) -> DataFrame:
     """Members of units that have a partner in another component which may be similar enough."""
     def involved(table: pa.Table) -> pa.Table:
         root, label = table.column("root").to_numpy(), _label_table(table.column("labels"))
@@ -242,7 +262,7 @@ def unsettled(members: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
             roots = root[np.concatenate([left, right])]
             if (roots == roots[0]).all():
                 continue
-            near = _agreement(label[left], label[right]) >= least * TREES * DEPTH
+            near = _agreement(label[left], label[right]) >= least
             near &= root[left][:, None] != root[right][None, :]
             keep[left] |= near.any(axis=1)
             keep[right] |= near.any(axis=0)
@@ -297,20 +317,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGIO
     keys = ["n_shingles", "key1", "key2"]
     classes = signed.where("n_shingles > 0").groupBy(*keys).agg(
         F.min("doc_id").alias("rep"), F.min("labels").alias("labels"))
-    # below six shingles only equal sets can reach 85 %
+    # with fewer shingles only equal sets can reach the threshold, at 85 % below six
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1))
     classes = stage(classes.select(*keys, "rep", "labels"), "classes")
     large = classes.where(F.col("n_shingles") >= least)
-    members = regions(tree_rows(large), region).join(large.select("rep", "labels"), "rep")
+    members = regions(tree_rows(large), region, last_depth(percent)).join(large.select("rep", "labels"), "rep")
     members = stage(members, "members")
-    near = stage(proposals(members), "proposals")
+    agreement = least_agreement(percent)
+    near = stage(proposals(members, agreement), "proposals")
     texts = docs.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
     # of rows with one id the greatest text stands for all
     texts = stage(texts.groupBy("rep").agg(F.max("text").alias("text")), "texts")
     linked = stage(confirm(near, texts, percent, words), "links")
     roots = _components(linked)
     root = F.coalesce("root", "rep").alias("root")
-    open_members = unsettled(members.join(roots, "rep", "left").select(*UNIT, "side", "rep", "labels", root))
+    open_members = unsettled(members.join(roots, "rep", "left").select(*UNIT, "side", "rep", "labels", root),
+                             agreement)
     more = links_across(open_members.join(texts, "rep"), percent, words)
     roots = _components(stage(linked.unionByName(more), "links"))
     belongs = classes.select(*keys, "rep").join(roots, "rep", "left").select(*keys, root)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -161,6 +162,23 @@ def test_near_duplicates_by_other_shingles(spark):
     assert {r[0]: r[2] for r in neardup.near_duplicates(table).collect()} == {1: 1, 2: 2}
 
 
+@pytest.mark.parametrize("percent", [75, 80, 85, 95])
+def test_pairs_at_the_threshold_are_confirmed(percent):
+    n, p = neardup.TREES * neardup.DEPTH, percent / 100
+    least = neardup.least_agreement(percent)
+    assert sum(math.comb(n, k) * p**k * (1 - p)**(n - k) for k in range(least)) <= 1e-9
+    assert (1 - p**neardup.last_depth(percent)) ** neardup.TREES <= 1e-3 or neardup.last_depth(percent) == neardup.FIRST_DEPTH
+    rng = np.random.default_rng(percent)
+    agree = []
+    for _ in range(150):  # two sets of hashes with 2 * percent common ones of 200
+        value = rng.integers(0, 2**64, 200, np.uint64)
+        one = 2 * percent + (200 - 2 * percent) // 2
+        a, b = np.sort(value[:one]), np.sort(np.concatenate([value[:2 * percent], value[one:]]))
+        labels = neardup.labels_of(np.array([0, len(a), 200 + 2 * percent]), np.concatenate([a, b]))
+        agree.append(int((labels[0] == labels[1]).sum()))
+    assert np.mean(agree) == pytest.approx(n * p, abs=3) and min(agree) >= least
+
+
 def test_contamination_equals_brute_force(spark, docs, empty):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
