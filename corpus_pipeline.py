@@ -22,14 +22,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every group of near duplicates."""
-    found = neardup.near_duplicates(docs)
-    return docs.join(found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return neardup.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not made of benchmark passages."""
-    found = contamination.contamination(docs, read(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return contamination.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

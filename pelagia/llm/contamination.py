@@ -23,7 +23,7 @@ SEGMENT_BYTES = 1 << 20
 QUERY_CHARS = 4 << 20
 CANDIDATES = 1 << 20
 NEAR_TERMS, NEAR_WORDS = 3, 20
-INDEX = ("doc_ids array<long>, bounds array<int>, terms array<string>, first array<int>, postings array<int>")
+INDEX = ("doc_ids array<long>, hashes array<long>, bounds array<int>, terms array<string>, first array<int>, postings array<int>")
 
 
 def _inside() -> np.ndarray:
@@ -41,7 +41,7 @@ def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """A row per segment: its ``doc_ids``, the word ``bounds`` of its documents, ``terms`` and their ``postings``.
+    """A row per segment: its ``doc_ids``, text ``hashes``, the word ``bounds`` of its documents, ``terms`` and their ``postings``.
 
     ``docs(doc_id, text)``; other columns are ignored, null text has no words, a null doc_id is kept as the largest
     number. A segment holds about a megabyte of text or one longer document, so a task holds one segment at a time.
@@ -59,10 +59,10 @@ def build_index(docs: DataFrame) -> DataFrame:
                 return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
             yield pa.RecordBatch.from_arrays(
-                [one(batch.column("doc_id")), one(pa.array(bounds.astype(np.int32))), one(coded.dictionary),
-                 one(pa.array(first)), one(pa.array(postings))], ["doc_ids", "bounds", "terms", "first", "postings"])
+                [one(batch.column("doc_id")), one(batch.column("text_hash")), one(pa.array(bounds.astype(np.int32))), one(coded.dictionary),
+                 one(pa.array(first)), one(pa.array(postings))], ["doc_ids", "hashes", "bounds", "terms", "first", "postings"])
 
-    return docs.select(with_id(), "text").mapInArrow(segments, INDEX)
+    return docs.select(with_id(), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(segments, INDEX)
 
 
 class Windows:
@@ -185,16 +185,16 @@ def _search_block(index: DataFrame, windows: Windows, near_terms: int, near_word
                     [pa.array(names[spans[1]], pa.string()), pa.array(spans[2], pa.int64()), pa.array(spans[3], pa.int64())],
                     ["item_id", "first", "words"])
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(np.diff(bounds)), lists(spans[0], phrase),
+                    [doc_ids, cell("hashes"), pa.array(np.diff(bounds)), lists(spans[0], phrase),
                      lists(near_row[order], pa.array(names[near_item[order]], pa.string()))],
-                    ["doc_id", "n_words", "phrases", "near"])
+                    ["doc_id", "text_hash", "n_words", "phrases", "near"])
 
-    return index.mapInArrow(search, "doc_id long, n_words long, phrases array<struct<item_id:string,first:long,words:long>>, "
-                                    "near array<string>")
+    return index.mapInArrow(search, "doc_id long, text_hash long, n_words long, "
+                                    "phrases array<struct<item_id:string,first:long,words:long>>, near array<string>")
 
 
 def search(index: DataFrame, items: DataFrame, near_terms: int = NEAR_TERMS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """``doc_id, n_words, phrases, near`` of every document in the index, with empty lists where nothing matches.
+    """``doc_id, text_hash, n_words, phrases, near`` of every document in the index, with empty lists where nothing matches.
 
     ``items(item_id, text)``: null or wordless texts match nothing, a null item_id is the empty name, rows with one
     item_id count as one item. ``phrases`` holds every occurrence of a window of 13 words of an item (of a shorter
@@ -212,7 +212,7 @@ def search(index: DataFrame, items: DataFrame, near_terms: int = NEAR_TERMS, nea
         rows = _search_block(index, windows, near_terms, near_words)
         found = rows if found is None else found.unionByName(rows)
     if blocks > 1:  # the lists of the blocks belong to the same documents
-        found = found.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("phrases")).alias("phrases"),
+        found = found.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("phrases")).alias("phrases"),
                                                        F.flatten(F.collect_list("near")).alias("near"))
     return found
 
@@ -227,17 +227,25 @@ def hit_words(phrases: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, near, contaminated``: contaminated if at least one word in 20 is hit.
+    """``doc_id, text_hash, n_words, n_hit, items, near, contaminated``: contaminated if at least one word in 20 is hit.
 
     Every row of ``docs`` gives a row; see :func:`build_index` and :func:`search` for nulls, ties and empty tables.
     """
     found = search(stage(build_index(docs), "index"), items)
     found = found.withColumn("n_hit", hit_words(F.col("phrases")))
-    return found.select(without_id(), "n_words", "n_hit", F.array_sort(F.array_distinct("phrases.item_id")).alias("items"),
+    return found.select(without_id(), "text_hash", "n_words", "n_hit", F.array_sort(F.array_distinct("phrases.item_id")).alias("items"),
                         F.array_sort(F.array_distinct("near")).alias("near"),
                         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, told apart by doc_id and text, with all their columns."""
+    keys = ["_doc_id", "_text_hash"]
+    gone = contamination(docs, items).where("contaminated").select(with_id().alias(keys[0]), F.col("text_hash").alias(keys[1]))
+    marked = docs.select("*", with_id().alias(keys[0]), F.xxhash64("text").alias(keys[1]))
+    return marked.join(gone.distinct(), keys, "left_anti").select(docs.columns)
+
+
 @query()
 def op9_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in every document, and whether it is contaminated."""

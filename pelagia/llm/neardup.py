@@ -1,6 +1,6 @@
 """Near-duplicate documents by an LSH forest, confirmed on full shingle sets.
 
-Documents with equal shingle sets form a class, and the class's least id stands for it. Every class gets 24 labels of
+Documents with equal shingle sets form a class with a number of its own. Every class gets 24 labels of
 eight MinHash values, one for each tree. In a tree, classes that share a prefix of four values are a region; a region
 with more than ``REGION`` classes goes one value deeper, and so on, and one that is still larger at full depth is
 compared in tiles. Each member proposes its most similar neighbour of the region, proposals are confirmed on the full
@@ -24,7 +24,7 @@ from pelagia.llm.common import (chunks, lowered, mixed, partitions, read, spaced
                                 without_id, word_hashes, word_spans)
 from pelagia.llm.registry import query
 from pelagia.operators.components import connected_components
-from pelagia.runtime import stage
+from pelagia.runtime import attach, stage
 
 SHINGLE_WORDS = 3
 PERCENT = 85
@@ -104,7 +104,7 @@ def labels_of(first: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, n_shingles, key1, key2, labels`` of every row; the keys are equal for equal sets."""
+    """``doc_id, text_hash, n_shingles, key1, key2, labels`` of every row; the keys are equal for equal sets."""
     def sign(batches):
         for batch in chunks(batches):
             first, value = shingle_sets(batch.column("text"), words)
@@ -117,11 +117,11 @@ def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
                 None, pa.py_buffer(np.arange(rows + 1, dtype=np.int32) * (2 * TREES * DEPTH)),
                 pa.py_buffer(labels_of(first, value).tobytes())])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(first)), pa.array(keys[0].view(np.int64)),
-                 pa.array(keys[1].view(np.int64)), packed], ["doc_id", "n_shingles", "key1", "key2", "labels"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.diff(first)), pa.array(keys[0].view(np.int64)),
+                 pa.array(keys[1].view(np.int64)), packed], ["doc_id", "text_hash", "n_shingles", "key1", "key2", "labels"])
 
-    return docs.select(with_id(), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, key1 long, key2 long, labels binary")
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(
+        sign, "doc_id long, text_hash long, n_shingles long, key1 long, key2 long, labels binary")
 
 
 def tree_rows(classes: DataFrame) -> DataFrame:
@@ -303,41 +303,74 @@ def links_across(members: DataFrame, percent: int, words: int = SHINGLE_WORDS) -
     return members.groupBy(*UNIT).applyInArrow(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGION,
-                    words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``; other columns are ignored.
+def rows_of_components(docs: DataFrame, percent: int = PERCENT, region: int = REGION,
+                       words: int = SHINGLE_WORDS) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, first`` for every row of ``docs(doc_id, text)``; see :func:`near_duplicates`.
 
-    Documents are linked if they share at least ``percent`` % of the shingles of ``words`` words of both, and ``component_id`` is the
-    least id that links lead to, a document's own if there are none. Null and wordless texts have no shingles and no
-    links. Equal texts are in one class; rows with one doc_id but different texts are linked to whatever the other one is
-    linked to; a null doc_id comes after all others. An empty table gives an empty result.
+    ``first`` is the least ``doc_id, text_hash`` of the row's component, the row's own if it has no links. A null doc_id is
+    the largest number here.
     """
-    docs = docs.select(with_id(), "text")
+    docs = docs.select(with_id(), F.xxhash64("text").alias("text_hash"), "text")
     signed = stage(signatures(docs, words), "signatures")
-    keys = ["n_shingles", "key1", "key2"]
-    classes = signed.where("n_shingles > 0").groupBy(*keys).agg(
-        F.min("doc_id").alias("rep"), F.min("labels").alias("labels"))
+    keys, row = ["n_shingles", "key1", "key2"], F.struct("doc_id", "text_hash")
+    classes = signed.where("n_shingles > 0").groupBy(*keys).agg(F.min(row).alias("first"), F.min("labels").alias("labels"))
     # with fewer shingles only equal sets can reach the threshold, at 85 % below six
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1))
-    classes = stage(classes.select(*keys, "rep", "labels"), "classes")
+    # written once, so that the numbers stay
+    classes = stage(classes.select(*keys, "first", F.monotonically_increasing_id().alias("rep"), "labels"), "classes")
     large = classes.where(F.col("n_shingles") >= least)
     members = regions(tree_rows(large), region, last_depth(percent)).join(large.select("rep", "labels"), "rep")
     members = stage(members, "members")
     agreement = least_agreement(percent)
     near = stage(proposals(members, agreement), "proposals")
-    texts = docs.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
-    # of rows with one id the greatest text stands for all
-    texts = stage(texts.groupBy("rep").agg(F.max("text").alias("text")), "texts")
+    named = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("first.*", "rep")
+    # rows of one id and one text hash have one text
+    texts = stage(docs.join(named, ["doc_id", "text_hash"]).groupBy("rep").agg(F.max("text").alias("text")), "texts")
     linked = stage(confirm(near, texts, percent, words), "links")
     roots = _components(linked)
     root = F.coalesce("root", "rep").alias("root")
-    open_members = unsettled(members.join(roots, "rep", "left").select(*UNIT, "side", "rep", "labels", root),
-                             agreement)
+    open_members = unsettled(members.join(roots, "rep", "left").select(*UNIT, "side", "rep", "labels", root), agreement)
     more = links_across(open_members.join(texts, "rep"), percent, words)
-    roots = _components(stage(linked.unionByName(more), "links"))
-    belongs = classes.select(*keys, "rep").join(roots, "rep", "left").select(*keys, root)
-    out = signed.select("doc_id", *keys).join(belongs, keys, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    roots = stage(_components(stage(linked.unionByName(more), "links")), "roots")
+    lead = roots.join(classes.select("rep", "first"), "rep").groupBy("root").agg(F.min("first").alias("lead"))
+    lead = attach(roots, lead, ["root"]).select("rep", "lead")
+    belongs = classes.select(*keys, "rep", "first").join(lead, "rep", "left").select(
+        *keys, F.coalesce("lead", "first").alias("first"))
+    out = signed.select("doc_id", "text_hash", *keys).join(belongs, keys, "left")
+    return out.select("doc_id", "text_hash", "n_shingles", F.coalesce("first", row).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, region: int = REGION,
+                    words: int = SHINGLE_WORDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``; other columns are ignored.
+
+    Documents are linked if they share at least ``percent`` % of the shingles of ``words`` words of both, and ``component_id`` is the
+    least id that links lead to, a document's own if there are none. Null and wordless texts have no shingles and no
+    links. Equal texts are in one class; rows with one doc_id, or none, but different texts are linked each by its own
+    text; a null doc_id comes after all others. An empty table gives an empty result.
+    """
+    found = rows_of_components(docs, percent, region, words)
+    return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS) -> DataFrame:
+    """The row with the least doc_id, then the least text hash, of every component, with all its columns.
+
+    Of rows that are equal in both, the least one by all columns stays. Null and wordless texts all stay.
+    """
+    found = stage(rows_of_components(docs, percent, words=words), "found")
+    row, is_first = ["doc_id", "text_hash"], F.struct("doc_id", "text_hash") == F.col("first")
+    keys = [F.col(c).alias(f"_{c}") for c in row]
+    gone = found.where(~is_first).select(*keys).distinct()
+    twice = found.where(is_first & (F.col("n_shingles") > 0)).groupBy(*row).count().where("count > 1")
+    names, keys_of = docs.columns, [with_id().alias("_doc_id"), F.xxhash64("text").alias("_text_hash")]
+    rest = docs.select("*", *keys_of).join(gone, ["_doc_id", "_text_hash"], "left_anti")
+    if not twice.isEmpty():
+        twice = twice.select(*keys)
+        same = rest.join(twice, ["_doc_id", "_text_hash"], "left_semi")
+        one = same.groupBy("_doc_id", "_text_hash").agg(F.min(F.struct(*names)).alias("_row")).select("_row.*")
+        rest = rest.join(twice, ["_doc_id", "_text_hash"], "left_anti").select(*names).unionByName(one)
+    return rest.select(*names)
 
 
 def _components(links: DataFrame) -> DataFrame:

@@ -179,6 +179,23 @@ def test_pairs_at_the_threshold_are_confirmed(percent):
     assert np.mean(agree) == pytest.approx(n * p, abs=3) and min(agree) >= least
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    texts = {n: " ".join(f"{n}{i}" for i in range(100)) for n in "abcd"}
+    rows = [(None, texts["a"], "1"), (None, texts["b"], "2"), (None, texts["b"] + " end", "3"), (7, texts["a"] + " end", "4"),
+            (7, texts["c"], "5"), (7, texts["c"], "6"), (9, texts["c"] + " end", "7"), (None, None, "8"), (None, None, "9"),
+            (7, texts["d"], "10"), (None, "clean text", "11")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = sorted(tuple(r) for r in neardup.near_duplicates(table).collect())
+    none = common.NO_ID
+    assert got == sorted([(none, 98, 7), (none, 98, none), (none, 99, none), (7, 99, 7), (7, 98, 7), (7, 98, 7), (9, 99, 7),
+                          (none, 0, none), (none, 0, none), (7, 98, 7), (none, 1, none)])
+    kept = {r.row for r in neardup.without_near_duplicates(table).collect()}
+    assert len(kept & {"2", "3"}) == 1 and kept - {"2", "3"} == {"4", "5", "8", "9", "10", "11"}
+    items = spark.createDataFrame([(1, texts["d"]), (2, texts["b"])], "item_id long, text string")
+    kept = {r.row for r in contamination.without_contaminated(table, items).collect()}
+    assert kept == {"1", "4", "5", "6", "7", "8", "9", "11"}
+
+
 def test_contamination_equals_brute_force(spark, docs, empty):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
