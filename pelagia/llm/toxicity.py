@@ -175,7 +175,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshol
 
 
 def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    A model that has learned nothing of any term scores all rows alike, and all of them stay.
+    """
+    if not _machine(model)[1].any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches):

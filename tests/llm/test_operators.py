@@ -332,6 +332,12 @@ def test_toxicity_and_language_on_odd_rows(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, langid.train(empty)).collect()} == {"und"}
 
 
+def test_toxicity_stage_without_usable_labels(spark, docs):
+    null = docs.select("doc_id", F.lit(None).cast("int").alias("toxic"))
+    for labels in (null, null.limit(0)):
+        assert toxicity.without_toxic(docs, toxicity.train(docs, labels)).count() == len(ROWS)
+
+
 def test_mixture_finds_both_languages(spark):
     folder = "/root/testdata/sf0.001"
     docs = common.read(spark, folder, "documents")
