@@ -4,7 +4,7 @@ A fingerprint has 64 bits, each the majority of that bit over the hashes of a te
 leaves of a binary trie. The join walks down pairs of nodes together, adds up the bits in which they differ, and leaves a
 pair as soon as these are more than allowed. Its upper part runs as joins of tables of nodes: only pairs that hold many
 leaves are opened, a few bits a round, so a crowded prefix goes deeper than others. Every pair of nodes with few leaves is
-then walked to the end inside a task.
+then walked to the end inside a task, and a pair without any bits left is a join by the bits below.
 
 A fingerprint has at most 2,080 others within two bits, so the pairs are bounded however the texts are distributed.
 """
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pelagia.llm.common import (chunks, lowered, partitions, ranges, read, spaced_words, text_bytes, with_id, without_id,
                                 word_spans)
@@ -29,8 +29,8 @@ SEED = 42
 BITS = 64
 DISTANCE = 2
 # A pair of nodes with more leaves than this is opened by a join, by so many bits at once.
-PAIR_LEAVES = 8192
-STEP_BITS = 4
+PAIR_LEAVES = 1024
+STEP_BITS = 3
 # Leaves that a task walks at once, pairs of nodes that it holds at once, and hashes that it counts at once.
 CELL_LEAVES = 32_768
 FRONT_PAIRS = 1 << 20
@@ -95,51 +95,56 @@ def _node(leaf: Column, depth: int) -> Column:
     return F.shiftrightunsigned(leaf, BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def node_pairs(leaves: DataFrame, distance: int, limit: int) -> list[tuple[int, DataFrame]]:
-    """``(depth, pairs)`` for every depth that has pairs of nodes ``a <= b`` to walk inside a task.
+def walk_rows(leaves: DataFrame, distance: int, limit: int) -> DataFrame:
+    """``unit, side, leaf, depth, inside``: what tasks have to walk, whole units at a time.
 
-    Pairs have at most ``limit`` leaves together and differ by at most ``distance`` bits so far. The walk starts with the
-    root beside itself; a pair with more leaves is joined with the children of both nodes.
+    The walk starts with the root beside itself. A pair of nodes with more than ``limit`` leaves together is joined with the children
+    of both, and differing bits are added up. Pairs with fewer leaves are units: the leaves of both nodes on a side each, or on one
+    if a node is beside itself. A pair whose bits are used up by the ones above ``depth`` has leaves in common only if all
+    bits below are equal, so these make a unit of all leaves with equal ones, which is a single leaf mostly and left out then.
+    ``inside`` is the number of leaves of the node that was opened there.
     """
-    done = []
-    n = leaves.count()
-    root = leaves.sparkSession.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("differ"),
-                                               F.lit(n).alias("n_a"), F.lit(n).alias("n_b"))
-    pairs, depth = root, 0
+    spark, n = leaves.sparkSession, leaves.count()
+    none = F.lit(None).cast("long").alias("inside")
+    pairs = spark.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("differ"),
+                                  F.lit(n).alias("n_a"), F.lit(n).alias("n_b"))
+    out, depth = None, 0
     while True:
         crowded = F.col("n_a") + F.col("n_b") > limit
         pairs, rest = stage_counting(pairs, crowded, "pairs")
-        done.append((depth, pairs.where(~crowded).select("a", "b")))
+        side_a, side_b = (F.struct(F.lit(i).alias("side"), F.col(c).alias("node")) for i, c in enumerate("ab"))
+        sides = F.when(F.col("a") == F.col("b"), F.array(side_a)).otherwise(F.array(side_a, side_b))
+        units = pairs.where(~crowded).select(F.xxhash64(F.lit(depth), "a", "b").alias("unit"), F.explode(sides).alias("s"))
+        below = leaves.withColumn("node", _node(F.col("leaf"), depth))
+        rows = below.join(units.select("unit", "s.side", "s.node"), "node").select("unit", "side", "leaf", F.lit(0).alias("depth"), none)
+        out = rows if out is None else out.unionByName(rows)
         if not rest:
-            return done
-        depth += STEP_BITS
+            return out
+        opened = pairs.where(crowded)
+        step = min(STEP_BITS, BITS - depth)
+        depth += step
+        if depth < BITS:
+            inside = opened.select(F.col("a").alias("node"), F.col("n_a").alias("inside")).union(opened.select("b", "n_b")).distinct()
+            equal = F.shiftleft("leaf", depth)
+            alike = Window.partitionBy("equal")
+            rows = (below.join(inside, "node").withColumn("equal", equal).withColumn("alike", F.count(F.lit(1)).over(alike))
+                    .where("alike > 1"))
+            out = out.unionByName(rows.select(F.xxhash64(F.lit(depth), "equal", F.lit("equal")).alias("unit"), F.lit(0).alias("side"),
+                                              "leaf", F.lit(depth).alias("depth"), "inside"))
         nodes = stage(leaves.groupBy(_node(F.col("leaf"), depth).alias("child")).agg(F.count(F.lit(1)).alias("n")), "nodes")
-        parent = F.shiftrightunsigned("child", STEP_BITS)
+        parent = F.shiftrightunsigned("child", step)
         left = nodes.select(parent.alias("a"), F.col("child").alias("child_a"), F.col("n").alias("m_a"))
         right = nodes.select(parent.alias("b"), F.col("child").alias("child_b"), F.col("n").alias("m_b"))
-        opened = pairs.where(crowded).select("a", "b", "differ").join(left, "a").join(right, "b")
+        met = opened.select("a", "b", "differ").join(left, "a").join(right, "b")
         # the bits above the children are counted already
-        new_bits = F.col("child_a").bitwiseXOR(F.col("child_b")).bitwiseAND(F.lit((1 << STEP_BITS) - 1).cast("long"))
+        new_bits = F.col("child_a").bitwiseXOR(F.col("child_b")).bitwiseAND(F.lit((1 << step) - 1).cast("long"))
         differ = F.col("differ") + F.bit_count(new_bits)
-        pairs = (opened.where((F.col("a") != F.col("b")) | (F.col("child_a") <= F.col("child_b"))).where(differ <= distance)
+        most = F.lit(distance if depth == BITS else distance - 1)
+        pairs = (met.where((F.col("a") != F.col("b")) | (F.col("child_a") <= F.col("child_b"))).where(differ <= most)
                  .select(F.col("child_a").alias("a"), F.col("child_b").alias("b"), differ.alias("differ"),
                          F.col("m_a").alias("n_a"), F.col("m_b").alias("n_b")))
 
 
-def walk_rows(leaves: DataFrame, distance: int, limit: int) -> DataFrame:
-    """``unit, side, leaf``: the leaves of both nodes of every pair to walk; a node beside itself has one side."""
-    out = None
-    for depth, pairs in node_pairs(leaves, distance, limit):
-        unit = F.xxhash64(F.lit(depth), "a", "b").alias("unit")
-        sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("node")))).otherwise(
-            F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("node")),
-                    F.struct(F.lit(1).alias("side"), F.col("b").alias("node"))))
-        units = pairs.select(unit, F.explode(sides).alias("s")).select("unit", "s.side", "s.node")
-        rows = leaves.withColumn("node", _node(F.col("leaf"), depth)).join(units, "node").select("unit", "side", "leaf")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 # --- the lower part ------------------------------------------------------------------------------------
 
 def walk(leaf: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -206,6 +211,7 @@ def neighbours(leaves: DataFrame, distance: int = DISTANCE, limit: int = PAIR_LE
         leaf = table.column("leaf").to_numpy().view(np.uint64)
         order = np.lexsort((leaf, side, unit))
         unit, side, leaf = unit[order], side[order], leaf[order]
+        depth, inside = (table.column(c).fill_null(0).to_numpy()[order] for c in ("depth", "inside"))
         new = np.ones(len(unit), bool)
         new[1:] = (unit[1:] != unit[:-1]) | (side[1:] != side[:-1])
         cuts = np.append(np.flatnonzero(new), len(unit))
@@ -214,6 +220,12 @@ def neighbours(leaves: DataFrame, distance: int = DISTANCE, limit: int = PAIR_LE
         other = np.where(np.append(unit[1:] == unit[:-1], False)[first], first + 1, first)
         pairs = list(walk(leaf, np.stack([low[first], high[first]]), np.stack([low[other], high[other]]), distance))
         u, v = (np.concatenate(side) if pairs else np.zeros(0, np.int64) for side in (zip(*pairs) if pairs else ((), ())))
+        # leaves with equal bits below a depth: only pairs that have used all bits right above it, and were opened there
+        above = np.where(depth[u] > 0, BITS - depth[u] + STEP_BITS, 0).astype(np.uint64)
+        differ = leaf[u] ^ leaf[v]
+        here = (np.bitwise_count(differ) == distance) & (np.bitwise_count(differ >> above) < distance) & (inside[u] + inside[v] > limit)
+        mine = (depth[u] == 0) | here
+        u, v = u[mine], v[mine]
         # a leaf stands in several pairs of nodes: number the distinct ones
         value, number = np.unique(leaf, return_inverse=True)
         u, v = number[u], number[v]
