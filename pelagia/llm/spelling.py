@@ -265,10 +265,12 @@ def near_words(vocabulary: DataFrame, part_words: int = PART_WORDS) -> DataFrame
 
     ``best`` holds the near word of the largest ``n``, the first in code-point order of equal ones, under minus that ``n``.
     """
-    # prefixes with many words get longer: to 1 letter, then to 2, 4, 8 ...
-    rest, depth, parts, edited = vocabulary, 0, None, None
+    # prefixes with many words get longer: none, then 1 letter, 2, 4, 8 ...
+    if vocabulary.count() <= part_words:
+        return _near_in_parts(vocabulary.select(F.lit("").alias("part"), "word", "n"), part_words)
+    rest, depth, parts, edited = vocabulary, 1, None, _edited_rows(vocabulary, 0, 1)
     while True:
-        part = F.substring("word", 1, depth) if depth else F.lit("")
+        part = F.substring("word", 1, depth)
         counts = rest.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("words"))
         crowded = F.col("words") > part_words
         placed, many = stage_counting(rest.select("word", "n", part.alias("part")).join(counts, "part"), crowded, "prefixes")
@@ -276,12 +278,10 @@ def near_words(vocabulary: DataFrame, part_words: int = PART_WORDS) -> DataFrame
         parts = done if parts is None else parts.unionByName(done)
         if not many:
             break
-        rest, deeper = placed.where(crowded).select("word", "n"), max(1, 2 * depth)
-        rows = _edited_rows(rest, depth, deeper)
-        edited = rows if edited is None else edited.unionByName(rows)
-        depth = deeper
-    found = _near_in_parts(parts, part_words)
-    return found if edited is None else found.unionByName(_near_by_edits(edited))
+        rest = placed.where(crowded).select("word", "n")
+        edited = edited.unionByName(_edited_rows(rest, depth, 2 * depth))
+        depth *= 2
+    return _near_in_parts(parts, part_words).unionByName(_near_by_edits(edited))
 
 
 def roots_of(forms: DataFrame) -> DataFrame:
