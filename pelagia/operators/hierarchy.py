@@ -1,94 +1,392 @@
-"""Bottom-up clustering with Ward's criterion (Ward 1963)."""
+"""Bottom-up clustering with Ward's criterion (Ward 1963), in rounds of merges on the cluster.
+
+Ward's cost is reducible: a merged centre is no nearer to a third one than the nearer of its parts was. So centres that are
+each other's nearest may be merged in any order, many at once, and the tree is the same (Murtagh 1983). A round cuts space into
+boxes with a bounded number of centres. A task holds one box and merges what is reciprocally nearest and cheaper than anything
+that may lie outside the box. Boxes are moved from round to round, so that none stays cut off by a face. Where that
+merges little, as with many features, the nearest centres of the others are found across boxes: a box descends the tree of all
+boxes to those that may hold nearer centres, and only these are compared. Fewer centres than a box may hold are one box,
+whose task finishes the tree.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pelagia.operators.features import assemble_features
+from pelagia.operators.features import rank_within
 from pelagia.operators.kmeans import weighted_points
-from pelagia.runtime import attach, fits_broadcast
+from pelagia.runtime import attach, stage, stage_counting
+
+# Centres that one task holds.
+BOX_CENTRES = 4096
+# Rows of a task that are compared with all others at once.
+ROWS_AT_ONCE = 256
+# A round that merges a smaller share than this also looks across boxes.
+LEAST_PROGRESS = 0.2
+# Bits of all coordinates together that tell boxes apart.
+BOX_BITS = 60
+# Guards bounds against rounding.
+SLACK = 1e-9
+
+
+def ward_cost(wa, wb, square):
+    return wa * wb / (wa + wb) * square
+
+
+# --- inside a task -------------------------------------------------------------------------------------
+
+def _nearest(x: np.ndarray, w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cheapest partner of some centres among all, and its cost; equal costs go to the first."""
+    best, cost = np.zeros(len(rows), np.int64), np.full(len(rows), np.inf)
+    if len(w) < 2:
+        return best, cost
+    for at in range(0, len(rows), ROWS_AT_ONCE):
+        some = rows[at:at + ROWS_AT_ONCE]
+        square = 0.0
+        for axis in range(x.shape[1]):
+            gap = x[some, axis, None] - x[None, :, axis]
+            square = square + gap * gap
+        price = ward_cost(w[some, None], w[None, :], square)
+        price[np.arange(len(some)), some] = np.inf
+        best[at:at + len(some)] = price.argmin(axis=1)
+        cost[at:at + len(some)] = price[np.arange(len(some)), best[at:at + len(some)]]
+    return best, cost
 
-# At most this many weighted centres are merged; their coordinates are all the driver ever holds.
-MAX_CENTRES = 20_000
+
+def merge_inside(x: np.ndarray, w: np.ndarray, height: np.ndarray, room=None, least: float = 0.0):
+    """Merge reciprocal nearest centres as long as any pair is cheaper than all that may lie outside.
+
+    ``room(x)`` is the distance from centres to the outside, where centres weigh ``least`` or more; without it there is no
+    outside. Returns the places that are left, their ``x, w, height``, nearest place and its cost and whether that is certain,
+    and the merges ``(place kept, place gone, height, step)``.
+    """
+    x, w, height = x.astype(float).copy(), w.astype(float).copy(), height.astype(float).copy()
+    place, merges, step = np.arange(len(w)), [], 0
+    best, cost = _nearest(x, w, place)
+    while True:
+        here = np.arange(len(place))
+        outside = np.full(len(here), np.inf) if room is None else ward_cost(w, least, room(x) ** 2)
+        certain = cost < outside
+        a = here[(best[best] == here) & (here < best) & certain & certain[best]] if len(here) > 1 else here[:0]
+        if not len(a):
+            return place, x, w, height, best, cost, certain, merges
+        b = best[a]
+        height[a] = np.maximum(cost[a], np.maximum(height[a], height[b]))
+        merges.append((place[a], place[b], height[a], np.full(len(a), step)))
+        both = w[a] + w[b]
+        x[a] = (x[a] * w[a, None] + x[b] * w[b, None]) / both[:, None]
+        w[a] = both
+        # a nearest centre stays nearest unless it has been merged
+        moved = np.zeros(len(here), bool)
+        moved[a] = moved[b] = True
+        stale = moved | moved[best]
+        left = np.ones(len(here), bool)
+        left[b] = False
+        number = np.cumsum(left) - 1
+        place, x, w, height, stale = place[left], x[left], w[left], height[left], stale[left]
+        best, cost = number[best[left]], cost[left]
+        again = np.flatnonzero(stale)
+        best[again], cost[again] = _nearest(x, w, again)
+        step += 1
 
 
 def ward_labels(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Cut the Ward tree of weighted centres into ``k`` clusters, numbered by their least centre.
+    """Cut the Ward tree of weighted centres into ``k`` clusters, numbered by their least centre."""
+    *_, merges = merge_inside(np.asarray(centres, float), np.asarray(weights), np.zeros(len(weights)))
+    head = np.arange(len(weights))
+    if merges:
+        keep, gone, height, step = (np.concatenate(part) for part in zip(*merges))
+        uncut = np.lexsort((step, height))[:max(len(weights) - k, 0)]
+        head[gone[uncut]] = keep[uncut]
+    while (head[head] != head).any():
+        head = head[head]
+    return np.unique(head, return_inverse=True)[1]
+
+
+# --- boxes ---------------------------------------------------------------------------------------------
+
+class _Grid:
+    """Nested boxes over a cube twice as wide as the data, moved by a part of that width that depends on the round."""
+
+    def __init__(self, low: list[float], high: list[float], turn: int):
+        d = len(low)
+        self.low, self.high = np.array(low), np.array(high)
+        self.width = float((self.high - self.low).max()) or 1.0
+        self.bits = max(1, BOX_BITS // d)
+        self.axes = min(d, BOX_BITS)
+        # multiples of irrational numbers are spread evenly
+        self.start = self.low - self.width * (((turn + 1) * 0.6180339887498949 + 0.7548776662466927 * np.arange(d)) % 1.0)
+
+    def key(self, xs: list[str]) -> Column:
+        """Bits of the scaled coordinates in turn, the coarsest first, so that boxes are prefixes."""
+        key = F.lit(0).cast("long")
+        for i, x in enumerate(xs[:self.axes]):
+            scaled = (F.col(x) - F.lit(float(self.start[i]))) / F.lit(2 * self.width) * F.lit(float(2 ** self.bits))
+            cell = F.floor(scaled).cast("long")
+            for b in range(self.bits):
+                key = key.bitwiseOR(F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("long")), b * self.axes + i))
+        return key
+
+    def room(self, level: int, box: int):
+        """Distance to the outside of a box, as a function of centres in it; nothing lies outside the data."""
+        side = 2 * self.width / 2 ** level
+        cell = np.zeros(len(self.low), np.int64)
+        for i in range(self.axes):
+            for b in range(level):
+                cell[i] |= (box >> (b * self.axes + i) & 1) << b
+        floor = self.start + cell * side
+        ceiling = floor + side
+        floor = np.where(floor <= self.low, -np.inf, floor)
+        ceiling = np.where(ceiling > self.high, np.inf, ceiling)
+        floor[self.axes:], ceiling[self.axes:] = -np.inf, np.inf
+
+        def distance(x: np.ndarray) -> np.ndarray:
+            gap = np.minimum(x - floor, ceiling - x).min(axis=1)
+            return np.maximum(gap * (1 - SLACK) - SLACK * self.width, 0.0)
+
+        return distance
+
+
+def _boxed(active: DataFrame, n: int, grid: _Grid, xs: list[str], limit: int) -> DataFrame:
+    """Add ``level, box, part``: boxes with at most ``limit`` centres, and parts of those that are still larger at the last level."""
+    if n <= limit:
+        return active.withColumns({"level": F.lit(0), "box": F.lit(0).cast("long"), "part": F.lit(0)})
+    done, rest = None, active.withColumn("z", grid.key(xs))
+    for level in range(1, grid.bits + 1):
+        box = F.shiftright("z", (grid.bits - level) * grid.axes)
+        counts = rest.groupBy(box.alias("box")).agg(F.count(F.lit(1)).alias("inside"))
+        keyed = rest.withColumns({"box": box, "level": F.lit(level)})
+        placed, many = stage_counting(attach(keyed, counts, ["box"]), F.col("inside") > limit, "boxes")
+        last = level == grid.bits or not many
+        parts = F.when(F.col("inside") > limit, 1 + F.pmod(F.xxhash64("id"), F.ceil(F.col("inside") / F.lit(limit)))).otherwise(0)
+        now = (placed if last else placed.where(F.col("inside") <= limit)).withColumn("part", parts.cast("int")).drop("z", "inside")
+        done = now if done is None else done.unionByName(now)
+        if last:
+            return done
+        rest = placed.where(F.col("inside") > limit).drop("box", "level", "inside")
+
+
+def _merge_boxes(boxed: DataFrame, grid: _Grid, least: float, xs: list[str]) -> DataFrame:
+    """Rows ``id, into, height, step`` of merges and, with ``into`` null, the centres that are left with their nearest one."""
+    def merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+        level, box, part = (int(k) for k in key)
+        frame = frame.sort_values("id", ignore_index=True)
+        ids = frame["id"].to_numpy()
+        # a part of a box has other centres anywhere between its own
+        room = (lambda x: np.zeros(len(x))) if part else grid.room(level, box)
+        place, x, w, height, best, cost, certain, merges = merge_inside(
+            frame[xs].to_numpy(), frame["w"].to_numpy(), frame["height"].to_numpy(), room, least)
+        left = pd.DataFrame({"id": ids[place], "into": None, "height": height, "step": -1, "w": w,
+                             "near": ids[place][best], "cost": cost, "certain": certain,
+                             **{name: x[:, i] for i, name in enumerate(xs)}})
+        out = [left]
+        if merges:
+            keep, gone, tall, step = (np.concatenate(part) for part in zip(*merges))
+            out.append(pd.DataFrame({"id": ids[gone], "into": ids[keep], "height": tall, "step": step}))
+        frame = pd.concat(out, ignore_index=True).reindex(columns=[c for c, _ in fields])
+        return frame.assign(level=level, box=box, part=part).astype({"into": "Int64", "near": "Int64", "certain": "boolean"})
+
+    fields = [("id", "long"), ("into", "long"), ("height", "double"), ("step", "int"), ("w", "double"), ("near", "long"),
+              ("cost", "double"), ("certain", "boolean"), *[(x, "double") for x in xs], ("level", "int"), ("box", "long"), ("part", "int")]
+    return boxed.groupBy("level", "box", "part").applyInPandas(merge, ", ".join(f"{c} {t}" for c, t in fields))
+
+
+# --- across boxes --------------------------------------------------------------------------------------
 
-    Nearest-neighbour chain (Murtagh 1983): the merge cost is reducible, so merging mutual nearest
-    neighbours in any order gives the tree. Needs the centres only, no distance matrix.
+def _gap_squared(low_a, high_a, low_b, high_b) -> Column:
+    """Square of the least distance between two boxes, given as lists of bounds."""
+    total = F.lit(0.0)
+    for la, ha, lb, hb in zip(low_a, high_a, low_b, high_b):
+        gap = F.greatest(F.lit(0.0), F.col(lb) - F.col(ha), F.col(la) - F.col(hb))
+        total = total + gap * gap
+    return total
+
+
+def _span_squared(low_a, high_a, low_b, high_b) -> Column:
+    total = F.lit(0.0)
+    for la, ha, lb, hb in zip(low_a, high_a, low_b, high_b):
+        gap = F.greatest(F.col(hb) - F.col(la), F.col(ha) - F.col(lb))
+        total = total + gap * gap
+    return total
+
+
+def _candidate_boxes(left: DataFrame, grid: _Grid, xs: list[str]) -> DataFrame:
+    """``a_*, b_*``: for each box with uncertain centres the boxes that may hold nearer ones, with their bounds.
+
+    All boxes form a tree by their prefixes. Each searching box goes down that tree with a bound on the cost of its
+    dearest centre, which every node met tightens, and leaves out nodes that are farther away than that.
     """
-    m = len(centres)
-    c, w = centres.astype(float).copy(), weights.astype(float).copy()
-    alive, head = np.ones(m, bool), list(range(m))
-    merges, chain, start = [], [], 0
-    while len(merges) < m - 1:
-        if not chain:
-            while not alive[start]:
-                start += 1
-            chain = [start]
-        while True:
-            a = chain[-1]
-            gap = c - c[a]
-            cost = w * w[a] / (w + w[a]) * np.einsum("ij,ij->i", gap, gap)
-            cost[~alive] = np.inf
-            cost[a] = np.inf
-            b = int(np.argmin(cost))
-            if len(chain) > 1 and cost[chain[-2]] <= cost[b]:
-                b = chain[-2]
-                break
-            chain.append(b)
-        del chain[-2:]
-        keep, gone = min(a, b), max(a, b)
-        merges.append((cost[b], len(merges), keep, gone))
-        c[keep] = (c[a] * w[a] + c[b] * w[b]) / (w[a] + w[b])
-        w[keep] = w[a] + w[b]
-        alive[gone] = False
-    for _, _, keep, gone in sorted(merges)[:max(m - k, 0)]:
-        a, b = _find(head, keep), _find(head, gone)
-        head[max(a, b)] = min(a, b)
-    roots = [_find(head, i) for i in range(m)]
-    number = {r: i for i, r in enumerate(sorted(set(roots)))}
-    return np.array([number[r] for r in roots], dtype=int)
-
-
-def _find(head: list[int], i: int) -> int:
-    while head[i] != i:
-        head[i] = head[head[i]]
-        i = head[i]
-    return i
-
-
-def hierarchical_cluster(df: DataFrame, cols: list[str], k: int = 7, max_centres: int = MAX_CENTRES,
-                         seed: int = 1) -> DataFrame:
-    """Rows without null features, with their ``cluster``.
-
-    Equal rows merge first at no cost, so the tree is built on the distinct feature rows with their counts.
-    Up to ``max_centres`` of them the result is exact; beyond, that many k-means centres are merged in their
-    place, which is an approximation.
+    key = ["level", "box", "part"]
+
+    def lows(side):
+        return [f"{side}lo_{x}" for x in xs]
+
+    def highs(side):
+        return [f"{side}hi_{x}" for x in xs]
+
+    def bounds(side, of=lambda c, f: f(c)):
+        return [*[of(x, F.min).alias(f"{side}lo_{x}") for x in xs], *[of(x, F.max).alias(f"{side}hi_{x}") for x in xs]]
+
+    leaves = stage(left.groupBy(*key).agg(F.count(F.lit(1)).alias("b_n"), F.min("w").alias("b_light"), F.max("w").alias("b_heavy"),
+                                          *bounds("b_")), "leaves")
+    open_ = left.where(~F.col("certain"))
+    seekers = open_.groupBy(*[F.col(c).alias(f"a_{c}") for c in key]).agg(
+        F.min("w").alias("a_light"), F.max("w").alias("a_heavy"), F.max("cost").alias("limit"), *bounds("a_"))
+    deepest = leaves.agg(F.max("level")).first()[0]
+    pairs, found = seekers.withColumns({"b_level": F.lit(0), "b_box": F.lit(0).cast("long")}), None
+    same_bounds = [*[F.min(c).alias(c) for c in lows("b_")], *[F.max(c).alias(c) for c in highs("b_")]]
+    for level in range(0, deepest + 1):
+        # nodes of this level: boxes that end here, and the common prefixes of deeper ones
+        ends = leaves.where(F.col("level") == level).withColumn("leaf", F.lit(True))
+        inner = (leaves.where(F.col("level") > level)
+                 .withColumn("box", F.expr(f"shiftright(box, (level - {level}) * {grid.axes})"))
+                 .groupBy("box").agg(F.sum("b_n").alias("b_n"), F.min("b_light").alias("b_light"), F.max("b_heavy").alias("b_heavy"), *same_bounds)
+                 .withColumns({"level": F.lit(level), "part": F.lit(0), "leaf": F.lit(False)}))
+        nodes = ends.unionByName(inner).withColumnsRenamed({c: f"b_{c}" for c in key})
+        if level:
+            pairs = pairs.withColumns({"b_level": F.lit(level), "b_parent": F.col("b_box")}).drop("b_box")
+            nodes = nodes.withColumn("b_parent", F.shiftright("b_box", grid.axes))
+            met = pairs.join(nodes.drop("b_level"), "b_parent").drop("b_parent")
+        else:
+            met = pairs.drop("b_box", "b_level").crossJoin(nodes.drop("b_level"))  # the root, one row
+            met = met.withColumn("b_level", F.lit(0))
+        near = ward_cost(F.col("a_light"), F.col("b_light"), _gap_squared(lows("a_"), highs("a_"), lows("b_"), highs("b_")))
+        far = ward_cost(F.col("a_heavy"), F.col("b_heavy"), _span_squared(lows("a_"), highs("a_"), lows("b_"), highs("b_")))
+        # a node with two centres has one that isn't the seeker itself
+        far = F.when(F.col("b_n") > 1, far).otherwise(F.lit(float("inf")))
+        of_seeker = Window.partitionBy("a_level", "a_box", "a_part")
+        met = met.withColumn("limit", F.least("limit", F.min(far).over(of_seeker)))
+        met = stage(met.where(near <= F.col("limit") * (1 + SLACK)), "met")
+        ended = met.where("leaf").drop("leaf")
+        found = ended if found is None else found.unionByName(ended)
+        pairs = met.where("NOT leaf").select(*seekers.columns, "b_box")
+    return found
+
+
+def _merge_across(left: DataFrame, grid: _Grid, xs: list[str], limit: int) -> tuple[DataFrame, DataFrame]:
+    """Merge all reciprocal nearest centres, wherever they lie: the merges and the centres then left."""
+    boxes = _candidate_boxes(left, grid, xs)
+    key, names = ["level", "box", "part"], [f"p_{x}" for x in xs]
+    point = left.where(~F.col("certain")).select(*[F.col(c).alias(f"a_{c}") for c in key], F.col("id").alias("p"),
+                                                 F.col("w").alias("p_w"), F.col("cost").alias("p_cost"),
+                                                 *[F.col(x).alias(n) for x, n in zip(xs, names)])
+    asked = point.join(boxes.drop("a_light", "a_heavy"), [f"a_{c}" for c in key])
+    gap = _gap_squared(names, names, [f"b_lo_{x}" for x in xs], [f"b_hi_{x}" for x in xs])
+    near = ward_cost(F.col("p_w"), F.col("b_light"), gap)
+    asked = asked.where(near <= F.least("p_cost", "limit") * (1 + SLACK))
+    b_key = [F.col(f"b_{c}").alias(c) for c in key]
+    asked = stage(asked.select(*b_key, "p", "p_w", *names), "asked")
+    # many questions to one box are answered by several tasks, each with a copy of the box
+    shares = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(4 * limit)).cast("int").alias("shares"))
+    asked = asked.join(shares, key).withColumn("share", F.pmod(F.xxhash64("p"), F.col("shares")).cast("int")).drop("shares")
+    held = left.select(*key, "id", "w", *xs).join(shares, key).withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+    def answer(group, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("id", ignore_index=True)
+        x, w, ids = b[xs].to_numpy(), b["w"].to_numpy(), b["id"].to_numpy()
+        best, cost = np.zeros(len(a), np.int64), np.full(len(a), np.inf)
+        for at in range(0, len(a), ROWS_AT_ONCE):
+            some = a.iloc[at:at + ROWS_AT_ONCE]
+            square = 0.0
+            for axis, name in enumerate(names):
+                step = some[name].to_numpy()[:, None] - x[None, :, axis]
+                square = square + step * step
+            price = ward_cost(some["p_w"].to_numpy()[:, None], w[None, :], square)
+            price[some["p"].to_numpy()[:, None] == ids[None, :]] = np.inf
+            best[at:at + len(some)] = price.argmin(axis=1)
+            cost[at:at + len(some)] = price.min(axis=1)
+        return pd.DataFrame({"id": a["p"].to_numpy(), "near": ids[best], "cost": cost})
+
+    by = [*key, "share"]
+    answers = asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(answer, "id long, near long, cost double")
+    best = F.min(F.struct("cost", F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"))).alias("best")
+    known = left.select("id", "near", "cost").unionByName(answers).where(F.col("cost") < float("inf"))
+    best = stage(known.groupBy("id").agg(best), "nearest")
+    low, high = best.where("id = best.low"), best.where("id = best.high")
+    pairs = stage(low.join(high.select("best"), "best").select(F.col("best.low").alias("keep"), F.col("best.high").alias("gone"), "best.cost"),
+                  "pairs")
+    of = pairs.select(F.col("keep").alias("id"), "keep", "cost").unionByName(pairs.select(F.col("gone").alias("id"), "keep", "cost"))
+    rows = left.select("id", "w", "height", *xs).join(of, "id", "left").withColumn("keep", F.coalesce("keep", "id"))
+    one = F.count(F.lit(1)) == 1
+    centres = stage(rows.groupBy("keep").agg(
+        F.sum("w").alias("w"), F.greatest(F.max("height"), F.max("cost")).alias("height"),
+        *[F.when(one, F.min(x)).otherwise(F.sum(F.col("w") * F.col(x)) / F.sum("w")).alias(x) for x in xs]), "centres")
+    merges = pairs.join(centres.select("keep", "height"), "keep").select(
+        F.col("gone").alias("id"), F.col("keep").alias("into"), "height")
+    return merges, centres.withColumnRenamed("keep", "id")
+
+
+# --- the tree ------------------------------------------------------------------------------------------
+
+def ward_merges(centres: DataFrame, xs: list[str], limit: int = BOX_CENTRES) -> DataFrame:
+    """``id, into, height, round, step``: all merges of the tree over ``centres(id, w, xs…)``; the smaller id stays.
+
+    Heights never fall towards the root; equal ones are in the order of ``round, step``.
+    """
+    active, merges, turn = centres.withColumn("height", F.lit(0.0)), None, 0
+
+    def add(more: DataFrame, of: int) -> None:
+        nonlocal merges
+        more = more.select("id", "into", "height", F.lit(of).alias("round"), "step")
+        merges = more if merges is None else merges.unionByName(more)
+
+    while True:
+        row = active.agg(F.count(F.lit(1)).alias("n"), F.min("w").alias("least"), *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
+                         *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)]).first()
+        n = row["n"]
+        if n < 2 and merges is not None:
+            return merges
+        grid = _Grid([row[f"lo{i}"] or 0.0 for i in range(len(xs))], [row[f"hi{i}"] or 0.0 for i in range(len(xs))], turn)
+        boxed = _boxed(active, n, grid, xs, limit)
+        rows, remain = stage_counting(_merge_boxes(boxed, grid, row["least"] or 1.0, xs), F.col("into").isNull(), "merged")
+        add(rows.where("into IS NOT NULL"), 2 * turn)
+        left = rows.where("into IS NULL")
+        if remain < 2:
+            return merges
+        if remain > (1 - LEAST_PROGRESS) * n:
+            across, active = _merge_across(left, grid, xs, limit)
+            add(across.withColumn("step", F.lit(0)), 2 * turn + 1)
+        else:
+            active = left.select("id", "w", "height", *xs)
+        turn += 1
+
+
+def _heads(parents: DataFrame) -> DataFrame:
+    """``id, into`` with ``into`` followed to the last; every round doubles the steps taken."""
+    heads, moved = stage(parents, "heads"), 1
+    while moved:
+        further = heads.select(F.col("id").alias("into"), F.col("into").alias("next"))
+        heads, moved = stage_counting(attach(heads, further, ["into"], "left"), F.col("next").isNotNull(), "heads")
+        heads = heads.select("id", F.coalesce("next", "into").alias("into"))
+    return heads
+
+
+def hierarchical_cluster(df: DataFrame, cols: list[str], k: int = 7, max_centres: int = BOX_CENTRES) -> DataFrame:
+    """Rows without null features, with their ``cluster``; clusters are numbered by their least feature row.
+
+    Equal rows merge first at no cost, so the tree is built on the distinct feature rows with their counts; the ``k - 1``
+    highest merges are left out. ``max_centres`` is the number of centres a task holds, which doesn't change the tree.
+    Where different pairs cost exactly the same, one of the possible trees is taken, the same for the same rows. Fewer than ``k``
+    distinct rows are a cluster each; an empty table gives an empty result.
     """
-    spark = df.sparkSession
+    xs = [f"x{i}" for i in range(len(cols))]
     rows = df.na.drop(subset=cols)
-    points = weighted_points(df, cols)
-    if fits_broadcast(points, max_centres):
-        centres = points.select(*cols, "n").orderBy(*cols).toPandas()
-        labels = ward_labels(centres[cols].to_numpy(), centres["n"].to_numpy(), k)
-        names = [f"_f{i}" for i in range(len(cols))]
-        table = spark.createDataFrame(
-            [(*map(float, x), int(c)) for x, c in zip(centres[cols].to_numpy(), labels)],
-            ", ".join(f"{n} double" for n in names) + ", cluster int")
-        keyed = rows.withColumns({n: F.col(c).cast("double") for n, c in zip(names, cols)})
-        return attach(keyed, table, names, broadcast_rows=max_centres).drop(*names)
-    features = assemble_features(points, cols).cache()
-    model = KMeans(k=max_centres, seed=seed, featuresCol="features", predictionCol="_micro", weightCol="n").fit(features)
-    sizes = model.transform(features).groupBy("_micro").agg(F.sum("n").alias("n")).toPandas().sort_values("_micro")
-    features.unpersist()
-    found = sizes["_micro"].to_numpy()
-    centres = np.array(model.clusterCenters())[found]
-    order = np.lexsort(centres.T[::-1])
-    labels = ward_labels(centres[order], sizes["n"].to_numpy()[order], k)
-    table = spark.createDataFrame([(int(found[o]), int(c)) for o, c in zip(order, labels)], "_micro int, cluster int")
-    placed = model.transform(assemble_features(rows, cols)).drop("features")
-    return attach(placed, table, ["_micro"], broadcast_rows=max_centres).drop("_micro")
+    points = weighted_points(df, cols).select(*[F.col(f"`{c}`").alias(x) for c, x in zip(cols, xs)], F.col("n").alias("w"))
+    if len(cols) > len(set(cols)):
+        raise ValueError("features are listed twice")
+    # many features are not combined before; equal rows have to be one centre here
+    points = points.groupBy(*xs).agg(F.sum("w").alias("w"))
+    points = stage(rank_within(points, [], xs, "id"), "centres")
+    merges = stage(ward_merges(points, xs, max(2, max_centres)), "merges")
+    cut = merges.orderBy(F.desc("height"), F.desc("round"), F.desc("step"), "id").limit(k - 1).select("id")
+    heads = _heads(merges.join(cut, "id", "left_anti").select("id", "into"))
+    placed = points.join(heads, "id", "left").withColumn("into", F.coalesce("into", "id"))
+    numbers = placed.select("into").distinct().withColumn(
+        "cluster", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("into")) - 1).cast("int"))  # at most k rows
+    names = [f"_f{i}" for i in range(len(cols))]
+    table = attach(placed, numbers, ["into"]).select(*[F.col(x).alias(n) for x, n in zip(xs, names)], "cluster")
+    keyed = rows.withColumns({n: F.col(f"`{c}`").cast("double") for n, c in zip(names, cols)})
+    return attach(keyed, table, names).drop(*names)

@@ -7,6 +7,7 @@ import csv
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pelagia.runtime import stage
+from pelagia.sources.quoted import read_quoted
 
 # Texts that mean "missing" to the usual data-frame readers.
 MISSING_TOKENS = [
@@ -79,15 +80,18 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t", infer: bool
                    multi_line: bool = False) -> DataFrame:
     """Table with a header line.
 
-    ``multi_line`` reads line breaks inside quotes; a file is then read by one task, so leave it off for large files
-    that have none.
+    ``multi_line`` reads line breaks inside quotes, by many tasks as well; it takes two passes over the text, so leave it off for
+    files that have none.
 
     All columns are text unless ``schema`` (preferred: no extra pass) or ``infer`` says otherwise.
     ``sep="auto"`` looks at the header line. ``null_tokens`` turns missing-value texts into null first.
     """
     if sep == "auto":
         sep = sniff_delimiter(spark, path)
-    text = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line).csv(path)
+    if multi_line:
+        text = read_quoted(spark, path, sep)
+    else:
+        text = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
     if null_tokens is not None:
         text = normalize_nulls(text, null_tokens)
     if schema is not None:

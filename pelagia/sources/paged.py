@@ -1,21 +1,23 @@
 """Paged feeds as a Spark data source.
 
 ``fetch(offset, limit)`` is supplied by the caller and returns one page as a list of records; it runs inside
-tasks. One task reads the feed in order by default; with ``partitions`` > 1 the pages are divided among tasks
-and whatever lies behind the end of the feed is discarded, so the result is the same.
+tasks. The length of a feed isn't known before it is read. So its end is found first, by asking for single records at
+doubling distances and halving the last step, and the pages up to there are divided among tasks. With ``partitions=1``
+one task reads the feed in order instead; whatever lies behind the first end of the feed is discarded, so the result is the same.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from pelagia.runtime import scratch_path, stage
+from pelagia.runtime import stage
 
 Fetch = Callable[[int, int], list[dict]]
 
@@ -39,14 +41,34 @@ class PageRange(InputPartition):
     pages: int | None
 
 
+def _last_page(fetch: Fetch, page_size: int, pages: int, on_error: str) -> int:
+    """Number of pages up to one that begins with no record, at most ``pages``; log2(pages) requests of one record."""
+    def begins(page: int) -> bool:
+        try:
+            return len(fetch(page * page_size, 1)) > 0
+        except Exception:
+            if on_error == "raise":
+                raise
+            return False
+
+    low, high = -1, 0  # a page that is known to have records, and the one to ask for
+    while high < pages and begins(high):
+        low, high = high, max(1, 2 * high)
+    high = min(high, pages)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if begins(middle) else (low, middle)
+    return high
+
+
 def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitions: int, on_error: str):
     class PageReader(DataSourceReader):
         def partitions(self):
             if partitions == 1:
                 return [PageRange(0, None)]
-            pages = math.ceil(target / page_size)
-            step = math.ceil(pages / partitions)
-            return [PageRange(at, min(step, pages - at)) for at in range(0, pages, step)]
+            pages = _last_page(fetch, page_size, math.ceil(target / page_size), on_error)
+            step = max(1, math.ceil(pages / partitions))
+            return [PageRange(at, min(step, pages - at)) for at in range(0, pages, step)] or [PageRange(0, 1)]
 
         def read(self, partition: PageRange):
             page, got = partition.first, 0
@@ -65,10 +87,12 @@ def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitio
                         raise
                     records = []
                 if not records:
-                    yield (page, -1, 0, None)
+                    yield (page, -1, 0, None, None)
                     return
+                # rows before the page: those received, or divided those of full pages
+                before = got if partition.pages is None else page * page_size
                 for position, record in enumerate(records):
-                    yield (page, position, len(records), json.dumps(record, default=str))
+                    yield (page, position, len(records), before, json.dumps(record, default=str))
                 if stop == "short" and len(records) < page_size:
                     return
                 page, got = page + 1, got + len(records)
@@ -81,7 +105,7 @@ def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitio
             return "paged_feed"
 
         def schema(self):
-            return "page bigint, position bigint, page_rows bigint, record string"
+            return "page bigint, position bigint, page_rows bigint, before bigint, record string"
 
         def reader(self, schema):
             return PageReader()
@@ -90,17 +114,17 @@ def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitio
 
 
 def read_paged(spark: SparkSession, fetch: Fetch, page_size: int = 1000, target: int = 50_000,
-               stop: str = "empty", cap: bool = False, partitions: int = 1, on_error: str = "raise") -> DataFrame:
-    """``(page, position, record)`` with one JSON text per record, fetched exactly once.
+               stop: str = "empty", cap: bool = False, partitions: int | None = None, on_error: str = "raise") -> DataFrame:
+    """``(page, position, record)`` with one JSON text per record; every page is fetched once.
 
     ``stop="empty"`` ends at the first empty page, ``"short"`` also at a page shorter than ``page_size``;
     fetching ends once ``target`` rows are there, and ``cap`` cuts the result to exactly ``target`` rows.
-    A failing fetch is an error unless ``on_error="stop"``, which treats it as an empty page.
+    A failing fetch is an error unless ``on_error="stop"``, which treats it as an empty page. ``partitions`` is the number of
+    tasks that share the pages, the session's parallelism unless given; 1 reads the feed in order, without asking for its end.
     """
     if stop not in ("empty", "short"):
         raise ValueError(f"unknown stop rule {stop!r}")
-    if partitions > 1 and stop == "empty" and cap:
-        raise ValueError("a capped feed read by several tasks needs stop='short'")
+    partitions = partitions or spark.sparkContext.defaultParallelism
     spark.dataSource.register(_paged_source(fetch, page_size, target, stop, partitions, on_error))
     pages = stage(spark.read.format("paged_feed").load(), "pages")
     rows = pages.where(F.col("position") >= 0)
@@ -110,34 +134,29 @@ def read_paged(spark: SparkSession, fetch: Fetch, page_size: int = 1000, target:
         if end is not None:
             rows = rows.where(F.col("page") <= end)
     if cap:
-        # pages before the last are full when the feed stops at a short page; otherwise count them
-        if stop == "short":
-            before = F.col("page") * page_size
-        else:
-            before = F.col("page") * 0
-            sizes = pages.where(F.col("position") >= 0).select("page", "page_rows").distinct().collect()
-            done, starts = 0, []
-            for page, n in sorted(tuple(r) for r in sizes):
-                starts += [F.lit(page), F.lit(done)]
-                done += n
-            if starts:
-                before = F.create_map(*starts)[F.col("page")]
-        rows = rows.where(before + F.col("position") < target)
+        rows = rows.where(F.col("before") + F.col("position") < target)
     return rows.select("page", "position", "record")
 
 
+def _columns_of(shape: str | None) -> str:
+    """The schema for reading records of a merged variant shape: numbers with a point are doubles, what differs is text."""
+    if shape is None or not shape.startswith("OBJECT<"):
+        return ""
+    shape = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", shape)
+    shape = re.sub(r"(?<![\w`])(VARIANT|VOID|FLOAT)(?![\w`])", lambda m: "DOUBLE" if m[1] == "FLOAT" else "STRING", shape)
+    return re.sub(r"(?<![\w`])OBJECT<", "STRUCT<", shape)
+
+
 def records_to_table(records: DataFrame, schema: str | None = None) -> DataFrame:
     """JSON records to columns, with ``page`` and ``position`` kept.
 
-    Without a ``schema`` the columns are the union of the keys of all records, in alphabetical order;
-    a key missing from a record is null.
+    Without a ``schema`` the columns are the union of the keys of all records, in alphabetical order, found by one aggregate that
+    merges the shapes of all records; a key missing from a record is null, and one whose values have several types is text.
     """
-    if schema is not None:
-        parsed = records.withColumn("_r", F.from_json("record", schema))
-        return parsed.select("page", "position", "_r.*")
-    spark = records.sparkSession
-    line = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"position":'),
-                    F.col("position").cast("string"), F.lit(',"record":'), F.col("record"), F.lit("}"))
-    path = scratch_path(spark, "records")
-    records.select(line.alias("value")).write.text(path)
-    return spark.read.json(path).select("page", "position", "record.*")
+    if schema is None:
+        shape = records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("shape")).first()["shape"]
+        schema = _columns_of(shape)
+        if not schema:
+            return records.select("page", "position")
+    parsed = records.withColumn("_r", F.from_json("record", schema))
+    return parsed.select("page", "position", "_r.*")

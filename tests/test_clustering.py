@@ -215,3 +215,92 @@ def test_ordinal_encode(spark, monkeypatch, small):
     code = {None: None, "B": 0, "a": 1, "b": 2, "é": 3}
     num = {None: None, 9: 0, 10: 1, 100: 2}
     assert rows(got) == sorted([(a, n, code[a], num[n]) for a, n in [tuple(r) for r in df.collect()]], key=repr)
+
+
+def ward_by_chain(x, w, k):
+    """Nearest-neighbour chains over a plain list of centres."""
+    n = len(x)
+    c, w, alive = x.astype(float).copy(), w.astype(float).copy(), np.ones(n, bool)
+    merges, chain = [], []
+    while len(merges) < n - 1:
+        if not chain:
+            chain = [int(np.flatnonzero(alive)[0])]
+        while True:
+            a = chain[-1]
+            cost = w * w[a] / (w + w[a]) * ((c - c[a]) ** 2).sum(1)
+            cost[~alive] = cost[a] = np.inf
+            b = int(cost.argmin())
+            if len(chain) > 1 and cost[chain[-2]] <= cost[b]:
+                b = chain[-2]
+                break
+            chain.append(b)
+        del chain[-2:]
+        keep, gone = min(a, b), max(a, b)
+        merges.append((cost[b], len(merges), keep, gone))
+        c[keep], w[keep] = (c[a] * w[a] + c[b] * w[b]) / (w[a] + w[b]), w[a] + w[b]
+        alive[gone] = False
+    head = np.arange(n)
+    for _, _, keep, gone in sorted(merges)[:n - k]:
+        a, b = head[keep], head[gone]
+        head[head == max(a, b)] = min(a, b)
+    return {frozenset(np.flatnonzero(head == h)) for h in set(head)}
+
+
+@pytest.mark.parametrize("n,d,limit", [(3000, 2, 4096), (400, 2, 150), (90, 4, 40)])
+def test_ward_on_the_cluster_equals_brute_force(spark, n, d, limit):
+    rng = np.random.default_rng(n + d)
+    x = np.concatenate([rng.normal(size=(n // 2, d)), 4 + rng.normal(size=(n - n // 2, d)) * rng.uniform(0.1, 3, (n - n // 2, 1))])
+    w = rng.integers(1, 4, n)
+    names = [f"f{i}" for i in range(d)]
+    data = [tuple(map(float, p)) for p, m in zip(x, w) for _ in range(m)]
+    df = spark.createDataFrame(data + [(None,) * d], ", ".join(f"{c} double" for c in names))
+    place = {tuple(map(float, p)): i for i, p in enumerate(x)}
+    got = {}
+    for r in hierarchy.hierarchical_cluster(df, names, 7, max_centres=limit).collect():
+        got.setdefault(r["cluster"], set()).add(place[tuple(r)[:d]])
+    assert {frozenset(g) for g in got.values()} == ward_by_chain(x, w, 7)
+
+
+def test_ward_edges(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (None, 1.0), (5.0, 2.0)], "a double, b double")
+    assert rows(hierarchy.hierarchical_cluster(df, ["a", "b"], 7)) == [(1.0, 2.0, 0), (1.0, 2.0, 0), (5.0, 2.0, 1)]
+    assert rows(hierarchy.hierarchical_cluster(df.limit(1), ["a", "b"], 7)) == [(1.0, 2.0, 0)]
+    assert hierarchy.hierarchical_cluster(df.where("a > 9"), ["a", "b"]).count() == 0
+    # all distances equal: some tree, the same one each time, in several boxes
+    grid = spark.createDataFrame([(float(i), float(j)) for i in range(5) for j in range(5)], "a double, b double")
+    first = rows(hierarchy.hierarchical_cluster(grid, ["a", "b"], 4, max_centres=15))
+    assert first == rows(hierarchy.hierarchical_cluster(grid.repartition(7), ["a", "b"], 4, max_centres=15))
+    assert len({r[2] for r in first}) == 4 and len(first) == 25
+
+
+@pytest.mark.parametrize("d", [1, 2, 3])
+def test_silhouette_of_large_clusters_sums_far_boxes(spark, monkeypatch, d):
+    monkeypatch.setattr(silhouette, "LEAF_POINTS", 8)
+    rng = np.random.default_rng(d)
+    x = np.concatenate([rng.normal(size=(700, d)) * 0.7, rng.normal(size=(500, d)) + 3, rng.uniform(-40, 40, (30, d)), np.zeros((20, d))])
+    labels = np.repeat(["a", "b", "c", "d"], [700, 500, 30, 20])
+    df, names = points_frame(spark, x)
+    table = spark.createDataFrame([(i, str(v)) for i, v in enumerate(labels)], "rid long, label string")
+    got = silhouette.silhouette_euclidean(df.join(table, "rid"), names, "label", tile_points=64).first()
+    assert got["silhouette"] == pytest.approx(brute_silhouette(x, np.unique(labels, return_inverse=True)[1]), abs=1e-9)
+    assert (got["clusters"], got["points"]) == (4, 1250)
+
+
+def test_boxes_per_block_do_not_grow_with_the_cluster(spark):
+    rng = np.random.default_rng(1)
+    per_block = []
+    for n in (800, 6_400):
+        points = spark.createDataFrame(map(tuple, rng.uniform(size=(n, 2)).tolist()), "x0 double, x1 double").withColumns(
+            {"run": F.lit(0), "label": F.lit("a"), "w": F.lit(1.0)})
+        xs = ["x0", "x1"]
+        clusters = silhouette._clusters(points, xs).cache()
+        placed = silhouette._placed(points, clusters, xs, 64, 16).cache()
+        targets = placed.groupBy("cid", "t_level", "t_box", "t_part").agg(
+            *[f(x).alias(f"t_{n}_{x}") for x in xs for n, f in (("lo", F.min), ("hi", F.max))]).withColumn("tid", F.monotonically_increasing_id()).cache()
+        leaves = silhouette._leaves(placed, xs).cache()
+        light = ["cid", "level", "box", "part", "up", "half", "centre", "leaf"]
+        inner = silhouette._inner_boxes(leaves, 2).withColumns({"part": F.lit(0), "leaf": F.lit(False)})
+        nodes = leaves.withColumn("leaf", F.lit(True)).select(*light).unionByName(inner.select(*light)).cache()
+        sources = silhouette._sources(targets, targets.select("tid", F.col("cid").alias("source")), nodes, 2, xs)
+        per_block.append(sources.count() / targets.count())
+    assert per_block[1] < 3 * per_block[0]  # 8 times the points
