@@ -38,12 +38,17 @@ def document_terms(column: pa.Array, known: np.ndarray | None = None) -> tuple[n
 
 
 class FactorizationMachine:
-    """Weights and factors of terms 0..n-1; features are present or absent."""
+    """Weights and factors of terms 0..n-1; features are present or absent.
 
-    def __init__(self, n: int, factors: int = FACTORS, seed: int = 1):
+    Factors begin near zero, where they are easily pulled to zero; those of the terms in ``paired`` begin large enough to stay.
+    """
+
+    def __init__(self, n: int, factors: int = FACTORS, seed: int = 1, paired: np.ndarray | None = None):
         self.bias = 0.0
         self.weights = np.zeros(n)
         self.factors = np.random.default_rng(seed).normal(0, 0.02, (n, factors))
+        if paired is not None:
+            self.factors[paired] *= 15
 
     def parts(self, term: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
         """Raw score of each row, and the sums of its terms' factors."""
@@ -101,7 +106,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
 
     The sample is the labelled ids with the least hashes, the same at every run; of rows with one id one is used, an id
     with several labels counts as 1 if any is. Terms in fewer than ``least_documents`` sampled documents are left out.
-    Null ids and labels are ignored. Without any labelled row the model is the constant 1/2.
+    Null ids and labels are ignored. Without any labelled row the model is the constant 1/2. A term enters the machine if it says
+    something by itself (:func:`informative`) or beside another one (:func:`in_pairs`); all others would fit noise.
     """
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id")
               .agg(F.max(F.col(label).cast("double")).alias("_label"))
@@ -126,13 +132,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     if not len(table):
         return weights, factors, 0.0
     lists = [np.frombuffer(t, np.int32) for t in table.terms]
-    kept = np.flatnonzero(informative(lists, table["_label"].to_numpy(float), least_documents))
+    label_of = table["_label"].to_numpy(float)
+    paired = in_pairs(lists, label_of, least_documents)
+    kept = np.flatnonzero(informative(lists, label_of, least_documents) | paired)
     number = np.full(1 << TERM_BITS, -1)
     number[kept] = np.arange(len(kept))
     lists = [n[n >= 0] for n in (number[t] for t in lists)]
-    machine = FactorizationMachine(len(kept))
+    machine = FactorizationMachine(len(kept), paired=paired[kept])
     machine.fit(np.concatenate(lists), np.concatenate([[0], np.cumsum([len(t) for t in lists])]),
-                table["_label"].to_numpy(float))
+                label_of)
     weights[kept], factors[kept] = machine.weights, machine.factors
     return weights, factors, machine.bias
 
@@ -151,6 +159,54 @@ def informative(lists: list[np.ndarray], label: np.ndarray, least_documents: int
     return (documents >= least_documents) & (np.abs(positive - p * documents) / n > 0.6 * chance)
 
 
+def in_pairs(lists: list[np.ndarray], label: np.ndarray, least_documents: int) -> np.ndarray:
+    """Terms of a pair whose share of label 1 is above the average and above that of either term, beyond chance among all pairs.
+
+    So a term counts that says nothing by itself, but something beside another one. The bound is Bernstein's for the largest
+    deviation over all pairs. Documents are bits of a term: those with label 1 rule out most pairs, the others are counted for the rest.
+    """
+    n, p = len(label), label.mean()
+    term, row = np.concatenate(lists), np.repeat(np.arange(n), [len(t) for t in lists])
+    documents = np.bincount(term, minlength=1 << TERM_BITS)
+    positive = np.bincount(term, label[row], 1 << TERM_BITS).astype(np.int64)
+    out = np.zeros(1 << TERM_BITS, bool)
+
+    def beyond(k, count, share, chances):
+        return k - share * count > np.sqrt(2 * chances * count * share * (1 - share)) + chances / 3
+
+    # a pair has no more documents with label 1 than either term, and at least as many documents
+    usable = np.flatnonzero(documents >= least_documents)
+    chances = np.log(max(len(usable) * (len(usable) - 1) / 2, 2))
+    usable = usable[beyond(positive[usable], positive[usable], np.maximum(p, positive[usable] / documents[usable]), chances)]
+    if len(usable) < 2:
+        return out
+    share = np.maximum(p, positive[usable] / documents[usable])
+    order = np.argsort(-label, kind="stable")  # documents with label 1 first
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    number = np.full(1 << TERM_BITS, -1)
+    number[usable] = np.arange(len(usable))
+    mine = number[term] >= 0
+    t, at = number[term[mine]], place[row[mine]]
+    ones = int(label.sum())
+    split = -(-ones // 64)  # documents with label 0 begin in a word of their own
+    at = np.where(at < ones, at, at - ones + split * 64)
+    bits = np.zeros((len(usable), split + -(-(n - ones) // 64)), np.uint64)
+    np.bitwise_or.at(bits, (t, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    found = np.zeros(len(usable), bool)
+    for i in range(len(usable) - 1):
+        k = np.bitwise_count(bits[i, :split] & bits[i + 1:, :split]).sum(axis=1, dtype=np.int64)
+        q = np.maximum(share[i], share[i + 1:])
+        others = np.flatnonzero(beyond(k, k, q, chances))
+        if len(others):
+            rest = np.bitwise_count(bits[i, split:] & bits[i + 1 + others, split:]).sum(axis=1, dtype=np.int64)
+            good = others[beyond(k[others], k[others] + rest, q[others], chances)]
+            found[i] |= len(good) > 0
+            found[i + 1 + good] = True
+    out[usable[found]] = True
+    return out
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD,
           carry: dict[str, Column] | None = None) -> DataFrame:
     """``doc_id, carried columns, score, predicted`` for every row of ``docs(doc_id, text)``.
@@ -159,17 +215,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshol
     gives an empty result. The broadcast model has a fixed size.
     """
     carry = {"doc_id": F.col("doc_id"), **(carry or {})}
-    docs = docs.select(*[c.alias(n) for n, c in carry.items()], F.col("text").alias("_text"))
     names = list(carry)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    docs = docs.select(F.struct(*[c.alias(n) for n, c in carry.items()]).alias("carried"), "text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema["carried"].dataType)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def apply(batches):
         machine, known = _machine(shared.value)
-        for batch in chunks(batches, "_text"):
-            p = _probability(machine, known, batch.column("_text"))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(p),
-                                              pa.array((p >= threshold).astype(np.int32))], [*names, "score", "predicted"])
+        for batch in chunks(batches):
+            p = _probability(machine, known, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([*batch.column("carried").flatten(), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
+                                             [*names, "score", "predicted"])
 
     return docs.mapInArrow(apply, f"{fields}, score double, predicted int")
 
