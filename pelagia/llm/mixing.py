@@ -1,8 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-sized blocks.
 
-Documents of a source are laid out in a seeded order inside shards and cut into blocks of equal word counts.
+Documents of a source are laid out in a seeded order inside shards and cut into blocks of equal word counts. A source has shards
+by its own size, so a small one is in a single shard and rounded once, however large the others are.
 Inside each shard the blocks to take are given to the sources one by one, always to the highest quotient
-``target / (2 * taken + 1)``; that yields whole quotas. Which blocks of a source are taken is then a seeded choice.
+``target / (2 * taken + 1)``; that yields whole quotas. Which blocks of a source are taken is then a seeded choice, where the last
+block of a source counts by the words it has.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pelagia.llm.common import chunks, ranges, read, spaced_words, text_bytes, word_spans
 from pelagia.llm.registry import query
@@ -21,20 +23,29 @@ SHARD_WORDS = 1 << 20
 MAX_REPEATS = 3
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, text_hash, size``: words of each text, 0 for null."""
-    docs = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), "text")
-    kind = docs.drop("text").schema
-    names = kind.names[:]
+def sizes(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """``doc_id, source, text_hash, size``: words of each text, 0 for null; with ``whole_rows`` also each row as ``row``."""
+    names = ["doc_id", "source", "text_hash"]
+    columns = ["doc_id", "source", F.xxhash64("text").alias("text_hash")]
+    if whole_rows:
+        # the text is handed over once, inside the row
+        docs, text = docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "row"
+        kind, at = docs.schema, docs.schema["row"].dataType.names.index("text")
+        names = [*names, "row"]
+    else:
+        docs, text, at = docs.select(*columns, "text"), "text", None
+        kind = docs.drop("text").schema
 
     def count(batches):
         inside = spaced_words()
-        for batch in chunks(batches):
-            _, _, first = word_spans(*text_bytes(batch.column("text")), inside)
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(first))], [*names, "size"])
+        for batch in batches:
+            column = batch.column(text) if at is None else batch.column(text).flatten()[at]
+            batch = batch.append_column("_size_text", column)
+            for part in chunks([batch], "_size_text"):
+                _, _, first = word_spans(*text_bytes(part.column("_size_text")), inside)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(np.diff(first))], [*names, "size"])
 
-    return docs.mapInArrow(count, kind.add("size", "long"))
+    return docs.mapInArrow(count, T.StructType(list(kind.fields)).add("size", "long"))
 
 
 def targets(by_source: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MAX_REPEATS) -> DataFrame:
@@ -89,72 +100,88 @@ def apportion(weights: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
     return given
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MAX_REPEATS,
-        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 0) -> DataFrame:
-    """Spans of words to take: ``doc_id, text_hash, source, size, source_size, target, taken, spans``.
+def _planned(docs: DataFrame, weights: tuple[float, ...], most: int, block_words: int, shard_words: int, seed: int,
+             whole_rows: bool) -> DataFrame:
+    """:func:`mix`, with each row of ``docs`` as ``row`` if asked for."""
+    light = stage(sizes(docs), "sizes")
+    goal = targets(light.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    goal = stage(goal.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")), "targets")
+    of = goal.select(F.col("source").alias("_source"), "shards")
 
-    ``docs(doc_id, text, source)``; other columns are ignored. ``spans`` lists ``first`` word, number of ``words``
-    and ``times`` for every piece taken, ``taken`` is their sum with repeats. Null text has size 0 and takes nothing;
-    null is a source of its own, ordered last; rows with equal doc_id are laid out side by side; an empty table gives
-    an empty result. A source is spread over as many shards as its size asks for, so a hot source is split.
-    """
-    sized = stage(sizes(docs), "sizes")
-    goal = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
-    total = goal.agg(F.sum("source_size")).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-    place = sized.select("*", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).alias("shard"),
-                         F.xxhash64(F.lit(seed + 1), "doc_id").alias("_order"))
-    line = Window.partitionBy("source", "shard").orderBy("_order", "doc_id", "text_hash", "size")
-    place = place.withColumn("_end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = sized.groupBy("source", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).alias("shard")).agg(
-        F.sum("size").alias("part"))
+    def sharded(sized: DataFrame) -> DataFrame:
+        """Every row with its shard; equal ids are kept side by side unless their texts differ."""
+        shard = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.col("shards")).alias("shard")
+        return sized.join(of, sized["source"].eqNullSafe(of["_source"])).select(*sized.columns, shard)
+
+    parts = sharded(light).groupBy("source", "shard").agg(F.sum("size").alias("part"))
     # a source's share of its target follows its share of words in the shard
     parts = parts.join(goal, parts["source"].eqNullSafe(goal["source"])).select(
         parts["source"], "shard", "part", "source_size", "target")
 
     def quotas(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("source", na_position="last", ignore_index=True)
-        share = (frame.target * frame.part / frame.source_size.clip(lower=1)).to_numpy()
-        blocks = -(-frame.part.to_numpy() // block_words)
-        given = apportion(share, round(share.sum() / block_words), most * blocks)
-        return frame[["source", "shard", "part", "source_size", "target"]].assign(blocks=blocks, quota=given)
+        share, part = (frame.target * frame.part / frame.source_size.clip(lower=1)).to_numpy(), frame.part.to_numpy()
+        given = apportion(share, round(share.sum() / block_words), -(-most * part // block_words))
+        return frame[["source", "shard", "part", "source_size", "target"]].assign(quota=np.minimum(given * block_words, most * part))
 
     text = docs.select("source").schema[0].dataType.simpleString()
-    quota = parts.groupBy("shard").applyInPandas(
-        quotas, f"source {text}, shard long, part long, source_size long, target double, blocks long, quota long")
-    quota = quota.withColumnRenamed("source", "_source").withColumnRenamed("shard", "_shard")
+    quota = stage(parts.groupBy("shard").applyInPandas(
+        quotas, f"source {text}, shard long, part long, source_size long, target double, quota long"), "quotas")
+    quota = quota.withColumnsRenamed({"source": "_source", "shard": "_shard"})
+    line = Window.partitionBy("source", "shard").orderBy("_order", "doc_id", "text_hash", "size")
+    place = sharded(sizes(docs, True) if whole_rows else light).withColumn("_order", F.xxhash64(F.lit(seed + 1), "doc_id"))
+    place = place.withColumn("_end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     placed = place.join(quota, place["source"].eqNullSafe(F.col("_source")) & (place["shard"] == F.col("_shard")))
+    carried = ["row"] if whole_rows else []
 
     def spans(batches):
         for batch in batches:
-            get = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in
-                   ("size", "_end", "part", "blocks", "quota", "_salt")}
-            start, end = get["_end"] - get["size"], get["_end"]
+            get = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("size", "_end", "part", "quota", "_salt")}
+            start, end, part = get["_end"] - get["size"], get["_end"], np.maximum(get["part"], 1)
             first = start // block_words
             count = np.where(get["size"] > 0, (end - 1) // block_words - first + 1, 0)
             row = np.repeat(np.arange(len(count)), count)
             block = ranges(first, count)
-            n = np.maximum(get["blocks"][row], 1)
+            blocks = -(-part // block_words)
+            passes, rest = get["quota"] // part, get["quota"] % part
             # blocks in the order of a seeded step through all of them; the first ones get one more
-            step = _coprime(get["_salt"], np.maximum(get["blocks"], 1))[row]
-            turn = (block * step + (get["_salt"][row] & 0xFFFF)) % n
-            times = get["quota"][row] // n + (turn < get["quota"][row] % n)
+            step = _coprime(get["_salt"], blocks)
+            turns = (get["_salt"] & 0xFFFF) % blocks
+            last, short = ((blocks - 1) * step + turns) % blocks, blocks * block_words - part
+            more = (2 * rest + block_words) // (2 * block_words)
+            # the last block has fewer words: with it among the first ones, one block more may come nearer
+            lacking = rest - more * block_words + np.where(last < more, short, 0)
+            more = more + (2 * lacking >= block_words)
+            turn = (block * step[row] + turns[row]) % blocks[row]
+            times = passes[row] + (turn < more[row])
             a, b = np.maximum(block * block_words, start[row]), np.minimum((block + 1) * block_words, end[row])
             use = times > 0
             taken = np.bincount(row, (b - a) * times, len(count)).astype(np.int64)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(row[use], minlength=len(count)))]).astype(np.int32)
             struct = pa.StructArray.from_arrays([pa.array((a - start[row])[use]), pa.array((b - a)[use]),
                                                  pa.array(times[use])], ["first", "words", "times"])
-            names = ["doc_id", "text_hash", "source", "size", "source_size", "target"]
+            names = ["doc_id", "text_hash", "source", "size", "source_size", "target", *carried]
             columns = [*[batch.column(c) for c in names], pa.array(taken), pa.ListArray.from_arrays(pa.array(offsets), struct)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "taken", "spans"])
 
-    id_type = docs.select("doc_id").schema[0].dataType.simpleString()
     salt = F.abs(F.xxhash64(F.lit(seed), place["source"], "shard") % (1 << 30)).alias("_salt")
-    return placed.select("doc_id", "text_hash", place["source"], "size", "_end", "part", "source_size", "target", "blocks", "quota",
-                         salt).mapInArrow(
-        spans, f"doc_id {id_type}, text_hash long, source {text}, size long, source_size long, target double, taken long, "
-               "spans array<struct<first:long,words:long,times:long>>")
+    placed = placed.select("doc_id", "text_hash", place["source"], "size", "source_size", "target", *carried, "_end", "part", "quota", salt)
+    kind = placed.drop("_end", "part", "quota", "_salt").schema
+    piece = T.StructType().add("first", "long").add("words", "long").add("times", "long")
+    return placed.mapInArrow(spans, T.StructType(list(kind.fields)).add("taken", "long").add("spans", T.ArrayType(piece)))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MAX_REPEATS,
+        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 0) -> DataFrame:
+    """Spans of words to take: ``doc_id, text_hash, source, size, source_size, target, taken, spans``.
+
+    ``docs(doc_id, text, source)``; other columns are ignored. ``spans`` lists ``first`` word, number of ``words``
+    and ``times`` for every piece taken, ``taken`` is their sum with repeats. Null text has size 0 and takes nothing;
+    null is a source of its own, ordered last; rows with equal doc_id and text are laid out side by side; an empty table gives
+    an empty result. A source is spread over as many shards as its own size asks for, so a hot source is split; what it takes
+    in a shard is within a block of its share there.
+    """
+    return _planned(docs, weights, most, block_words, shard_words, seed, False)
 
 
 def _coprime(salt: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -169,33 +196,35 @@ def _coprime(salt: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.array(steps, np.int64)[back.reshape(-1)]
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MAX_REPEATS,
+                    block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 0) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: a row for each pass over a document.
 
-    The text of pass *p* is made of the pieces taken at least *p* times, their words joined by one space. Rows with
-    the same doc_id and text share their pieces.
+    The text of pass *p* is made of the pieces taken at least *p* times, their words joined by one space. Every row carries its own
+    pieces, also if its doc_id and text are repeated; see :func:`mix` for nulls and empty tables.
     """
-    plan = mix(docs, **options).where(F.size("spans") > 0).groupBy("doc_id", "text_hash").agg(
-        F.first("spans").alias("_spans")).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_text")
+    plan = _planned(docs, weights, most, block_words, shard_words, seed, True).where(F.size("spans") > 0).select("row", "spans")
     inside, kind = spaced_words(), docs.schema
+    at = kind.names.index("text")
 
     def cut(batches):
-        for batch in chunks(batches):
-            data, bounds = text_bytes(batch.column("text"))
-            starts, ends, first = word_spans(data, bounds, inside)
-            raw, rows, texts = data.tobytes(), [], []
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
-                for p in range(max((s["times"] for s in spans), default=0)):
-                    words = [raw[starts[w]:ends[w]] for s in spans if s["times"] > p
-                             for w in range(first[i] + s["first"], first[i] + s["first"] + s["words"])]
-                    rows.append(i)
-                    texts.append(b" ".join(words).decode())
-            out = batch.select(kind.names).take(pa.array(rows, pa.int64()))
-            columns = [pa.array(texts, f.type) if f.name == "text" else out.column(f.name) for f in out.schema]
-            yield pa.RecordBatch.from_arrays(columns, schema=out.schema)
-
-    same = docs["doc_id"].eqNullSafe(plan["_id"]) & (F.xxhash64(docs["text"]) == plan["_text"])
-    return docs.join(plan, same).select(*[docs[c] for c in docs.columns], "_spans").mapInArrow(cut, kind)
+        for whole in batches:
+            whole = whole.append_column("_size_text", whole.column("row").flatten()[at])
+            for batch in chunks([whole], "_size_text"):
+                data, bounds = text_bytes(batch.column("_size_text"))
+                starts, ends, first = word_spans(data, bounds, inside)
+                raw, rows, texts = data.tobytes(), [], []
+                for i, spans in enumerate(batch.column("spans").to_pylist()):
+                    for p in range(max((s["times"] for s in spans), default=0)):
+                        words = [raw[starts[w]:ends[w]] for s in spans if s["times"] > p
+                                 for w in range(first[i] + s["first"], first[i] + s["first"] + s["words"])]
+                        rows.append(i)
+                        texts.append(b" ".join(words).decode())
+                fields = [f.take(pa.array(rows, pa.int64())) for f in batch.column("row").flatten()]
+                fields[at] = pa.array(texts, fields[at].type)
+                yield pa.RecordBatch.from_arrays(fields, kind.names)
+
+    return plan.mapInArrow(cut, kind)
 
 
 @query()
