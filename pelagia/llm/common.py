@@ -26,6 +26,12 @@ def without_id(name: str = "doc_id") -> Column:
     return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row, doc_key, text_key``: rows whole, whatever their columns are called, and what tells them apart."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), with_id().alias("doc_key"),
+                       F.xxhash64("text").alias("text_key"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

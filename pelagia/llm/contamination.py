@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pelagia.llm.common import chunks, lowered, ranges, read, span_array, text_bytes, with_id, without_id, word_spans
+from pelagia.llm.common import chunks, lowered, packed, ranges, read, span_array, text_bytes, with_id, without_id, word_spans
 from pelagia.llm.registry import query
 from pelagia.runtime import stage
 
@@ -44,7 +44,8 @@ def build_index(docs: DataFrame) -> DataFrame:
     """A row per segment: its ``doc_ids``, text ``hashes``, the word ``bounds`` of its documents, ``terms`` and their ``postings``.
 
     ``docs(doc_id, text)``; other columns are ignored, null text has no words, a null doc_id is kept as the largest
-    number. A segment holds about a megabyte of text or one longer document, so a task holds one segment at a time.
+    number. A segment holds about a megabyte of text or one longer document, so a task holds one segment at a time. The numbers of
+    the segments stay as long as the table is written before it is read.
     """
     def segments(batches):
         for batch in chunks(batches, limit=SEGMENT_BYTES):
@@ -62,7 +63,8 @@ def build_index(docs: DataFrame) -> DataFrame:
                 [one(batch.column("doc_id")), one(batch.column("text_hash")), one(pa.array(bounds.astype(np.int32))), one(coded.dictionary),
                  one(pa.array(first)), one(pa.array(postings))], ["doc_ids", "hashes", "bounds", "terms", "first", "postings"])
 
-    return docs.select(with_id(), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(segments, INDEX)
+    return docs.select(with_id(), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(segments, INDEX).withColumn(
+        "segment", F.monotonically_increasing_id())
 
 
 class Windows:
@@ -81,7 +83,8 @@ class Windows:
         at = start[:, None] + np.arange(size)
         inside = np.arange(size) < self.length[:, None]
         self.terms = np.where(inside, code[np.minimum(at, max(len(code) - 1, 0))] if len(code) else -1, -1)
-        self.item_terms = [np.unique(code[a:b]) for a, b in zip(first[:-1], first[1:])]
+        # in the order of the item, which decides between equally rare terms
+        self.item_terms = [code[a:b][np.sort(np.unique(code[a:b], return_index=True)[1])] for a, b in zip(first[:-1], first[1:])]
 
 
 class Segment:
@@ -185,11 +188,11 @@ def _search_block(index: DataFrame, windows: Windows, near_terms: int, near_word
                     [pa.array(names[spans[1]], pa.string()), pa.array(spans[2], pa.int64()), pa.array(spans[3], pa.int64())],
                     ["item_id", "first", "words"])
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids, cell("hashes"), pa.array(np.diff(bounds)), lists(spans[0], phrase),
-                     lists(near_row[order], pa.array(names[near_item[order]], pa.string()))],
-                    ["doc_id", "text_hash", "n_words", "phrases", "near"])
+                    [pa.array(np.full(rows, batch.column("segment")[at].as_py(), np.int64)), pa.array(np.arange(rows)), doc_ids, cell("hashes"),
+                     pa.array(np.diff(bounds)), lists(spans[0], phrase), lists(near_row[order], pa.array(names[near_item[order]], pa.string()))],
+                    ["segment", "place", "doc_id", "text_hash", "n_words", "phrases", "near"])
 
-    return index.mapInArrow(search, "doc_id long, text_hash long, n_words long, "
+    return index.mapInArrow(search, "segment long, place long, doc_id long, text_hash long, n_words long, "
                                     "phrases array<struct<item_id:string,first:long,words:long>>, near array<string>")
 
 
@@ -211,10 +214,11 @@ def search(index: DataFrame, items: DataFrame, near_terms: int = NEAR_TERMS, nea
         windows = Windows([r.item_id for r in part], [r.text for r in part])
         rows = _search_block(index, windows, near_terms, near_words)
         found = rows if found is None else found.unionByName(rows)
-    if blocks > 1:  # the lists of the blocks belong to the same documents
-        found = found.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("phrases")).alias("phrases"),
-                                                       F.flatten(F.collect_list("near")).alias("near"))
-    return found
+    if blocks > 1:  # the lists of the blocks belong to the same row, which its place in the index tells
+        found = found.groupBy("segment", "place").agg(
+            *[F.first(c).alias(c) for c in ("doc_id", "text_hash", "n_words")],
+            F.flatten(F.collect_list("phrases")).alias("phrases"), F.flatten(F.collect_list("near")).alias("near"))
+    return found.drop("segment", "place")
 
 
 def hit_words(phrases: Column) -> Column:
@@ -240,10 +244,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, told apart by doc_id and text, with all their columns."""
-    keys = ["_doc_id", "_text_hash"]
-    gone = contamination(docs, items).where("contaminated").select(with_id().alias(keys[0]), F.col("text_hash").alias(keys[1]))
-    marked = docs.select("*", with_id().alias(keys[0]), F.xxhash64("text").alias(keys[1]))
-    return marked.join(gone.distinct(), keys, "left_anti").select(docs.columns)
+    gone = contamination(docs, items).where("contaminated").select(with_id().alias("doc_key"), F.col("text_hash").alias("text_key"))
+    return packed(docs).join(gone.distinct(), ["doc_key", "text_key"], "left_anti").select("row.*")
 
 
 @query()

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pelagia.llm.common import (chunks, lowered, mixed, partitions, read, spaced_words, text_bytes, window_sums, with_id,
+from pelagia.llm.common import (chunks, lowered, mixed, packed, partitions, read, spaced_words, text_bytes, window_sums, with_id,
                                 without_id, word_hashes, word_spans)
 from pelagia.llm.registry import query
 from pelagia.operators.components import connected_components
@@ -360,17 +360,14 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int
     """
     found = stage(rows_of_components(docs, percent, words=words), "found")
     row, is_first = ["doc_id", "text_hash"], F.struct("doc_id", "text_hash") == F.col("first")
-    keys = [F.col(c).alias(f"_{c}") for c in row]
-    gone = found.where(~is_first).select(*keys).distinct()
-    twice = found.where(is_first & (F.col("n_shingles") > 0)).groupBy(*row).count().where("count > 1")
-    names, keys_of = docs.columns, [with_id().alias("_doc_id"), F.xxhash64("text").alias("_text_hash")]
-    rest = docs.select("*", *keys_of).join(gone, ["_doc_id", "_text_hash"], "left_anti")
+    keys = ["doc_key", "text_key"]
+    gone = found.where(~is_first).select(*row).distinct().toDF(*keys)
+    twice = found.where(is_first & (F.col("n_shingles") > 0)).groupBy(*row).count().where("count > 1").select(*row).toDF(*keys)
+    rest = packed(docs).join(gone, keys, "left_anti")
     if not twice.isEmpty():
-        twice = twice.select(*keys)
-        same = rest.join(twice, ["_doc_id", "_text_hash"], "left_semi")
-        one = same.groupBy("_doc_id", "_text_hash").agg(F.min(F.struct(*names)).alias("_row")).select("_row.*")
-        rest = rest.join(twice, ["_doc_id", "_text_hash"], "left_anti").select(*names).unionByName(one)
-    return rest.select(*names)
+        one = rest.join(twice, keys, "left_semi").groupBy(*keys).agg(F.min("row").alias("row")).select("row")
+        rest = rest.join(twice, keys, "left_anti").select("row").unionByName(one)
+    return rest.select("row.*")
 
 
 def _components(links: DataFrame) -> DataFrame:
