@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pelagia.functions.expressions import concat_key, group_label
+from pelagia.functions.expressions import cluster_name, concat_key, group_label
 from pelagia.operators import clean, dbscan as density, features, hierarchy, joins, kmeans as km, neighbors
 from pelagia.operators import niche, sampling, silhouette, stats
 from pelagia.plans import clusters as cluster_plans, niche as niche_plan, occurrence, taxon
@@ -557,6 +557,24 @@ def hierarchical_cluster(spark, folder):
         "p_partkey", "cluster")
 
 
+SPREAD_SQL = ("select c_custkey, c_nationkey, c_nationkey * 1000 + (c_custkey % 7) / 7e0 as x, "
+              "(c_nationkey % 5) * 3000 + (c_custkey % 11) / 11e0 as y from {customer}")
+
+
+@query(f"with far as ({SPREAD_SQL.format(customer='customer')}) "
+       "select c_custkey, cast(dense_rank() over (order by c_nationkey) - 1 as int) as cluster from far")
+def hierarchical_groups(spark, folder):
+    """Groups far from each other are the clusters, whatever the order of merges inside them."""
+    points = spark.sql(SPREAD_SQL, customer=read(spark, folder, "customer"))
+    groups = points.select("c_nationkey").distinct().count()
+    return hierarchy.hierarchical_cluster(points, ["x", "y"], groups).select("c_custkey", "cluster")
+
+
+@query("select 1 as k, 1 as clusters, round(count(*) * (var_pop(cast(p_size as double)) + var_pop(p_retailprice)), 2) as cost from part")
+def kmeans_single_cluster_cost(spark, folder):
+    return rounded(km.kmeans_cost_curve(read(spark, folder, "part"), ["p_size", "p_retailprice"], [1]), ["cost"], 2)
+
+
 # --- distances and density clusters ------------------------------------------------------------------
 
 PAIRS_SQL = "pairs as (select a.rid as a, b.rid as b from valid a join valid b on b.lat between a.lat - 1 and a.lat + 1 " \
@@ -763,6 +781,37 @@ def cluster_stats_kmeans(spark, folder):
     return occurrence.cluster_stats_kmeans(table).rows
 
 
+@query(f"""with {VALID_SQL}, k as (select cluster, case when cluster = -1 then 'Noise' else 'Cluster ' || cluster end as cluster_name, count(*) as n
+  from valid group by 1, 2) select cluster_name, n, cluster_name || ' (n=' || n || ')' as label from k""")
+def preview_legend(spark, folder):
+    """Legend of a preview that holds every row."""
+    points = valid_points(spark, folder).withColumn("cluster_name", cluster_name())
+    rows = points.count()
+    return sampling.preview_legend(points, sampling.preview_sample(points, "rid", rows, rows))
+
+
+@query(f"""with {VALID_SQL}, named as (select *, cluster = -1 as is_noise from valid),
+stat as (select cluster, count(*) as points, round(avg(sst), 6) as sst_mean, round(stddev_samp(sst), 6) as sst_std from valid group by cluster)
+select rid, cluster, is_noise, points, sst_mean, sst_std from named join stat using (cluster)""")
+def cluster_outputs(spark, folder):
+    """Rows with labels and statistics per group, written as two tables and joined again."""
+    points = clean.with_noise_flag(valid_points(spark, folder)).select("rid", "cluster", "is_noise", "sst")
+    sizes = stats.cluster_sizes(points).withColumnRenamed("rows", "points")
+    table = joins.attach_group_stats(sizes, stats.environment_stats(points, ["sst"]))
+    path = scratch_path(spark, "outputs")
+    delimited.write_cluster_outputs(points, table.select("cluster", "points", "sst_mean", "sst_std"), path)
+    rows = delimited.read_delimited(spark, f"{path}/clusters", sep=",", schema="rid bigint, cluster int, is_noise boolean")
+    back = delimited.read_delimited(spark, f"{path}/cluster_stats", sep=",", schema="cluster int, points bigint, sst_mean double, sst_std double")
+    return rounded(joins.join_on_key(rows, back, "cluster"), ["sst_mean", "sst_std"])
+
+
+@query(NICHE_SQL + " select * from niche")
+def temperature_niche(spark, folder):
+    """The whole plan: value column by name, all ranks, sorted table."""
+    done = niche_plan.temperature_niche(sales(spark, folder), LEVELS, "rid")
+    return rounded(done.table, NICHE_DOUBLES)
+
+
 # --- files and feeds ---------------------------------------------------------------------------------
 
 @query("select s_suppkey, s_name, s_nationkey, s_acctbal, case when s_suppkey % 9 = 0 then null else 'a, \"b\"' end as note from supplier")
@@ -799,27 +848,52 @@ def roundtrip_json(spark, folder):
                        r(F.aggregate("all_values", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
 
 
-def event_feed(folder: str):
-    """The events table as a feed: one page is the rows of one range of ids."""
-    def fetch(offset: int, limit: int) -> list[dict]:
-        import pyarrow.parquet as pq
+@query("select doc_id, source, length(text) as n_chars, md5(text) as text_md5 from documents")
+def read_line_breaks(spark, folder):
+    """Texts with line breaks and quotes, as quoted fields of one large file and back."""
+    path = scratch_path(spark, "texts")
+    delimited.write_delimited(read(spark, folder, "documents").select("doc_id", "source", "text"), path)
+    back = delimited.read_delimited(spark, path, sep=",", schema="doc_id bigint, source string, text string", multi_line=True)
+    return back.select("doc_id", "source", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
 
-        page = pq.read_table(f"{folder}/events.parquet", columns=["event_id", "user_id", "event_type", "value"],
-                             filters=[("event_id", ">=", offset), ("event_id", "<", offset + limit)])
-        return page.sort_by("event_id").to_pylist()
+
+def event_feed(spark: SparkSession, folder: str, chunk: int = 250):
+    """The events table as a feed: written by Spark in chunks of records; a request reads the chunks it needs."""
+    path = scratch_path(spark, "feed")
+    events = read(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    placed = features.rank_within(events, [], ["event_id"], "place").withColumn("chunk", F.floor(F.col("place") / chunk))
+    placed.repartition("chunk").sortWithinPartitions("chunk", "place").drop("place").write.partitionBy("chunk").json(path)
+
+    def fetch(offset: int, limit: int) -> list[dict]:
+        import json
+
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(path.replace("file:/", "/", 1) if path.startswith("file:/") and path[6] != "/" else path)
+        out = []
+        for i in range(offset // chunk, (offset + limit - 1) // chunk + 1):
+            if system.get_file_info(f"{root}/chunk={i}").type == fs.FileType.NotFound:
+                break
+            rows = []
+            for file in system.get_file_info(fs.FileSelector(f"{root}/chunk={i}")):
+                if file.base_name.startswith("part-"):
+                    with system.open_input_stream(file.path, compression=None) as lines:
+                        rows += [json.loads(line) for line in lines.read().decode().splitlines()]
+            out += rows[max(offset - i * chunk, 0):offset + limit - i * chunk]
+        return out
     return fetch
 
 
 @query("select event_id, user_id, event_type, value from events")
 def read_paged(spark, folder):
     rows = read(spark, folder, "events").count()
-    pages = paged.read_paged(spark, event_feed(folder), page_size=1000, target=rows + 1, stop="empty")
+    pages = paged.read_paged(spark, event_feed(spark, folder), page_size=1000, target=rows + 1, stop="empty")
     return paged.records_to_table(pages).select("event_id", "user_id", "event_type", "value")
 
 
 @query("select event_id, user_id, event_type, value from events")
 def read_paged_parallel(spark, folder):
     rows = read(spark, folder, "events").count()
-    pages = paged.read_paged(spark, event_feed(folder), page_size=700, target=rows, stop="short", cap=True, partitions=8)
+    pages = paged.read_paged(spark, event_feed(spark, folder), page_size=700, target=rows, stop="short", cap=True, partitions=8)
     schema = "event_id bigint, user_id bigint, event_type string, value double"
     return paged.records_to_table(pages, schema).drop("page", "position")

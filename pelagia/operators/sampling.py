@@ -69,7 +69,7 @@ def collect_values(df: DataFrame, keys: list[str], value: str, order_by: str, li
 
     The row number is limited before the arrays are built, first within parts of each group and then over
     the parts. Spark also cuts every (group, part) to ``limit`` rows inside each map task, so a hot group
-    reaches no task whole.
+    reaches no task whole; above the session's bound for that cut the rows are written with the bound raised.
     """
     parts = Window.partitionBy(*keys, "_part").orderBy("_order")
     whole = Window.partitionBy(*keys).orderBy("_order")
@@ -78,6 +78,14 @@ def collect_values(df: DataFrame, keys: list[str], value: str, order_by: str, li
              .withColumn("_part", F.pmod(F.xxhash64("_order"), F.lit(GROUP_PARTS)))
              .withColumn("_position", F.row_number().over(parts)).where(F.col("_position") <= limit)
              .withColumn("_position", F.row_number().over(whole)).where(F.col("_position") <= limit))
+    conf, bound = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    usual = conf.get(bound)
+    if limit > int(usual):
+        conf.set(bound, str(limit))
+        try:
+            first = stage(first, "first_values")
+        finally:
+            conf.set(bound, usual)
     pairs = F.array_sort(F.collect_list(F.struct("_position", "_value")))
     return first.groupBy(*keys).agg(F.transform(pairs, lambda p: p.getField("_value")).alias("all_values"))
 

@@ -1,7 +1,7 @@
 """Paged feeds as a Spark data source.
 
 ``fetch(offset, limit)`` is supplied by the caller and returns one page as a list of records; it runs inside
-tasks. The length of a feed isn't known before it is read. So its end is found first, by asking for single records at
+tasks. The length of a feed isn't known before it is read. So its end is found first, by asking for pages at
 doubling distances and halving the last step, and the pages up to there are divided among tasks. With ``partitions=1``
 one task reads the feed in order instead; whatever lies behind the first end of the feed is discarded, so the result is the same.
 """
@@ -42,10 +42,10 @@ class PageRange(InputPartition):
 
 
 def _last_page(fetch: Fetch, page_size: int, pages: int, on_error: str) -> int:
-    """Number of pages up to one that begins with no record, at most ``pages``; log2(pages) requests of one record."""
+    """Number of pages up to an empty one, at most ``pages``, found with about 2 log2 of that many requests."""
     def begins(page: int) -> bool:
         try:
-            return len(fetch(page * page_size, 1)) > 0
+            return len(fetch(page * page_size, page_size)) > 0
         except Exception:
             if on_error == "raise":
                 raise
@@ -115,7 +115,7 @@ def _paged_source(fetch: Fetch, page_size: int, target: int, stop: str, partitio
 
 def read_paged(spark: SparkSession, fetch: Fetch, page_size: int = 1000, target: int = 50_000,
                stop: str = "empty", cap: bool = False, partitions: int | None = None, on_error: str = "raise") -> DataFrame:
-    """``(page, position, record)`` with one JSON text per record; every page is fetched once.
+    """``(page, position, record)`` with one JSON text per record.
 
     ``stop="empty"`` ends at the first empty page, ``"short"`` also at a page shorter than ``page_size``;
     fetching ends once ``target`` rows are there, and ``cap`` cuts the result to exactly ``target`` rows.
@@ -154,7 +154,9 @@ def records_to_table(records: DataFrame, schema: str | None = None) -> DataFrame
     merges the shapes of all records; a key missing from a record is null, and one whose values have several types is text.
     """
     if schema is None:
-        shape = records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("shape")).first()["shape"]
+        value = F.try_parse_json("record")
+        objects = F.when(F.schema_of_variant(value).startswith("OBJECT<"), value)  # others have no keys
+        shape = records.agg(F.schema_of_variant_agg(objects).alias("shape")).first()["shape"]
         schema = _columns_of(shape)
         if not schema:
             return records.select("page", "position")

@@ -134,3 +134,60 @@ def test_line_breaks_in_quotes(spark, tmp_path):
 def test_short_page_in_the_middle_loses_nothing(spark, partitions):
     feed_ = feed(23, short_at=5)
     assert ids(paged.read_paged(spark, feed_, 5, 100, "empty", partitions=partitions)) == list(range(23))
+
+
+def test_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    import random
+
+    from pelagia.sources import quoted
+    rng = random.Random(3)
+    pieces = ['plain', '"quoted, text"', '"two\nlines"', '"a ""b""\n\n""c"""', 'x"y', '""', '', '"long ' + 'line\n' * 30 + 'end"', "5\"", '" sp "']
+    for k in range(2):
+        body = "".join(f"{i},{rng.choice(pieces)},{rng.choice(pieces)}\n" for i in range(400))
+        (tmp_path / f"f{k}.csv").write_text("id,a,b\n" + body)
+    whole = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+    size, usual = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(size, "701")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = delimited.read_delimited(spark, str(tmp_path), sep=",", multi_line=True)
+        assert quoted._lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+        assert rows(got) == rows(whole) and got.columns == ["id", "a", "b"]
+    finally:
+        spark.conf.set(size, usual)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("line,inside,ends", [
+    ('a,b', False, False), ('a,"b', False, True), ('"a""', False, True), ('"a"""', False, False), ('x"y,z', False, False), ('b",c', True, False),
+    ('no quote', True, True), ('b","c', True, True), ('""', True, True), ('a,""', False, False), ('"a",x"y,"', False, True)])
+def test_state_after_a_line(line, inside, ends):
+    from pelagia.sources import quoted
+    assert quoted.ends_inside(line, inside, ",") is ends
+
+
+def test_feed_of_unknown_length_is_shared_by_tasks(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def fetch(offset, limit):
+        import os
+        import uuid
+        open(f"{seen}/{limit}-{offset}-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return [{"id": i} for i in range(offset, min(offset + limit, 1234))]
+
+    assert sorted(ids(paged.read_paged(spark, fetch, 10, 1_000_000))) == list(range(1234))
+    import os
+    calls = [f.split("-") for f in os.listdir(seen)]
+    pages = [int(c[1]) for c in calls if c[0] == "10" and int(c[1]) < 1234]
+    assert len(set(pages)) == 124 and len(pages) < 124 + 25  # the search for the end
+    assert len({c[2] for c in calls}) > 2
+
+
+def test_records_of_differing_shapes(spark):
+    texts = ['{"id": 1, "x y": 1.5, "m": 1, "n": null}', '{"id": 2.5, "m": "t", "o": {"k": 1}}', '{"z": [1, 2]}', '{}', '[1]', 'broken']
+    records = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "page long, position long, record string")
+    table = paged.records_to_table(records)
+    assert table.dtypes[2:] == [("id", "double"), ("m", "string"), ("n", "string"), ("o", "struct<k:bigint>"), ("x y", "double"), ("z", "array<bigint>")]
+    got = {r["position"]: r for r in table.collect()}
+    assert (got[0]["x y"], got[0]["m"], got[1]["m"], got[1]["id"], got[2]["z"]) == (1.5, "1", "t", 2.5, [1, 2]) and len(got) == 6
+    assert paged.records_to_table(records.limit(0)).columns == ["page", "position"]
