@@ -17,6 +17,8 @@ TERM_BITS = 18
 FACTORS = 8
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
+# Text handled at once inside a task.
+TEXT_BYTES = 1 << 20
 
 
 def _term_bytes() -> np.ndarray:
@@ -114,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
 
     def terms(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             row, term = document_terms(batch.column("text"))
             cuts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32) * 4
             packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [
@@ -166,9 +168,11 @@ def in_pairs(lists: list[np.ndarray], label: np.ndarray, least_documents: int) -
     deviation over all pairs. Documents are bits of a term: those with label 1 rule out most pairs, the others are counted for the rest.
     """
     n, p = len(label), label.mean()
-    term, row = np.concatenate(lists), np.repeat(np.arange(n), [len(t) for t in lists])
+    term = np.concatenate(lists)
     documents = np.bincount(term, minlength=1 << TERM_BITS)
-    positive = np.bincount(term, label[row], 1 << TERM_BITS).astype(np.int64)
+    positive = np.zeros(1 << TERM_BITS, np.int64)
+    for i in np.flatnonzero(label):
+        positive[lists[i]] += 1  # a document has a term once
     out = np.zeros(1 << TERM_BITS, bool)
 
     def beyond(k, count, share, chances):
@@ -182,17 +186,16 @@ def in_pairs(lists: list[np.ndarray], label: np.ndarray, least_documents: int) -
         return out
     share = np.maximum(p, positive[usable] / documents[usable])
     order = np.argsort(-label, kind="stable")  # documents with label 1 first
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    number = np.full(1 << TERM_BITS, -1)
-    number[usable] = np.arange(len(usable))
-    mine = number[term] >= 0
-    t, at = number[term[mine]], place[row[mine]]
-    ones = int(label.sum())
+    place, ones = np.empty(n, np.int32), int(label.sum())
     split = -(-ones // 64)  # documents with label 0 begin in a word of their own
-    at = np.where(at < ones, at, at - ones + split * 64)
+    place[order] = np.where(np.arange(n) < ones, np.arange(n), np.arange(n) - ones + split * 64)
+    number = np.full(1 << TERM_BITS, -1, np.int32)
+    number[usable] = np.arange(len(usable))
+    term = number[term]
+    at = np.repeat(place, [len(t) for t in lists])[term >= 0]
+    term = term[term >= 0]
     bits = np.zeros((len(usable), split + -(-(n - ones) // 64)), np.uint64)
-    np.bitwise_or.at(bits, (t, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    np.bitwise_or.at(bits, (term, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
     found = np.zeros(len(usable), bool)
     for i in range(len(usable) - 1):
         k = np.bitwise_count(bits[i, :split] & bits[i + 1:, :split]).sum(axis=1, dtype=np.int64)
@@ -222,7 +225,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshol
 
     def apply(batches):
         machine, known = _machine(shared.value)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             p = _probability(machine, known, batch.column("text"))
             yield pa.RecordBatch.from_arrays([*batch.column("carried").flatten(), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                                              [*names, "score", "predicted"])
@@ -241,7 +244,7 @@ def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float],
 
     def apply(batches):
         machine, known = _machine(shared.value)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             yield batch.filter(pa.array(_probability(machine, known, batch.column("text")) < threshold))
 
     return docs.mapInArrow(apply, docs.schema)
