@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pelagia.functions.expressions import cluster_name, concat_key, group_label
 from pelagia.operators import clean, dbscan as density, features, hierarchy, joins, kmeans as km, neighbors
-from pelagia.operators import niche, sampling, silhouette, stats
+from pelagia.operators import niche, sampling, silhouette, sketches, stats
 from pelagia.plans import clusters as cluster_plans, niche as niche_plan, occurrence, taxon
 from pelagia.runtime import scratch_path, stage
 from pelagia.sources import delimited, paged
@@ -316,6 +316,30 @@ def unique_counts(spark, folder):
     return stats.unique_counts(read(spark, folder, "lineitem"), ["l_suppkey", "l_linestatus"], "l_returnflag")
 
 
+@query("select l_returnflag, count(distinct l_partkey) as parts, true as within_error from lineitem group by 1")
+def distinct_sketches(spark, folder):
+    """Sketches per flag and supplier, merged per flag: within four standard errors of the exact count."""
+    items = read(spark, folder, "lineitem")
+    merged = sketches.merge_sketches(sketches.distinct_sketches(items, ["l_returnflag", "l_suppkey"], ["l_partkey"]), ["l_returnflag"])
+    exact = items.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"))
+    both = exact.join(sketches.distinct_estimates(merged), "l_returnflag")
+    off = F.abs(F.col("l_partkey_distinct") - F.col("parts"))
+    return both.select("l_returnflag", "parts", (off <= F.col("parts") * (4 / 2 ** (sketches.BITS / 2))).alias("within_error"))
+
+
+@query("select l_returnflag, count(l_quantity) as n, true as within_error from lineitem group by 1")
+def quantile_sketches(spark, folder):
+    """Sketches per flag and line number, merged per flag: the rank of every quantile within its error of the exact one."""
+    items = read(spark, folder, "lineitem")
+    wanted = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
+    fine = sketches.quantile_sketches(items, ["l_returnflag", "l_linenumber"], ["l_extendedprice"])
+    found = sketches.quantile_estimates(sketches.merge_sketches(fine, ["l_returnflag"]), "l_extendedprice", wanted)
+    ranked = items.join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag").agg(
+        F.count("l_quantity").alias("n"), *[F.avg((F.col("l_extendedprice") <= F.col(c)).cast("double")).alias(f"rank_{c}") for c in wanted])
+    worst = F.greatest(*[F.abs(F.col(f"rank_{c}") - q) for c, q in wanted.items()])
+    return ranked.select("l_returnflag", "n", (worst <= 0.03).alias("within_error"))
+
+
 # --- value profiles ----------------------------------------------------------------------------------
 
 def profile_sql(source: str, keys: str, digits: int, min_obs: int) -> str:
