@@ -170,7 +170,7 @@ def _boxed(active: DataFrame, n: int, grid: _Grid, xs: list[str], limit: int) ->
 
 def _merge_boxes(boxed: DataFrame, grid: _Grid, least: float, xs: list[str]) -> DataFrame:
     """Rows ``id, into, height, step`` of merges and, with ``into`` null, the centres that are left with their nearest one."""
-    def merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         level, box, part = (int(k) for k in key)
         frame = frame.sort_values("id", ignore_index=True)
         ids = frame["id"].to_numpy()
@@ -284,7 +284,7 @@ def _merge_across(left: DataFrame, grid: _Grid, xs: list[str], limit: int) -> tu
     held = left.select(*key, "id", "w", *xs).join(shares, key).withColumn(
         "share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
 
-    def answer(group, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def answer(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("id", ignore_index=True)
         x, w, ids = b[xs].to_numpy(), b["w"].to_numpy(), b["id"].to_numpy()
         best, cost = np.zeros(len(a), np.int64), np.full(len(a), np.inf)

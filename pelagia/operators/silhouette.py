@@ -29,7 +29,7 @@ from pelagia.runtime import stage, stage_counting
 
 # Points of a block, and of a box that is summed point by point.
 TILE_POINTS = 4096
-LEAF_POINTS = 256
+LEAF_POINTS = 1024
 ROWS_AT_ONCE = 256
 POINTS_AT_ONCE = 8192
 # Error of a distance that is taken from an expansion, and the most moments of a box.
@@ -220,7 +220,7 @@ def _leaves(placed: DataFrame, xs: list[str]) -> DataFrame:
     d = len(xs)
     bits = _bits(d)
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         cid, level, box, part = (int(k) for k in key)
         side = rows["side"].iat[0] / 2 ** min(level, bits)
         low = rows[[f"lo_{x}" for x in xs]].iloc[0].to_numpy(float)
@@ -395,7 +395,7 @@ def _scores(points: DataFrame, clusters: DataFrame, xs: list[str], tile_points:
     run_type = dict(clusters.dtypes)["run"]
     mine = placed.join(targets.select(*block, "tid", "run"), block).select("tid", "run", "cid", "w", *xs)
 
-    def score(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         x, own = a[xs].to_numpy(), a["cid"].iat[0]
         b = b.sort_values("cid", kind="stable", ignore_index=True)
         labels, number = np.unique(b["cid"].to_numpy(), return_inverse=True)
