@@ -21,6 +21,8 @@ from pelagia.runtime import stage
 BLOCK_WORDS = 64
 SHARD_WORDS = 1 << 20
 MAX_REPEATS = 3
+# Text handled at once inside a task.
+TEXT_BYTES = 1 << 20
 
 
 def sizes(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
@@ -41,7 +43,7 @@ def sizes(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
         for batch in batches:
             column = batch.column(text) if at is None else batch.column(text).flatten()[at]
             batch = batch.append_column("_size_text", column)
-            for part in chunks([batch], "_size_text"):
+            for part in chunks([batch], "_size_text", TEXT_BYTES):
                 _, _, first = word_spans(*text_bytes(part.column("_size_text")), inside)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(np.diff(first))], [*names, "size"])
 
@@ -210,7 +212,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), mos
     def cut(batches):
         for whole in batches:
             whole = whole.append_column("_size_text", whole.column("row").flatten()[at])
-            for batch in chunks([whole], "_size_text"):
+            for batch in chunks([whole], "_size_text", TEXT_BYTES):
                 data, bounds = text_bytes(batch.column("_size_text"))
                 starts, ends, first = word_spans(data, bounds, inside)
                 raw, rows, texts = data.tobytes(), [], []

@@ -30,6 +30,8 @@ SHINGLE_WORDS = 3
 PERCENT = 85
 TREES, DEPTH, FIRST_DEPTH = 24, 8, 4
 REGION = 1024
+# Text handled at once inside a task; its hashes take many times as much.
+TEXT_BYTES = 1 << 20
 #: Chances that a pair at the threshold agrees too rarely to be confirmed, and that crowded regions part it in all trees.
 AGREEMENT_LOSS, CROWDED_LOSS = 1e-9, 1e-3
 
@@ -106,7 +108,7 @@ def labels_of(first: np.ndarray, value: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, text_hash, n_shingles, key1, key2, labels`` of every row; the keys are equal for equal sets."""
     def sign(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             first, value = shingle_sets(batch.column("text"), words)
             rows, full = batch.num_rows, np.flatnonzero(np.diff(first))
             keys = np.zeros((2, rows), np.uint64)
@@ -236,7 +238,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int = SHING
     """The pairs ``a, b`` whose full sets are similar enough."""
     def check(batches):
         for whole in batches:
-            for batch in chunks([whole], "text_a"):
+            for batch in chunks([whole], "text_a", TEXT_BYTES):
                 sets = [shingle_sets(batch.column(c), words) for c in ("text_a", "text_b")]
                 row = [np.repeat(np.arange(batch.num_rows), np.diff(first)) for first, _ in sets]
                 row, value = np.concatenate(row), np.concatenate([v for _, v in sets])
