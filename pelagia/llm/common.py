@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,26 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+ARROW_BYTES, ARROW_BYTES_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession, limit: int = CHUNK_BYTES) -> None:
+    """Let this session hand rows to Python in Arrow batches of about ``limit`` bytes, unless a size was set.
+
+    A batch is held by the JVM and by Python at once, and 10,000 rows of text are many times what a task works on.
+    """
+    if spark.conf.get(ARROW_BYTES) == ARROW_BYTES_DEFAULT:
+        spark.conf.set(ARROW_BYTES, str(limit))
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a Python worker lives through many tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``limit`` bytes of text, or a single longer row."""
     for batch in batches:
@@ -46,6 +67,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
