@@ -599,6 +599,16 @@ def kmeans_single_cluster_cost(spark, folder):
     return rounded(km.kmeans_cost_curve(read(spark, folder, "part"), ["p_size", "p_retailprice"], [1]), ["cost"], 2)
 
 
+@query(f"""with far as ({SPREAD_SQL.format(customer='customer')}),
+  costs as (select c_nationkey, count(*) * (var_pop(x) + var_pop(y)) as cost from far group by c_nationkey)
+  select cast(count(*) as int) as k, cast(count(*) as int) as clusters, round(sum(cost), 6) as cost from costs""")
+def kmeans_group_cost(spark, folder):
+    """Groups far from each other are the clusters of least cost, so the curve has their variance there."""
+    points = spark.sql(SPREAD_SQL, customer=read(spark, folder, "customer"))
+    groups = points.select("c_nationkey").distinct().count()
+    return rounded(km.kmeans_cost_curve(points, ["x", "y"], [groups]), ["cost"], 6)
+
+
 # --- distances and density clusters ------------------------------------------------------------------
 
 PAIRS_SQL = "pairs as (select a.rid as a, b.rid as b from valid a join valid b on b.lat between a.lat - 1 and a.lat + 1 " \

@@ -6,15 +6,13 @@ five 0/1 flags give at most 32 rows to iterate over, whatever the size of the ta
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from pelagia.operators.features import assemble_features
 from pelagia.operators.silhouette import silhouette_euclidean
+from pelagia.operators.sweep import sweep_centres, sweep_costs, sweep_labels
 from pelagia.runtime import stage
 
 
@@ -50,35 +48,15 @@ def kmeans(df: DataFrame, cols: list[str], k: int = 4, seed: int = 1) -> DataFra
     return _relabel(model, model.transform(assemble_features(df, cols))).drop("features")
 
 
-def _sweep(points: DataFrame, cols: list[str], ks: list[int], seed: int, parallelism: int):
-    """Fitted model per k > 1; the fits only share the cached points, so a few run side by side."""
-    features = assemble_features(points, cols).cache()
-    fit = inheritable_thread_target(features.sparkSession)(lambda k: (k, _fit(features, k, seed)))
-    with ThreadPool(parallelism) as pool:
-        models = dict(pool.imap_unordered(fit, [k for k in ks if k > 1]))
-    return features, models
-
-
-def total_squares(points: DataFrame, cols: list[str]) -> float:
-    """Cost of a single cluster: Σ n·|x − mean|²."""
-    means = points.agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in cols]).first()
-    terms = [F.sum(F.col("n") * F.pow(F.col(c) - F.lit(means[c]), F.lit(2))) for c in cols]
-    return float(sum(points.agg(*[t.alias(f"t{i}") for i, t in enumerate(terms)]).first()))
+def kmeans_cost_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int = 1) -> DataFrame:
+    """One row per k: the within-cluster sum of squares and the number of clusters found.
 
-
-def kmeans_cost_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int = 1,
-                      parallelism: int = 4) -> DataFrame:
-    """One row per k: the within-cluster sum of squares and the number of clusters found."""
+    All k are advanced together; without any rows every cost is 0 and there are no clusters.
+    """
     points = weighted_points(df, cols)
-    features, models = _sweep(points, cols, ks, seed, parallelism)
-    rows = []
-    for k in ks:
-        if k == 1:
-            rows.append((1, total_squares(points, cols), 1))
-        else:
-            rows.append((k, float(models[k].summary.trainingCost), len(models[k].clusterCenters())))
-    features.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, cost double, clusters int")
+    centres = sweep_centres(points, cols, ks, seed)
+    costs = sweep_costs(points, cols, centres)
+    return df.sparkSession.createDataFrame([(k, costs[k], len(centres[k])) for k in ks], "k int, cost double, clusters int")
 
 
 def silhouette_squared(df: DataFrame, cols: list[str], cluster: str = "cluster") -> DataFrame:
@@ -93,15 +71,8 @@ def silhouette_squared(df: DataFrame, cols: list[str], cluster: str = "cluster")
     return df.sparkSession.createDataFrame([(score,)], "silhouette_squared double")
 
 
-def silhouette_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int = 1,
-                     parallelism: int = 4) -> DataFrame:
-    """One row per k: the exact Euclidean silhouette of the k-means labels."""
+def silhouette_curve(df: DataFrame, cols: list[str], ks: list[int], seed: int = 1) -> DataFrame:
+    """One row per k > 1: the exact Euclidean silhouette of the k-means labels, all k advanced together."""
     points = weighted_points(df, cols)
-    features, models = _sweep(points, cols, ks, seed, parallelism)
-    labelled = None
-    for k, model in sorted(models.items()):
-        one = model.transform(features).select(*cols, "n", "cluster", F.lit(k).alias("k"))
-        labelled = one if labelled is None else labelled.unionByName(one)
-    scores = silhouette_euclidean(labelled, cols, "cluster", run="k", weight="n")
-    features.unpersist()  # the points are written by now
-    return scores
+    labelled = sweep_labels(points, cols, sweep_centres(points, cols, [k for k in ks if k > 1], seed))
+    return silhouette_euclidean(labelled, cols, "cluster", run="k", weight="n")
