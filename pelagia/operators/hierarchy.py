@@ -20,13 +20,17 @@ from pelagia.operators.kmeans import weighted_points
 from pelagia.runtime import attach, stage, stage_counting
 
 # Centres that one task holds.
-BOX_CENTRES = 4096
-# Rows of a task that are compared with all others at once.
-ROWS_AT_ONCE = 256
+BOX_CENTRES = 16384
+# Centres that are compared with each other at once; their costs have to stay in a core's cache.
+ROWS_AT_ONCE, COLUMNS_AT_ONCE = 64, 4096
 # A round that merges a smaller share than this also looks across boxes.
 LEAST_PROGRESS = 0.2
-# Bits of all coordinates together that tell boxes apart.
-BOX_BITS = 60
+# Partitions for each box, so that few boxes meet in one.
+TASKS_PER_BOX = 8
+# Halvings of the data that tell boxes apart, and those that are counted at once.
+BOX_BITS, LEVELS_AT_ONCE = 60, 12
+# Levels of the tree of boxes that a search goes down at once.
+LEVELS_DOWN = 3
 # Guards bounds against rounding.
 SLACK = 1e-9
 
@@ -37,24 +41,46 @@ def ward_cost(wa, wb, square):
 
 # --- inside a task -------------------------------------------------------------------------------------
 
-def _nearest(x: np.ndarray, w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cheapest partner of some centres among all, and its cost; equal costs go to the first."""
-    best, cost = np.zeros(len(rows), np.int64), np.full(len(rows), np.inf)
-    if len(w) < 2:
+def _cheapest(x: np.ndarray, w: np.ndarray, own: np.ndarray, to_x: np.ndarray, to_w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cheapest partner of each ``x`` among ``to_x`` but for the place ``own`` (-1: none), and its cost; equal costs go to the first."""
+    best, cost = np.zeros(len(w), np.int64), np.full(len(w), np.inf)
+    if not len(w) or not len(to_w):
         return best, cost
-    for at in range(0, len(rows), ROWS_AT_ONCE):
-        some = rows[at:at + ROWS_AT_ONCE]
-        square = 0.0
-        for axis in range(x.shape[1]):
-            gap = x[some, axis, None] - x[None, :, axis]
-            square = square + gap * gap
-        price = ward_cost(w[some, None], w[None, :], square)
-        price[np.arange(len(some)), some] = np.inf
-        best[at:at + len(some)] = price.argmin(axis=1)
-        cost[at:at + len(some)] = price[np.arange(len(some)), best[at:at + len(some)]]
+    # a feature that never differs adds nothing
+    axes = [i for i in range(x.shape[1]) if (x[:, i] != to_x[0, i]).any() or (to_x[:, i] != to_x[0, i]).any()]
+    lines = [np.ascontiguousarray(to_x[:, i]) for i in axes]
+    held = [np.empty((min(ROWS_AT_ONCE, len(w)), min(COLUMNS_AT_ONCE, len(to_w)))) for _ in range(3)]
+    for at in range(0, len(w), ROWS_AT_ONCE):
+        rows = slice(at, min(at + ROWS_AT_ONCE, len(w)))
+        many, heavy, mine = rows.stop - at, w[rows, None], own[rows]
+        b, c, here = best[rows], cost[rows], np.arange(many)
+        for to in range(0, len(to_w), COLUMNS_AT_ONCE):
+            to_end = min(to + COLUMNS_AT_ONCE, len(to_w))
+            price, gap, share = (t[:many, :to_end - to] for t in held)
+            price.fill(0.0)
+            for axis, line in zip(axes, lines):
+                np.subtract(x[rows, axis, None], line[to:to_end], out=gap)
+                np.multiply(gap, gap, out=gap)
+                np.add(price, gap, out=price)
+            # as ward_cost does it, in place
+            np.multiply(heavy, to_w[to:to_end], out=share)
+            np.add(heavy, to_w[to:to_end], out=gap)
+            np.divide(share, gap, out=share)
+            np.multiply(share, price, out=price)
+            same = np.flatnonzero((mine >= to) & (mine < to_end))
+            price[same, mine[same] - to] = np.inf
+            place = price.argmin(axis=1)
+            value = price[here, place]
+            less = value < c
+            b[less], c[less] = place[less] + to, value[less]
     return best, cost
 
 
+def _nearest(x: np.ndarray, w: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cheapest partner of some centres among all, and its cost; equal costs go to the first."""
+    return _cheapest(x[rows], w[rows], rows, x, w)
+
+
 def merge_inside(x: np.ndarray, w: np.ndarray, height: np.ndarray, room=None, least: float = 0.0):
     """Merge reciprocal nearest centres as long as any pair is cheaper than all that may lie outside.
 
@@ -108,67 +134,95 @@ def ward_labels(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
 # --- boxes ---------------------------------------------------------------------------------------------
 
 class _Grid:
-    """Nested boxes over a cube twice as wide as the data, moved by a part of that width that depends on the round."""
+    """Nested boxes over a range twice as wide as the data, moved by a part of that width that depends on the round.
+
+    Each level halves the boxes along the axis that is then their longest, so a level has two boxes for each one before, and
+    axes on which the data are narrow are cut late, or never.
+    """
 
     def __init__(self, low: list[float], high: list[float], turn: int):
         d = len(low)
         self.low, self.high = np.array(low), np.array(high)
-        self.width = float((self.high - self.low).max()) or 1.0
-        self.bits = max(1, BOX_BITS // d)
-        self.axes = min(d, BOX_BITS)
+        self.width = np.where(self.high > self.low, self.high - self.low, 1.0)
+        self.slack = SLACK * (float((self.high - self.low).max()) or 1.0)
         # multiples of irrational numbers are spread evenly
         self.start = self.low - self.width * (((turn + 1) * 0.6180339887498949 + 0.7548776662466927 * np.arange(d)) % 1.0)
+        side = np.where(self.high > self.low, 2 * self.width, 0.0)
+        if not side.any():
+            side[0] = 1.0
+        self.axes = []
+        for _ in range(BOX_BITS):
+            self.axes.append(int(side.argmax()))
+            side[self.axes[-1]] /= 2
 
     def key(self, xs: list[str]) -> Column:
-        """Bits of the scaled coordinates in turn, the coarsest first, so that boxes are prefixes."""
+        """A bit for each level, the coarsest first, so that boxes are prefixes."""
         key = F.lit(0).cast("long")
-        for i, x in enumerate(xs[:self.axes]):
-            scaled = (F.col(x) - F.lit(float(self.start[i]))) / F.lit(2 * self.width) * F.lit(float(2 ** self.bits))
-            cell = F.floor(scaled).cast("long")
-            for b in range(self.bits):
-                key = key.bitwiseOR(F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("long")), b * self.axes + i))
+        for i, x in enumerate(xs):
+            levels = [at for at, axis in enumerate(self.axes) if axis == i]
+            if levels:
+                scaled = (F.col(x) - F.lit(float(self.start[i]))) / F.lit(float(2 * self.width[i])) * F.lit(float(2 ** len(levels)))
+                cell = F.floor(scaled).cast("long")
+                for b, at in enumerate(reversed(levels)):
+                    key = key.bitwiseOR(F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("long")), BOX_BITS - 1 - at))
         return key
 
     def room(self, level: int, box: int):
         """Distance to the outside of a box, as a function of centres in it; nothing lies outside the data."""
-        side = 2 * self.width / 2 ** level
-        cell = np.zeros(len(self.low), np.int64)
-        for i in range(self.axes):
-            for b in range(level):
-                cell[i] |= (box >> (b * self.axes + i) & 1) << b
+        d = len(self.low)
+        cell, cuts = np.zeros(d, np.int64), np.zeros(d, np.int64)
+        for at, axis in enumerate(self.axes[:level]):
+            cell[axis] = cell[axis] << 1 | box >> (level - 1 - at) & 1
+            cuts[axis] += 1
+        side = 2 * self.width / 2.0 ** cuts
         floor = self.start + cell * side
         ceiling = floor + side
-        floor = np.where(floor <= self.low, -np.inf, floor)
-        ceiling = np.where(ceiling > self.high, np.inf, ceiling)
-        floor[self.axes:], ceiling[self.axes:] = -np.inf, np.inf
+        floor = np.where((floor <= self.low) | (cuts == 0), -np.inf, floor)
+        ceiling = np.where((ceiling > self.high) | (cuts == 0), np.inf, ceiling)
 
         def distance(x: np.ndarray) -> np.ndarray:
             gap = np.minimum(x - floor, ceiling - x).min(axis=1)
-            return np.maximum(gap * (1 - SLACK) - SLACK * self.width, 0.0)
+            return np.maximum(gap * (1 - SLACK) - self.slack, 0.0)
 
         return distance
 
 
 def _boxed(active: DataFrame, n: int, grid: _Grid, xs: list[str], limit: int) -> DataFrame:
-    """Add ``level, box, part``: boxes with at most ``limit`` centres, and parts of those that are still larger at the last level."""
+    """Add ``level, box, part``: boxes with at most ``limit`` centres, and parts of those that are still larger at the last level.
+
+    The centres are counted in boxes some levels down; their sums say at which level each of them has a box small enough.
+    """
     if n <= limit:
         return active.withColumns({"level": F.lit(0), "box": F.lit(0).cast("long"), "part": F.lit(0)})
     done, rest = None, active.withColumn("z", grid.key(xs))
-    for level in range(1, grid.bits + 1):
-        box = F.shiftright("z", (grid.bits - level) * grid.axes)
-        counts = rest.groupBy(box.alias("box")).agg(F.count(F.lit(1)).alias("inside"))
-        keyed = rest.withColumns({"box": box, "level": F.lit(level)})
-        placed, many = stage_counting(attach(keyed, counts, ["box"]), F.col("inside") > limit, "boxes")
-        last = level == grid.bits or not many
-        parts = F.when(F.col("inside") > limit, 1 + F.pmod(F.xxhash64("id"), F.ceil(F.col("inside") / F.lit(limit)))).otherwise(0)
-        now = (placed if last else placed.where(F.col("inside") <= limit)).withColumn("part", parts.cast("int")).drop("z", "inside")
+    for above in range(0, BOX_BITS, LEVELS_AT_ONCE):
+        below = min(above + LEVELS_AT_ONCE, BOX_BITS)
+        fine = F.shiftright("z", BOX_BITS - below)
+
+        def choose(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            level, inside = np.full(len(frame), -1), frame["inside"].to_numpy()
+            for at in range(above + 1, below + 1):
+                up, of = np.unique(frame["fine"].to_numpy() >> (below - at), return_inverse=True)
+                held = np.bincount(of, inside, len(up))[of].astype(np.int64)
+                level[(level < 0) & (held <= limit)] = at
+            return frame[["fine", "inside"]].assign(level=level)
+
+        counts = rest.groupBy(fine.alias("fine")).agg(F.count(F.lit(1)).alias("inside"))
+        levels = counts.withColumn("top", F.shiftright("fine", below - above)).groupBy("top").applyInPandas(
+            choose, "fine long, inside long, level int")
+        placed, many = stage_counting(attach(rest.withColumn("fine", fine), levels, ["fine"]), F.col("level") < 0, "boxes")
+        last = below == BOX_BITS or not many
+        parts = F.when(F.col("level") < 0, 1 + F.pmod(F.xxhash64("id"), F.ceil(F.col("inside") / F.lit(limit)))).otherwise(0)
+        now = (placed if last else placed.where("level >= 0")).withColumns({
+            "part": parts.cast("int"), "level": F.when(F.col("level") < 0, below).otherwise(F.col("level"))})
+        now = now.withColumn("box", F.expr(f"shiftright(z, {BOX_BITS} - level)")).drop("z", "fine", "inside")
         done = now if done is None else done.unionByName(now)
         if last:
             return done
-        rest = placed.where(F.col("inside") > limit).drop("box", "level", "inside")
+        rest = placed.where("level < 0").drop("fine", "level", "inside")
 
 
-def _merge_boxes(boxed: DataFrame, grid: _Grid, least: float, xs: list[str]) -> DataFrame:
+def _merge_boxes(boxed: DataFrame, grid: _Grid, least: float, xs: list[str], tasks: int = 0) -> DataFrame:
     """Rows ``id, into, height, step`` of merges and, with ``into`` null, the centres that are left with their nearest one."""
     def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         level, box, part = (int(k) for k in key)
@@ -190,7 +244,9 @@ def _merge_boxes(boxed: DataFrame, grid: _Grid, least: float, xs: list[str]) ->
 
     fields = [("id", "long"), ("into", "long"), ("height", "double"), ("step", "int"), ("w", "double"), ("near", "long"),
               ("cost", "double"), ("certain", "boolean"), *[(x, "double") for x in xs], ("level", "int"), ("box", "long"), ("part", "int")]
-    return boxed.groupBy("level", "box", "part").applyInPandas(merge, ", ".join(f"{c} {t}" for c, t in fields))
+    # the partitions keep their number, as their rows are few but much work
+    dealt = boxed.repartition(tasks, "level", "box", "part") if tasks else boxed
+    return dealt.groupBy("level", "box", "part").applyInPandas(merge, ", ".join(f"{c} {t}" for c, t in fields))
 
 
 # --- across boxes --------------------------------------------------------------------------------------
@@ -235,23 +291,22 @@ def _candidate_boxes(left: DataFrame, grid: _Grid, xs: list[str]) -> DataFrame:
     seekers = open_.groupBy(*[F.col(c).alias(f"a_{c}") for c in key]).agg(
         F.min("w").alias("a_light"), F.max("w").alias("a_heavy"), F.max("cost").alias("limit"), *bounds("a_"))
     deepest = leaves.agg(F.max("level")).first()[0]
-    pairs, found = seekers.withColumns({"b_level": F.lit(0), "b_box": F.lit(0).cast("long")}), None
+    pairs, found = seekers.withColumn("b_box", F.lit(0).cast("long")), None
     same_bounds = [*[F.min(c).alias(c) for c in lows("b_")], *[F.max(c).alias(c) for c in highs("b_")]]
-    for level in range(0, deepest + 1):
-        # nodes of this level: boxes that end here, and the common prefixes of deeper ones
-        ends = leaves.where(F.col("level") == level).withColumn("leaf", F.lit(True))
+    for level in range(0, deepest + LEVELS_DOWN, LEVELS_DOWN):
+        # nodes of this level: boxes that end here or since the level before, and the common prefixes of deeper ones
+        before = max(level - LEVELS_DOWN, 0)
+        ends = (leaves.where((F.col("level") <= level) & (F.col("level") > before if level else F.lit(True)))
+                .withColumns({"leaf": F.lit(True), "parent": F.expr(f"shiftright(box, level - {before})")}))
         inner = (leaves.where(F.col("level") > level)
-                 .withColumn("box", F.expr(f"shiftright(box, (level - {level}) * {grid.axes})"))
+                 .withColumn("box", F.expr(f"shiftright(box, level - {level})"))
                  .groupBy("box").agg(F.sum("b_n").alias("b_n"), F.min("b_light").alias("b_light"), F.max("b_heavy").alias("b_heavy"), *same_bounds)
-                 .withColumns({"level": F.lit(level), "part": F.lit(0), "leaf": F.lit(False)}))
-        nodes = ends.unionByName(inner).withColumnsRenamed({c: f"b_{c}" for c in key})
+                 .withColumns({"level": F.lit(level), "part": F.lit(0), "leaf": F.lit(False), "parent": F.shiftright("box", level - before)}))
+        nodes = ends.unionByName(inner).withColumnsRenamed({"parent": "b_parent", **{c: f"b_{c}" for c in key}})
         if level:
-            pairs = pairs.withColumns({"b_level": F.lit(level), "b_parent": F.col("b_box")}).drop("b_box")
-            nodes = nodes.withColumn("b_parent", F.shiftright("b_box", grid.axes))
-            met = pairs.join(nodes.drop("b_level"), "b_parent").drop("b_parent")
+            met = pairs.withColumnRenamed("b_box", "b_parent").join(nodes, "b_parent").drop("b_parent")
         else:
-            met = pairs.drop("b_box", "b_level").crossJoin(nodes.drop("b_level"))  # the root, one row
-            met = met.withColumn("b_level", F.lit(0))
+            met = pairs.drop("b_box").crossJoin(nodes.drop("b_parent"))  # the root, one row
         near = ward_cost(F.col("a_light"), F.col("b_light"), _gap_squared(lows("a_"), highs("a_"), lows("b_"), highs("b_")))
         far = ward_cost(F.col("a_heavy"), F.col("b_heavy"), _span_squared(lows("a_"), highs("a_"), lows("b_"), highs("b_")))
         # a node with two centres has one that isn't the seeker itself
@@ -279,7 +334,7 @@ def _merge_across(left: DataFrame, grid: _Grid, xs: list[str], limit: int) -> tu
     b_key = [F.col(f"b_{c}").alias(c) for c in key]
     asked = stage(asked.select(*b_key, "p", "p_w", *names), "asked")
     # many questions to one box are answered by several tasks, each with a copy of the box
-    shares = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(4 * limit)).cast("int").alias("shares"))
+    shares = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int").alias("shares"))
     asked = asked.join(shares, key).withColumn("share", F.pmod(F.xxhash64("p"), F.col("shares")).cast("int")).drop("shares")
     held = left.select(*key, "id", "w", *xs).join(shares, key).withColumn(
         "share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
@@ -287,17 +342,10 @@ def _merge_across(left: DataFrame, grid: _Grid, xs: list[str], limit: int) -> tu
     def answer(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("id", ignore_index=True)
         x, w, ids = b[xs].to_numpy(), b["w"].to_numpy(), b["id"].to_numpy()
-        best, cost = np.zeros(len(a), np.int64), np.full(len(a), np.inf)
-        for at in range(0, len(a), ROWS_AT_ONCE):
-            some = a.iloc[at:at + ROWS_AT_ONCE]
-            square = 0.0
-            for axis, name in enumerate(names):
-                step = some[name].to_numpy()[:, None] - x[None, :, axis]
-                square = square + step * step
-            price = ward_cost(some["p_w"].to_numpy()[:, None], w[None, :], square)
-            price[some["p"].to_numpy()[:, None] == ids[None, :]] = np.inf
-            best[at:at + len(some)] = price.argmin(axis=1)
-            cost[at:at + len(some)] = price.min(axis=1)
+        asking = a["p"].to_numpy()
+        own = np.searchsorted(ids, asking)
+        own[ids[np.minimum(own, len(ids) - 1)] != asking] = -1
+        best, cost = _cheapest(a[names].to_numpy(), a["p_w"].to_numpy(), own, x, w)
         return pd.DataFrame({"id": a["p"].to_numpy(), "near": ids[best], "cost": cost})
 
     by = [*key, "share"]
@@ -341,7 +389,7 @@ def ward_merges(centres: DataFrame, xs: list[str], limit: int = BOX_CENTRES) ->
             return merges
         grid = _Grid([row[f"lo{i}"] or 0.0 for i in range(len(xs))], [row[f"hi{i}"] or 0.0 for i in range(len(xs))], turn)
         boxed = _boxed(active, n, grid, xs, limit)
-        rows, remain = stage_counting(_merge_boxes(boxed, grid, row["least"] or 1.0, xs), F.col("into").isNull(), "merged")
+        rows, remain = stage_counting(_merge_boxes(boxed, grid, row["least"] or 1.0, xs, n // limit * TASKS_PER_BOX), F.col("into").isNull(), "merged")
         add(rows.where("into IS NOT NULL"), 2 * turn)
         left = rows.where("into IS NULL")
         if remain < 2:

@@ -304,3 +304,31 @@ def test_boxes_per_block_do_not_grow_with_the_cluster(spark):
         sources = silhouette._sources(targets, targets.select("tid", F.col("cid").alias("source")), nodes, 2, xs)
         per_block.append(sources.count() / targets.count())
     assert per_block[1] < 3 * per_block[0]  # 8 times the points
+
+
+def test_ward_boxes_are_well_filled(spark):
+    rng = np.random.default_rng(6)
+    sides = [1, 6, 25, 50, 8, 64]  # ranks of very different numbers of values, one of them constant
+    x = np.unique(rng.integers(0, sides, (3000, 6)), axis=0).astype(float)
+    xs = [f"x{i}" for i in range(6)]
+    active = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, " + ", ".join(f"{c} double" for c in xs))
+    grid = hierarchy._Grid([0.0] * 6, [s - 1.0 for s in sides], 0)
+    boxed = hierarchy._boxed(active, len(x), grid, xs, 400).cache()
+    boxes = boxed.groupBy("level", "box", "part").count().collect()
+    assert sum(b["count"] for b in boxes) == len(x) and max(b["count"] for b in boxes) <= 400
+    assert {b["part"] for b in boxes} == {0} and len(boxes) <= 30
+    for b in boxes[:5]:
+        inside = np.array(boxed.where((boxed.level == b.level) & (boxed.box == b.box)).select("id").collect())[:, 0]
+        room = grid.room(b.level, b.box)(x[inside])
+        others = np.delete(x, inside, axis=0)
+        nearest = np.sqrt(((x[inside][:, None] - others[None]) ** 2).sum(2)).min(1)
+        assert (room <= nearest + 1e-9).all()
+
+
+@pytest.mark.parametrize("limit", [300])
+def test_ward_with_many_ties_does_not_depend_on_boxes(spark, limit):
+    rng = np.random.default_rng(3)
+    data = [tuple(map(float, p)) for p in rng.integers(0, (4, 9, 1, 7, 5), (700, 5))]
+    names = list("abcde")
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names))
+    assert rows(hierarchy.hierarchical_cluster(df, names, 5, max_centres=limit)) == rows(hierarchy.hierarchical_cluster(df, names, 5))
