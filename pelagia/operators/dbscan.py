@@ -127,18 +127,20 @@ def dbscan_grid(df: DataFrame, coords: list[str], row_id: str, eps_values: list[
     searched = positions(df, coords, row_id)
     if sample is not None:
         searched = sample_n(searched, "rid", sample, seed)
-    rows = _with_runs(stage(searched, "searched"), runs)
+    # rows at one position share their label in every run, so each position is taken through the runs once, with its weight
+    places = searched.groupBy(*_axes(d, "x")).agg(F.count(F.lit(1)).alias("w"), F.min("rid").alias("rid"))
+    rows = _with_runs(stage(places, "searched"), runs)
     limit = max(PAIR_LIMIT if pair_limit is None else pair_limit, *min_samples_values)
     labelled = stage(_label(rows, d, *_fit(rows, d, limit, pair_limit)), "labelled")
     noise = F.col("cluster") == NOISE
-    sizes = labelled.groupBy("run", "eps", "min_samples", "cluster").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = labelled.groupBy("run", "eps", "min_samples", "cluster").agg(F.sum("w").alias("rows"))
     counts = sizes.groupBy("run", "eps", "min_samples").agg(
         F.count(F.when(~noise, 1)).cast("int").alias("n_clusters"),
         F.coalesce(F.sum(F.when(noise, F.col("rows"))), F.lit(0)).alias("n_noise"),
         F.coalesce(F.sum(F.when(~noise, F.col("rows"))), F.lit(0)).alias("n_clustered"))
     valid = (F.col("n_clusters") >= 2) & (F.col("n_clustered") > F.col("n_clusters"))
     scored = attach(labelled.where(~noise), counts.where(valid).select("run"), ["run"], "left_semi")
-    scores = silhouette_euclidean(scored, _axes(d, "x"), "cluster", run="run").select("run", F.col("silhouette").alias("score"))
+    scores = silhouette_euclidean(scored, _axes(d, "x"), "cluster", run="run", weight="w").select("run", F.col("silhouette").alias("score"))
     return counts.join(scores, "run", "left").orderBy("run")
 
 

@@ -201,10 +201,13 @@ def weight_within(a_points: DataFrame, b_points: DataFrame, a_cells: DataFrame,
 def collapse(rows: DataFrame, d: int) -> DataFrame:
     """Rows ``(run, eps, …, x0.., rid)`` to distinct points with weight and least row id.
 
-    Copies of one position are combined inside each map task, however many there are.
+    Copies of one position are combined inside each map task, however many there are. Rows that have a weight ``w`` are
+    distinct points already.
     """
     cells = rows.withColumns(cell_columns(d))
-    keys = [c for c in cells.columns if c != "rid"]
+    keys = [c for c in cells.columns if c not in ("rid", "w")]
+    if "w" in cells.columns:
+        return stage(cells.select(*keys, "w", "rid"), "points")
     return stage(cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"), F.min("rid").alias("rid")), "points")
 
 

@@ -332,3 +332,27 @@ def test_ward_with_many_ties_does_not_depend_on_boxes(spark, limit):
     names = list("abcde")
     df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names))
     assert rows(hierarchy.hierarchical_cluster(df, names, 5, max_centres=limit)) == rows(hierarchy.hierarchical_cluster(df, names, 5))
+
+
+def test_dbscan_grid_takes_each_position_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    spots = np.concatenate([rng.normal(size=(40, 2)) * 0.3, rng.normal(size=(40, 2)) * 0.3 + 5, rng.uniform(-30, 30, (10, 2))])
+    copies = rng.integers(1, 9, len(spots))
+    df, names = points_frame(spark, np.repeat(spots, copies, axis=0))
+    held, stage = {}, dbscan.stage
+
+    def counted(frame, name="table"):
+        out = stage(frame, name)
+        held[name] = out.count()
+        return out
+
+    monkeypatch.setattr(dbscan, "stage", counted)
+    got = dbscan.dbscan_grid(df, names, "rid", [0.6], [4, 12]).collect()
+    assert held["searched"] == len(spots) and held["labelled"] == 2 * len(spots)
+    for g in got:
+        labels = dbscan.dbscan(df, names, g["eps"], g["min_samples"], "rid")
+        clustered = labels.where("cluster >= 0")
+        assert g["n_noise"] == labels.count() - clustered.count() and g["n_clustered"] == clustered.count()
+        assert g["n_clusters"] == clustered.select("cluster").distinct().count()
+        if g["score"] is not None:
+            assert g["score"] == pytest.approx(silhouette.silhouette_euclidean(clustered, names).first()["silhouette"], abs=1e-9)
