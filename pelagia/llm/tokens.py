@@ -14,6 +14,7 @@ exceptions (position and high bits) for the others. Layout, little-endian::
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import uuid
@@ -163,10 +164,12 @@ def read_file(source, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             held, given, done = [ids[many:]], given + many, ready
 
 
-LETTERS = re.compile("[a-zß-öø-ÿ]+")
+LETTERS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
 #: The letters by which byte-level vocabularies write the bytes that aren't printable in Latin-1.
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+#: The letter of each byte, but for the line feed, which stays.
+BYTE_NAMES = "".join(chr(BYTE_LETTERS.get(b, b)) if b != 10 else "\n" for b in range(256))
 
 
 class WordEncoder:
@@ -174,41 +177,49 @@ class WordEncoder:
 
     White space (ASCII) and a full stop or comma between a letter and white space are always token boundaries of the
     vocabulary this is meant for, so a text's ids are those of its pieces. Texts that may hold special tokens are
-    encoded whole.
+    encoded whole. Of more than ``WORDS`` words, those that occurred in one batch only are forgotten.
     """
 
-    WORDS = 1 << 18
+    WORDS = 1 << 19
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-        # a lower-case word of letters is one piece for the model; asked directly, if the two agree
+        self.used = np.zeros(0, np.int32)  # batches that had the word
+        # a word of letters, lower-cased, is one piece for the model; asked directly, if the two agree
         self.direct = False
-        tries = ["a", "word", "straße", "éclair", "übermäßig", "naïveté", "zzzxqy"]
-        self.direct = self.encode_words(tries) == self.whole(tries) == [self.piece(w) for w in tries]
+        tries = ["a", "word", "straße", "éclair", "übermäßig", "naïveté", "zzzxqy", "Éclair", "ÀÖØÞà"]
+        self.direct = self.encode_words(tries) == self.whole(tries) == self.pieces(tries)
+
+    def forget(self) -> None:
+        """Keep the words that occurred in several batches, at most half of those there may be."""
+        keep = np.argsort(-self.used, kind="stable")[:self.WORDS // 2]
+        keep = np.sort(keep[self.used[keep] > 1])
+        words = list(self.known)  # in the order of their numbers
+        self.known = {words[i]: k for k, i in enumerate(keep.tolist())}
+        self.flat = self.flat[ranges((np.cumsum(self.lengths) - self.lengths)[keep], self.lengths[keep])]
+        self.lengths, self.used = self.lengths[keep], np.zeros(len(keep), np.int32)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def piece(self, word: str) -> list[int]:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+    def pieces(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of letters, asked of the model without the steps before it."""
+        tokenize = self.tokenizer.model.tokenize
+        names = codecs.charmap_decode("\n".join(words).lower().encode(), "strict", BYTE_NAMES)[0].split("\n")
+        return [[t.id for t in tokenize(name)] for name in names] if words else []
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         if not self.direct:
             return self.whole(words)
-        out = [self.piece(w) if LETTERS.fullmatch(w) else None for w in words]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self.whole([words[i] for i in rest])):
-            out[i] = ids
+        out, plain = [None] * len(words), [LETTERS.fullmatch(w) is not None for w in words]
+        for some, ask in ((True, self.pieces), (False, self.whole)):
+            chosen = [i for i, x in enumerate(plain) if x is some]
+            for i, ids in zip(chosen, ask([words[i] for i in chosen])):
+                out[i] = ids
         return out
 
     def learn(self, words: list[bytes]) -> None:
@@ -220,6 +231,7 @@ class WordEncoder:
             flat.append(np.fromiter(chain.from_iterable(lists), np.uint32))
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.lengths, self.flat = np.concatenate(lengths), np.concatenate(flat)
+        self.used = np.concatenate([self.used, np.zeros(len(words), np.int32)])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids."""
@@ -229,7 +241,10 @@ class WordEncoder:
         letter[65:91] = letter[97:123] = True
         end = data[ends - 1] if len(ends) else np.zeros(0, np.uint8)
         stop = ((end == 0x2E) | (end == 0x2C)) & (ends - starts > 1)
-        stop[stop] = letter[data[ends[stop] - 2]]
+        last = data[ends[stop] - 2]
+        # a letter of Latin-1 has two bytes; the two signs among them are no letters
+        latin = (ends[stop] - starts[stop] > 2) & (data[ends[stop] - 3] == 0xC3) & (last >= 0x80) & (last < 0xC0) & (last != 0x97) & (last != 0xB7)
+        stop[stop] = letter[last] | latin
         # a stopped word becomes two pieces
         pieces = 1 + stop.astype(np.int64)
         at = np.cumsum(pieces) - pieces
@@ -240,13 +255,16 @@ class WordEncoder:
         first = np.append(at, total)[first]
         # A-Z is lower-cased by the vocabulary anyway
         words = span_array(a, b, lowered()[data] if self.direct else data).dictionary_encode()
-        unique = words.dictionary.to_pylist()
+        _, bound, body = words.dictionary.buffers()
+        bound, body = np.frombuffer(bound, np.int32)[:len(words.dictionary) + 1].tolist(), body.to_pybytes() if body else b""
+        unique = [body[x:y] for x, y in zip(bound, bound[1:])]
         if len(self.known) > self.WORDS:
             self.forget()
         place = np.fromiter(map(self.known.get, unique, repeat(-1)), np.int64, len(unique))
         new = np.flatnonzero(place < 0)
         place[new] = np.arange(len(self.known), len(self.known) + len(new))
         self.learn([unique[i] for i in new])
+        self.used[place] += 1
         number = place[words.indices.to_numpy()]
         n = self.lengths[number]
         ids = self.flat[ranges((np.cumsum(self.lengths) - self.lengths)[number], n)]

@@ -3,10 +3,11 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pelagia.llm import contamination, lexical, mixing, neardup, simhash, spelling, toxicity
+from pelagia.llm import contamination, lexical, mixing, neardup, simhash, spelling, tokens, toxicity
 
 
 def prose(rng, n):
@@ -93,3 +94,21 @@ def test_machine_learns_terms_that_matter_only_together(spark):
     asked = spark.createDataFrame([(1, "insult mention w3"), (2, "insult w3"), (3, "mention w3"), (4, "w3 w4"), (5, "slur w3")], docs.schema)
     found = {r.doc_id: r.score for r in toxicity.score(asked, model).collect()}
     assert found[1] > 0.5 and found[5] > 0.5 and max(found[2], found[3], found[4]) < 0.1
+
+
+def test_word_encoder_forgets_rare_words_only():
+    import public_tokenizers
+    import pyarrow as pa
+    encoder = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoder.WORDS = 40
+    texts = ["Éveil. éclair, ÀÇÑÞß. naïf× x÷. ×. é. É,\nþé.. œuvre. Ünïçödé, e\u0301t\u0301. ÿŸ. don't."] + [
+        f"often und {'abcdefghij'[i % 10] * (i + 1)}É {i}é. Ø{i}, nächste" for i in range(60)]
+    expected = encoder.whole(texts)
+    asked, learn = [], encoder.learn
+    encoder.learn = lambda words: (asked.extend(words), learn(words))
+    for at in range(0, len(texts), 3):
+        counts, ids = encoder.encode(pa.array(texts[at:at + 3]))
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [list(e) for e in expected[at:at + 3]]
+    assert len(encoder.known) < 100 and asked.count(b"often") == 1 and asked.count(b".") <= 2
+    assert b"\xc3\xa9clair," not in asked
