@@ -34,6 +34,8 @@ SLICES = 8
 QUEUE_BYTES = 96 << 20
 PIECE = 1 << 20
 TUPLE = np.dtype([("place", "<i8"), ("shared", "u1")])
+#: The first 0 to 8 bytes of eight.
+FRONT = np.array([(1 << 64) - (1 << 64 - 8 * k) for k in range(9)], np.uint64)
 
 
 class Queues:
@@ -96,18 +98,14 @@ class Carry:
 
     def push(self, queues: Queues, byte: np.ndarray, place: np.ndarray, at: np.ndarray, shared: np.ndarray) -> None:
         """Queue the predecessors ``place`` (beginning with ``byte``) of the scanned tuples number ``at``."""
-        table = [shared]  # least values of 1, 2, 4, … neighbours
-        while len(table[-1]) > (1 << (len(table) - 1)):
-            step = 1 << (len(table) - 1)
-            table.append(np.minimum(table[-1][:-step], table[-1][step:]))
         order = np.argsort(byte, kind="stable")
         byte, place, at = byte[order], place[order], at[order]
         new = np.ones(len(byte), bool)
         new[1:] = byte[1:] != byte[:-1]
-        begin = np.zeros(len(at), np.int64)
-        begin[1:] = at[:-1] + 1
-        begin[new] = 0
-        least = self._range(table, begin, at + 1)
+        least = np.minimum.accumulate(shared)[at]  # from the beginning; behind the first of a byte from the one before
+        inner = np.flatnonzero(~new)
+        if len(inner):
+            least[inner] = self._range(shared, at[inner - 1] + 1, at[inner] + 1)
         cuts = np.append(np.flatnonzero(new), len(byte))
         whole = shared.min() if len(shared) else 255
         touched = byte[cuts[:-1]]
@@ -118,20 +116,22 @@ class Carry:
         end = at[cuts[1:] - 1] + 1
         rest = np.full(len(touched), 255, np.uint8)
         more = end < len(shared)
-        rest[more] = self._range(table, end[more], np.full(int(more.sum()), len(shared)))
+        rest[more] = np.minimum.accumulate(shared[::-1])[::-1][end[more]]
         self.least[touched] = rest
         self.used[touched] = True
         for b, x, y in zip(touched, cuts[:-1], cuts[1:]):
             queues.push(int(b), place[x:y], value[x:y])
 
     @staticmethod
-    def _range(table: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        out = np.full(len(begin), 255, np.uint8)
+    def _range(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The least of each range of ``values``, none of which is empty."""
         level = np.frexp((end - begin).astype(float))[1] - 1
-        for i in np.unique(level):
-            some = np.flatnonzero(level == i)
-            out[some] = np.minimum(table[i][begin[some]], table[i][end[some] - (1 << i)])
-        return out
+        table = [values]  # least values of 1, 2, 4, … neighbours, as far as the ranges are long
+        for i in range(int(level.max())):
+            table.append(np.minimum(table[-1][:-1 << i], table[-1][1 << i:]))
+        first = np.cumsum([0, *map(len, table[:-1])])[level]
+        table = np.concatenate(table) if len(table) > 1 else values
+        return np.minimum(table[first + begin], table[first + end - (1 << level)])
 
 
 class Shard:
@@ -142,7 +142,8 @@ class Shard:
         self.count = len(first) - 1
         lengths = np.diff(first)
         self.begin = first[:-1] + np.arange(self.count)
-        self.text = np.zeros(n + self.count, np.uint8)
+        self.padded = np.zeros(n + self.count + 8, np.uint8)
+        self.text = self.padded[:n + self.count]
         self.text[ranges(self.begin, lengths)] = text + np.uint8(1)
         self.end = self.begin + lengths
         t = self.text
@@ -159,11 +160,8 @@ class Shard:
 
     def words(self, place: np.ndarray, left: np.ndarray) -> np.ndarray:
         """Eight bytes at each place as a number, zeros behind the end of the stretch."""
-        out = np.zeros(len(place), np.uint64)
-        for k in range(8):
-            byte = self.text[np.minimum(place + k, len(self.text) - 1)].astype(np.uint64)
-            out = (out << np.uint64(8)) | np.where(left > k, byte, np.uint64(0))
-        return out
+        at_any_byte = np.ndarray(len(self.text), ">u8", self.padded, strides=(1,))
+        return at_any_byte[place].astype(np.uint64) & FRONT[np.clip(left, 0, 8)]
 
     def sorted_first(self) -> tuple[np.ndarray, np.ndarray]:
         """The rising suffixes after a fall in order, and the prefix that each shares with the one before."""

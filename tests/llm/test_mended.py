@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pelagia.llm import contamination, lexical, mixing, neardup, simhash, spelling, tokens, toxicity
+from pelagia.llm import contamination, lexical, mixing, neardup, simhash, spelling, suffixes, tokens, toxicity
 
 
 def prose(rng, n):
@@ -112,3 +112,17 @@ def test_word_encoder_forgets_rare_words_only():
         assert [p.tolist() for p in parts] == [list(e) for e in expected[at:at + 3]]
     assert len(encoder.known) < 100 and asked.count(b"often") == 1 and asked.count(b".") <= 2
     assert b"\xc3\xa9clair," not in asked
+
+
+def test_suffix_helpers_against_their_definition():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 256, 300).astype(np.uint8)
+    begin = rng.integers(0, 299, 500)
+    end = begin + rng.integers(1, 301 - begin)
+    assert suffixes.Carry._range(values, begin, end).tolist() == [int(values[a:b].min()) for a, b in zip(begin, end)]
+    parts = [b"abcdefghijkl", b"abc", b"z" * 9]
+    shard = suffixes.Shard(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
+    for begin, part in zip(shard.begin, parts):
+        raised = bytes(x + 1 for x in part)
+        got = shard.words(begin + np.arange(len(part)), len(part) - np.arange(len(part)))
+        assert got.tolist() == [int.from_bytes(raised[i:i + 8].ljust(8, b"\0"), "big") for i in range(len(part))]
