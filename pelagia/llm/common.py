@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,17 @@ def small_batches(spark: SparkSession, limit: int = CHUNK_BYTES) -> None:
         spark.conf.set(ARROW_BYTES, str(limit))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, limit: int = CHUNK_BYTES) -> Iterator[None]:
+    """:func:`small_batches` for the jobs run inside; afterwards the session's size is what it was."""
+    before = spark.conf.get(ARROW_BYTES)
+    small_batches(spark, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+
+
 def give_back() -> None:
     """Return freed memory to the system; a Python worker lives through many tasks and would keep it."""
     pa.default_memory_pool().release_unused()

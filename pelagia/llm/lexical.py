@@ -10,18 +10,22 @@ rest is settled without being scored. The best documents go along from segment t
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pelagia.llm.common import chunks, lowered, ranges, read, span_array, text_bytes, with_id, without_id, word_spans
+from pelagia.llm.common import (batches_of, chunks, give_back, lowered, ranges, read, span_array, text_bytes, with_id, without_id,
+                                word_spans)
 from pelagia.llm.registry import query
 from pelagia.runtime import stage
 
 TOP = 20
 SEGMENT_BYTES = 4 << 20
+# What a document adds to a segment besides its text; empty ones count too.
+ROW_BYTES = 16
 # Text of the items that one search carries to the tasks; more items are searched block by block.
 ITEM_BYTES = 8 << 20
 # Masks that are scored first; each further step takes twice as many.
@@ -46,6 +50,20 @@ def terms_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return span_array(starts, ends, lowered()[data]).cast(pa.string()), first
 
 
+def filled(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together or cut so that each holds about ``limit`` bytes of text and row numbers, or a single longer row."""
+    held, size = [], 0
+    for piece in chunks(batches, limit=limit):
+        own = (pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0) + ROW_BYTES * piece.num_rows
+        if held and size + own > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(piece)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def build_index(docs: DataFrame) -> DataFrame:
     """A row per segment of about four megabytes of text, or of one longer document.
 
@@ -54,7 +72,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     ``docs(doc_id, text)``: other columns are ignored, null text has no terms, a null doc_id is kept as the largest number.
     """
     def segments(batches):
-        for batch in chunks(batches, limit=SEGMENT_BYTES):
+        for batch in filled(batches, SEGMENT_BYTES):
             tokens, bounds = terms_of(batch.column("text"))
             coded = tokens.dictionary_encode()
             sizes, rows = np.diff(bounds), batch.num_rows
@@ -106,6 +124,7 @@ def statistics(index: DataFrame, vocabulary: pa.Array) -> tuple[int, int, np.nda
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([[-2, -1], some]).astype(np.int64)), pa.array(np.concatenate([[documents, terms], found[some]]).astype(np.int64))],
             ["term", "n"])
+        give_back()
 
     counted = index.select("sizes", "terms", "first").mapInArrow(count, "term long, n long")
     # a row per term of the vocabulary, whose size is bounded by the block of items
@@ -218,6 +237,7 @@ def _search_block(index: DataFrame, items: Items, k: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(np.array(items.keys, np.int64), lengths)), pa.array(np.concatenate([d for _, d in tops] or [[]]).astype(np.int64)),
              pa.array(np.concatenate([s for s, _ in tops] or [[]]).astype(np.int64))], ["key", "doc_id", "score"])
+        give_back()
 
     return index.mapInArrow(search, "key long, doc_id long, score long")
 
@@ -237,10 +257,12 @@ def ranked(index: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     for block in range(blocks):
         # one block of a bounded size reaches the driver at a time
         part = items.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).select("key", "text").collect()
-        rows = _search_block(index, Items([r.key for r in part], [r.text for r in part]), k)
-        # the best of each part of the tasks first, so that no item meets all its rows at once
-        rows = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
-        rows = stage(_first_rows(rows, ["key", "part"], k).drop("part", "rank"), "found")
+        # a segment takes more memory than its text, so a task is handed one at a time
+        with batches_of(spark, SEGMENT_BYTES):
+            rows = _search_block(index, Items([r.key for r in part], [r.text for r in part]), k)
+            # the best of each part of the tasks first, so that no item meets all its rows at once
+            rows = rows.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+            rows = stage(_first_rows(rows, ["key", "part"], k).drop("part", "rank"), "found")
         found = rows if found is None else found.unionByName(rows)
     top = _first_rows(found, ["key"], k).join(items.select("key", "item_id"), "key")
     return top.select("item_id", "rank", without_id(), "score")
@@ -252,8 +274,10 @@ def _first_rows(rows: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
-    """:func:`ranked` over a new index of ``docs``."""
-    return ranked(stage(build_index(docs), "index"), items, k)
+    """:func:`ranked` over a new index of ``docs``, whose files are written and read a segment at a time."""
+    with batches_of(docs.sparkSession, SEGMENT_BYTES // 8):
+        index = stage(build_index(docs), "index", rows=1)
+    return ranked(index, items, k)
 
 
 SQL = r"""

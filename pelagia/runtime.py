@@ -52,15 +52,16 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def stage(df: DataFrame, name: str = "table") -> DataFrame:
+def stage(df: DataFrame, name: str = "table", rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The copy cuts the lineage, survives the loss of executors and has a known size, so Spark picks the
-    join strategy of whatever reads it from real numbers.
+    join strategy of whatever reads it from real numbers. Files are buffered and decoded by row group, of at most
+    ``rows`` rows if given: else a group can take 100 rows or more, however large they are.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write if rows is None else df.write.option("parquet.block.row.count.limit", rows)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

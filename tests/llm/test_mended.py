@@ -2,12 +2,16 @@
 
 import collections
 import random
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from pelagia.llm import contamination, lexical, mixing, neardup, simhash, spelling, suffixes, tokens, toxicity
+from pelagia.llm.common import ARROW_BYTES
 
 
 def prose(rng, n):
@@ -126,3 +130,45 @@ def test_suffix_helpers_against_their_definition():
         raised = bytes(x + 1 for x in part)
         got = shard.words(begin + np.arange(len(part)), len(part) - np.arange(len(part)))
         assert got.tolist() == [int.from_bytes(raised[i:i + 8].ljust(8, b"\0"), "big") for i in range(len(part))]
+
+
+def test_a_task_of_the_search_holds_one_segment_at_a_time(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 60)) for i in range(120)] + [(None, None), (500, ""), (501, prose(rng, 2000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(i, prose(rng, 30)) for i in range(5)], "item_id long, text string")
+    whole = sorted(map(tuple, lexical.search(docs, items).collect()), key=repr)
+    before = spark.conf.get(ARROW_BYTES)
+    real_stage, real_block, files, handed = lexical.stage, lexical._search_block, [], []
+
+    def staged(df, name, **options):
+        table = real_stage(df, name, **options)
+        files.extend(table.inputFiles() if name == "index" else [])
+        return table
+
+    def sizes(batches):
+        yield from (pa.record_batch({"n": pa.array([b.num_rows], pa.int64())}) for b in batches)
+
+    def block(index, *rest):
+        handed.extend(r.n for r in index.mapInArrow(sizes, "n long").collect())
+        return real_block(index, *rest)
+
+    monkeypatch.setattr(lexical, "SEGMENT_BYTES", 2000)
+    monkeypatch.setattr(lexical, "stage", staged)
+    monkeypatch.setattr(lexical, "_search_block", block)
+    assert sorted(map(tuple, lexical.search(docs, items).collect()), key=repr) == whole and len(whole) == 100
+    held = [pq.ParquetFile(urlparse(f).path).metadata for f in files]
+    groups = [m.row_group(g).num_rows for m in held for g in range(m.num_row_groups)]
+    # written, decoded and handed to Python one by one; the small batches they are made of are put together
+    assert set(groups) == set(handed) == {1} and 5 < len(groups) == len(handed) < 40
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
+def test_segments_are_filled_from_small_batches():
+    texts = ["a" * n for n in (10, 10, 300, 5, 90, 20)] + [None, ""] * 60
+    batches = [pa.record_batch({"doc_id": [i], "text": pa.array([t], pa.string())}) for i, t in enumerate(texts)]
+    got = [b.column("doc_id").to_pylist() for b in lexical.filled(iter(batches), 160)]
+    assert sum(got, []) == list(range(len(texts))) and got[:4] == [[0, 1], [2], [3, 4], [5, 6, 7, 8, 9, 10, 11, 12]]
+    # rows without text fill segments too
+    assert {len(g) for g in got[4:-1]} == {10}
+    assert list(lexical.filled(iter([]), 160)) == []
